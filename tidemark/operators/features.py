@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.functions.expr import nan_to_null, or_zero, ratio_or_zero
+from tidemark.functions.expr import nan_to_null, ratio_or_zero
+from tidemark.operators.rolling import Rolling
 from tidemark.operators.series import TARGET_ROWS, over_series
 
 LOOKBACK = max(*schema.ROLLING_ROWS.values(), schema.ZSCORE_ROWS, schema.CORRELATION_ROWS) - 1
@@ -29,26 +30,19 @@ def calendar_columns(ts: Column) -> dict[str, Column]:
     }
 
 
-def cross_columns() -> dict[str, Column]:
-    """Products and ratios of metrics of the same row."""
-    return {
+def cross_columns(available: list[str]) -> dict[str, Column]:
+    """Products and ratios of metrics of the same row, as far as their inputs are there."""
+    wanted = {
+        "latency_x_loss": ("latency_ms", "packet_loss_pct"),
+        "cpu_bw_ratio": ("cpu_utilization", "bandwidth_mbps"),
+        "error_per_cpu": ("error_rate", "cpu_utilization"),
+    }
+    columns = {
         "latency_x_loss": F.col("latency_ms") * F.col("packet_loss_pct"),
         "cpu_bw_ratio": ratio_or_zero("cpu_utilization", "bandwidth_mbps"),
         "error_per_cpu": ratio_or_zero("error_rate", "cpu_utilization", 100.0),
     }
-
-
-def pair_correlation(x: Column, y: Column, frame, min_pairs: int) -> Column:
-    """Pearson correlation over a frame, 0 below `min_pairs` pairs or for a constant input.
-
-    Built from covariance and deviations with `try_divide`: `corr` itself raises on a constant
-    frame under ANSI arithmetic.
-    """
-    both = x.isNotNull() & y.isNotNull()
-    px, py = F.when(both, x), F.when(both, y)
-    spread = F.stddev_samp(px).over(frame) * F.stddev_samp(py).over(frame)
-    value = F.try_divide(F.covar_samp(px, py).over(frame), spread)
-    return or_zero(F.when(F.count(F.when(both, 1)).over(frame) >= min_pairs, value))
+    return {n: columns[n] for n, inputs in wanted.items() if set(inputs) <= set(available)}
 
 
 def feature_columns(
@@ -58,55 +52,51 @@ def feature_columns(
     metrics: list[str],
     families: set[str],
 ) -> DataFrame:
-    """Add the feature families to `df`; all frames share one window sort."""
-    series = Window.partitionBy(*partition).orderBy(*order)
-
-    def last(rows: int):
-        return series.rowsBetween(-(rows - 1), 0)
-
-    windows: dict[str, Column] = {}
-    if "rolling" in families:
-        for m in metrics:
-            for label, rows in schema.ROLLING_ROWS.items():
-                windows[f"{m}_roll_mean_{label}"] = F.avg(m).over(last(rows))
-                windows[f"{m}_roll_std_{label}"] = or_zero(F.stddev_samp(m).over(last(rows)))
-                windows[f"{m}_roll_max_{label}"] = F.max(m).over(last(rows))
-    if "delta" in families:
-        for m in metrics:
-            for label, rows in {"1m": 1, "5m": 5}.items():
-                windows[f"{m}_delta_{label}"] = or_zero(F.col(m) - F.lag(m, rows).over(series))
-    if "cross" in families:
-        windows["latency_cpu_corr_30m"] = pair_correlation(
-            F.col("latency_ms"), F.col("cpu_utilization"), last(schema.CORRELATION_ROWS), schema.MIN_ROWS
-        )
-    helpers: list[str] = []
-    shared = "rolling" in families and schema.ROLLING_ROWS["1hr"] == schema.ZSCORE_ROWS
-    if "zscore" in families:
-        for m in metrics:
-            windows[f"_{m}_n"] = F.count(m).over(last(schema.ZSCORE_ROWS))
-            helpers.append(f"_{m}_n")
-            if not shared:
-                windows[f"_{m}_mean"] = F.avg(m).over(last(schema.ZSCORE_ROWS))
-                windows[f"_{m}_std"] = or_zero(F.stddev_samp(m).over(last(schema.ZSCORE_ROWS)))
-                helpers += [f"_{m}_mean", f"_{m}_std"]
-    framed = df.select(*df.columns, *[c.alias(n) for n, c in windows.items()])
-
-    derived: dict[str, Column] = {}
+    """Add the feature families to `df`; all lags share one window sort."""
+    keep = df.columns
+    framed = bool(families & {"rolling", "zscore"})
+    paired = "cross" in families and {"latency_ms", "cpu_utilization"} <= set(metrics)
+    values = {m: m for m in metrics} if framed else {}
+    pairs = {}
+    if paired:
+        values["pair_x"] = "CASE WHEN cpu_utilization IS NOT NULL THEN latency_ms END"
+        values["pair_y"] = "CASE WHEN latency_ms IS NOT NULL THEN cpu_utilization END"
+        pairs["pair"] = ("pair_x", "pair_y")
+    roll = Rolling(partition, order, values, pairs)
+
+    derived: dict[str, str] = {}
     if "delta" in families:
-        for m in metrics:
-            derived[f"{m}_abs_delta_1m"] = F.abs(F.col(f"{m}_delta_1m"))
+        df = df.selectExpr("*", *roll.lags(metrics, [1, 5]))
+        changes = {f"{m}_delta_{k}m": f"coalesce({m} - _ago{k}.{m}, 0D)" for m in metrics for k in (1, 5)}
+        df = df.selectExpr(*keep, *[f"{e} AS {n}" for n, e in changes.items()])
+        derived |= {n: n for n in changes}
+        derived |= {f"{m}_abs_delta_1m": f"abs({m}_delta_1m)" for m in metrics}
+    if values:
+        short, middle, long = schema.ROLLING_ROWS.values()
+        df = roll.base(df, short)
+        df = roll.extend(df, short, [middle])
+        df = roll.extend(df, middle, ([long] if framed else []) + ([schema.CORRELATION_ROWS] if paired else []))
+    if framed:
+        stds = {(m, rows): f"{m}_roll_std_{label}" for m in metrics for label, rows in schema.ROLLING_ROWS.items()}
+        df = df.selectExpr("*", *[f"{roll.std(m, rows)} AS {n}" for (m, rows), n in stds.items()])
+        if "rolling" in families:
+            for m in metrics:
+                for label, rows in schema.ROLLING_ROWS.items():
+                    derived[f"{m}_roll_mean_{label}"] = roll.stat(m, "mean", rows)
+                    derived[f"{m}_roll_std_{label}"] = stds[m, rows]
+                    derived[f"{m}_roll_max_{label}"] = roll.stat(m, "max", rows)
+        if "zscore" in families:
+            for m in metrics:
+                std = stds[m, schema.ZSCORE_ROWS]
+                derived[f"{m}_zscore"] = roll.zscore(m, std, schema.ZSCORE_ROWS, schema.MIN_ROWS)
+    if paired:
+        derived["latency_cpu_corr_30m"] = roll.correlation("pair", schema.CORRELATION_ROWS, schema.MIN_ROWS)
+    columns = {n: F.expr(e) for n, e in derived.items()}
     if "cross" in families:
-        derived |= cross_columns()
-    if "zscore" in families:
-        for m in metrics:
-            mean = F.col(f"{m}_roll_mean_1hr" if shared else f"_{m}_mean")
-            std = F.col(f"{m}_roll_std_1hr" if shared else f"_{m}_std")
-            known = (F.col(f"_{m}_n") >= schema.MIN_ROWS) & (std > 0)
-            derived[f"{m}_zscore"] = F.when(known, F.try_divide(F.col(m) - mean, std)).otherwise(F.lit(0.0))
+        columns |= cross_columns(keep)
     if "calendar" in families:
-        derived |= calendar_columns(F.col("timestamp"))
-    kept = [c for c in framed.columns if c not in helpers]
-    return framed.select(*kept, *[c.alias(n) for n, c in derived.items()])
+        columns |= calendar_columns(F.col("timestamp"))
+    return df.select(*keep, *[columns[n].alias(n) for n in output_columns(metrics, families)])
 
 
 ALL_FAMILIES = frozenset({"rolling", "delta", "cross", "zscore", "calendar"})
@@ -125,7 +115,9 @@ def output_columns(metrics: list[str], families: set[str] | frozenset[str] = ALL
     if "delta" in families:
         names += [f"{m}_{d}" for m in metrics for d in ("delta_1m", "delta_5m", "abs_delta_1m")]
     if "cross" in families:
-        names += ["latency_x_loss", "cpu_bw_ratio", "error_per_cpu", "latency_cpu_corr_30m"]
+        names += list(cross_columns(metrics))
+        if {"latency_ms", "cpu_utilization"} <= set(metrics):
+            names.append("latency_cpu_corr_30m")
     if "zscore" in families:
         names += [f"{m}_zscore" for m in metrics]
     if "calendar" in families:

@@ -5,6 +5,21 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# A generated method above 8000 bytes of code is never compiled by the JVM. Past that size Spark
+# should use its split projections instead of one whole-stage method; wide feature tables get there.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings that may change on a running session."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC time.
 
@@ -18,7 +33,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **settings:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME_SETTINGS,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
     }

@@ -154,24 +154,12 @@ def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def event_series_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling, change, z-score and correlation features of the two-metric event series."""
-    from pyspark.sql import Window
-
     metrics = ["latency_ms", "cpu_utilization"]
-    families = {"rolling", "delta", "zscore"}
-    order = ["timestamp", "event_id"]
-
-    def build(frame: DataFrame, partition: list[str]) -> DataFrame:
-        out = ops.feature_columns(frame, partition, order, metrics, families)
-        pairs = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-29, 0)
-        return out.withColumn(
-            "latency_cpu_corr_30m",
-            ops.pair_correlation(F.col("latency_ms"), F.col("cpu_utilization"), pairs, schema.MIN_ROWS),
-        )
-
-    from tidemark.operators.series import over_series
-
-    out = over_series(event_series(spark, sf_dir), "node_id", order, ops.LOOKBACK, build)
-    names = [*ops.output_columns(metrics, families), "latency_cpu_corr_30m"]
+    families = {"rolling", "delta", "cross", "zscore"}
+    out = ops.compute_features(
+        event_series(spark, sf_dir), order=["timestamp", "event_id"], metrics=metrics, families=families
+    )
+    names = ops.output_columns(metrics, families)
     return rounded(out.select("event_id", *names), names)
 
 
