@@ -157,9 +157,10 @@ def threshold_sweep(
     names = {percentile_name(p): p for p in SWEEP_POINTS}
     marks = percentiles(df.where(normal), [], score, names, small_bytes=small_bytes)
     candidates = marks.select(F.array(*names).alias("t"))
-    at = df.where(F.col(score).isNotNull()).select(
-        count_below(candidates.scalar(), len(names), F.col(score)).alias("above"), F.col(label).alias("y")
+    known = df.where(F.col(score).isNotNull()).select(
+        candidates.scalar().alias("t"), F.col(score).alias("s"), F.col(label).alias("y")
     )
+    at = known.select(count_below(F.col("t"), len(names), F.col("s")).alias("above"), "y")
     counts = at.groupBy("above").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
     )
