@@ -16,9 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import count_below
-from tidemark.sizing import is_small
+from tidemark.sizing import is_small, plan_bytes
 
-BINS = 1023
+BYTES_PER_BIN = 64 * 1024 * 1024
+MIN_BINS, MAX_BINS = 15, 8191
+
+
+def _bins_for(df: DataFrame) -> int:
+    size = plan_bytes(df)
+    return MAX_BINS if size is None else max(MIN_BINS, min(MAX_BINS, size // BYTES_PER_BIN))
 
 
 def _borders(df: DataFrame, value: str, bins: int) -> list[float]:
@@ -35,7 +41,7 @@ def running_totals(
     *,
     descending: bool = False,
     small_bytes: int | None = None,
-    bins: int = BINS,
+    bins: int | None = None,
 ) -> DataFrame:
     """One row per (group, distinct value) with, per measure m: `m` (sum at the value), `cum_m`
     (sum up to and including it in the chosen direction) and `all_m` (sum of the group).
@@ -60,6 +66,7 @@ def running_totals(
             *[F.sum(m).over(group).alias(f"all_{m}") for m in measures],
             F.lead(value).over(upto).alias("next_value"),
         )
+    bins = bins or _bins_for(df)
     borders = _borders(known, value, bins)
     bin_of = F.lit(0)
     if borders:
@@ -72,27 +79,27 @@ def running_totals(
     )
     across = Window.partitionBy(*groups)
     before = across.orderBy(by("_bin")).rowsBetween(Window.unboundedPreceding, -1)
-    named = {g: f"_g{i}" for i, g in enumerate(groups)}
-    offsets = per_bin.select(
-        *[F.col(g).alias(n) for g, n in named.items()],
-        F.col("_bin").alias("_b"),
-        *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
+    # The totals before a bin enter its window as one more row, ahead of all values: no join.
+    carried = per_bin.select(
+        *groups,
+        "_bin",
+        F.lit(None).cast("double").alias(value),
+        *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures],
         *[F.sum(m).over(across).alias(f"all_{m}") for m in measures],
         F.lead("_edge").over(across.orderBy(by("_bin"))).alias("_next_edge"),
     )
-    same = F.col("_bin") == F.col("_b")
-    for g, n in named.items():
-        same = same & F.col(g).eqNullSafe(F.col(n))
-    inside = Window.partitionBy(*groups, "_bin").orderBy(by(value))
+    lines = binned.unionByName(carried, allowMissingColumns=True)
+    value_order = F.desc_nulls_first(value) if descending else F.asc_nulls_first(value)
+    inside = Window.partitionBy(*groups, "_bin").orderBy(value_order)
     frame = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return binned.join(offsets, same).select(
+    return lines.select(
         *groups,
         value,
         *measures,
-        *[(F.sum(m).over(frame) + F.col(f"_before_{m}")).alias(f"cum_{m}") for m in measures],
-        *[f"all_{m}" for m in measures],
-        F.coalesce(F.lead(value).over(inside), F.col("_next_edge")).alias("next_value"),
-    )
+        *[F.sum(m).over(frame).alias(f"cum_{m}") for m in measures],
+        *[F.first(f"all_{m}").over(frame).alias(f"all_{m}") for m in measures],
+        F.coalesce(F.lead(value).over(inside), F.first("_next_edge").over(frame)).alias("next_value"),
+    ).where(F.col(value).isNotNull())
 
 
 def percentile_name(p: float) -> str:

@@ -22,10 +22,10 @@ SMALL_SIDE_ROWS = 10_000
 
 def plan_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate (file sizes for scans); None if it is not available."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
