@@ -39,8 +39,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`lineitem` as node telemetry: one row per line, nodes are suppliers."""
+    return telemetry_of(table(spark, sf_dir, "lineitem"))
+
+
+def telemetry_of(lines: DataFrame) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.col("l_shipdate").alias("timestamp"),
         F.concat(F.lit("node-"), F.col("l_suppkey").cast("string")).alias("node_id"),
         (F.col("l_extendedprice") / 1000).alias("latency_ms"),
