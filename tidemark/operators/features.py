@@ -30,19 +30,26 @@ def calendar_columns(ts: Column) -> dict[str, Column]:
     }
 
 
+# Inputs of the cross-metric columns of one row.
+CROSS_INPUTS = {
+    "latency_x_loss": {"latency_ms", "packet_loss_pct"},
+    "cpu_bw_ratio": {"cpu_utilization", "bandwidth_mbps"},
+    "error_per_cpu": {"error_rate", "cpu_utilization"},
+}
+
+
+def cross_names(available: list[str]) -> list[str]:
+    return [n for n, inputs in CROSS_INPUTS.items() if inputs <= set(available)]
+
+
 def cross_columns(available: list[str]) -> dict[str, Column]:
     """Products and ratios of metrics of the same row, as far as their inputs are there."""
-    wanted = {
-        "latency_x_loss": ("latency_ms", "packet_loss_pct"),
-        "cpu_bw_ratio": ("cpu_utilization", "bandwidth_mbps"),
-        "error_per_cpu": ("error_rate", "cpu_utilization"),
-    }
     columns = {
         "latency_x_loss": F.col("latency_ms") * F.col("packet_loss_pct"),
         "cpu_bw_ratio": ratio_or_zero("cpu_utilization", "bandwidth_mbps"),
         "error_per_cpu": ratio_or_zero("error_rate", "cpu_utilization", 100.0),
     }
-    return {n: columns[n] for n, inputs in wanted.items() if set(inputs) <= set(available)}
+    return {n: columns[n] for n in cross_names(available)}
 
 
 def feature_columns(
@@ -115,7 +122,7 @@ def output_columns(metrics: list[str], families: set[str] | frozenset[str] = ALL
     if "delta" in families:
         names += [f"{m}_{d}" for m in metrics for d in ("delta_1m", "delta_5m", "abs_delta_1m")]
     if "cross" in families:
-        names += list(cross_columns(metrics))
+        names += cross_names(metrics)
         if {"latency_ms", "cpu_utilization"} <= set(metrics):
             names.append("latency_cpu_corr_30m")
     if "zscore" in families:
