@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema
+from tidemark.sizing import shared_dir
 
 
 def read_telemetry_csv(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
@@ -33,6 +34,17 @@ def write_parquet(df: DataFrame, path: str, *, sort: list[str] | None = None, pa
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For results that several jobs use, such as training input or scored rows: it cuts the lineage,
+    survives lost executors, and gives the optimizer real sizes.
+    """
+    path = shared_dir(df.sparkSession, name)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def stage_csv(spark: SparkSession, csv: str, parquet: str, ts: str = "timestamp", types: T.StructType | None = None) -> DataFrame:
     """CSV to Parquet with the time column as a timestamp; hands back the staged table."""
     raw = spark.read.schema(types).csv(csv, header=True) if types else spark.read.csv(csv, header=True)

@@ -202,15 +202,18 @@ def prediction_log_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "rollback_decision",
     with_sql(*_details(*_PERIODS), *[p for p in _LOG if p != TELEMETRY_SQL], _MONITOR, f"d1 AS ({_summary('drifted')})")
-    + """SELECT month_day, reasons <> '' AS should_rollback, reasons, CASE WHEN reasons <> '' THEN 'dry-run' ELSE 'none' END AS action FROM (
+    + f"""SELECT month_day, reasons <> '' AS should_rollback, reasons, CASE WHEN reasons <> '' THEN 'dry-run' ELSE 'none' END AS action FROM (
          SELECT month_day, concat_ws('; ',
            CASE WHEN dataset_drift_detected THEN printf('Data drift detected (%.1f%% features drifted)', drift_share * 100) END,
-           CASE WHEN p99_ms > 100 THEN printf('P99 latency %.1fms > 100ms', p99_ms) END,
-           CASE WHEN mon.anomaly_rate > 0.5 THEN printf('Anomaly rate %.1f%% > 50.0%%', mon.anomaly_rate * 100) END,
-           CASE WHEN mon.error_rate > 0.05 THEN printf('Error rate %.1f%% > 5.0%%', mon.error_rate * 100) END) AS reasons FROM mon, d1)""",
+           CASE WHEN p99_ms > 100 THEN printf('P99 latency %.1fms > 100ms', {shown_sql('p99_ms', 1)}) END,
+           CASE WHEN mon.anomaly_rate > 0.5 THEN printf('Anomaly rate %.1f%% > 50.0%%', {shown_sql('mon.anomaly_rate * 100', 1)}) END,
+           CASE WHEN mon.error_rate > 0.05 THEN printf('Error rate %.1f%% > 5.0%%', {shown_sql('mon.error_rate * 100', 1)}) END) AS reasons FROM mon, d1)""",
 )
 def rollback_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drift summary through its JSON file and the monthly log, judged together (dry run)."""
+    """Drift summary through its JSON file and the monthly log, judged together (dry run).
+
+    Numbers in the texts round half up.
+    """
     folder = shared_dir(spark, "drift-summary")
     files.write_summary(drift.drift_summary(drift.drift_details(*_periods(spark, sf_dir), METRICS)), folder)
     monitor = monitoring.log_monitor(_log(spark, sf_dir), ["month_day"], "latency_ms", "predicted", "failed")

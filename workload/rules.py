@@ -143,13 +143,13 @@ def align_to_training_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.align(_requests(spark, sf_dir), ["latency_ms", "cpu_utilization", "latency_ms_zscore"], keep=KEY)
 
 
-def _unit(seed: int, keys: str = "node_id, l_orderkey, l_linenumber, l_partkey") -> str:
+def _unit(seed: str, keys: str = "node_id, l_orderkey, l_linenumber, l_partkey") -> str:
     return f"((('0x' || substr(md5(concat_ws('|', {keys}, '{seed}')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
 
 
 @query(
     "ab_routing_counts",
-    with_sql(TELEMETRY_SQL, f"r AS (SELECT CASE WHEN {_unit(42)} > 0.8 THEN 'challenger' ELSE 'primary' END AS model_used FROM telemetry)")
+    with_sql(TELEMETRY_SQL, f"r AS (SELECT CASE WHEN {_unit('route42')} > 0.8 THEN 'challenger' ELSE 'primary' END AS model_used FROM telemetry)")
     + "SELECT model_used, count(*) AS count FROM r GROUP BY model_used",
 )
 def ab_routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
