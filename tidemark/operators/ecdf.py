@@ -116,7 +116,10 @@ def percentiles(
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group and one column per point."""
     if is_small(df, small_bytes):
-        return df.groupBy(*groups).agg(*[F.percentile(value, p).alias(n) for n, p in points.items()])
+        # One aggregate for all points: they share a single count of the values.
+        marks = F.percentile(value, list(points.values())).alias("_marks")
+        found = df.groupBy(*groups).agg(marks)
+        return found.select(*groups, *[F.get("_marks", F.lit(i)).alias(n) for i, n in enumerate(points)])
     totals = running_totals(df, groups, value, {"n": F.lit(1)}, small_bytes=small_bytes)
     picks, finals = [], []
     for name, p in points.items():

@@ -206,3 +206,16 @@ def example_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First rows in time order, as an input example."""
     rows = splits.first_rows(telemetry(spark, sf_dir), ["timestamp", "l_orderkey", "l_linenumber", "l_partkey", "node_id"])
     return rounded(rows.select(*KEY, "latency_ms"), ["latency_ms"], 6)
+
+
+@query(
+    "filtered_first_rows",
+    TEL
+    + f"""SELECT {KEY_SQL}, {shown_sql('latency_ms', 6)} AS latency_ms FROM telemetry WHERE node_id = 'node-1'
+          ORDER BY ts, l_orderkey, l_linenumber, l_partkey LIMIT 50""",
+)
+def filtered_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One node's first rows: filter by key, then limit in time order."""
+    rows = telemetry(spark, sf_dir).where(F.col("node_id") == "node-1")
+    first = splits.first_rows(rows, ["timestamp", "l_orderkey", "l_linenumber", "l_partkey"], 50)
+    return rounded(first.select(*KEY, "latency_ms"), ["latency_ms"], 6)
