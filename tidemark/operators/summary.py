@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import share
@@ -19,8 +19,7 @@ def node_summary(df: DataFrame, key: str = "node_id", label: str = "is_anomaly")
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Rows per value with their share of all, most frequent first."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    # One row per distinct value after the aggregate; the window is over those rows only.
-    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
+    total = counts.agg(F.sum("count")).scalar()
     return counts.select(column, "count", share(F.col("count"), total).alias("share")).orderBy(F.desc("count"), column)
 
 
