@@ -140,14 +140,15 @@ def apply_rollback(versions: DataFrame, target: DataFrame) -> DataFrame:
     return versions.withColumn("stage", stage)
 
 
-def version_tags(table: DataFrame, training_date: Column, data_version: Column) -> DataFrame:
+def version_tags(
+    table: DataFrame, training_date: Column, data_version: Column, author: str = "ml-team", project: str = "telemetry"
+) -> DataFrame:
     """Nine tags per version, one row each."""
-    # Author, project and anomaly types of the registered models.
     tags = {
         "model_type": F.col("model_type"),
         "training_date": F.date_format(training_date, "yyyy-MM-dd"),
-        "author": F.lit("ml-team"),
-        "project": F.lit("network-anomaly-detection"),
+        "author": F.lit(author),
+        "project": F.lit(project),
         "data_version": data_version,
         "anomaly_types_detected": F.lit("spike,degradation,correlated"),
         "f1_score": F.format_string("%.4f", F.col("f1_score")),

@@ -141,7 +141,7 @@ def promoted_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_BOARD,
         """t AS (SELECT version, unnest(['model_type', 'training_date', 'author', 'project', 'data_version', 'anomaly_types_detected',
                'f1_score', 'roc_auc', 'framework']) AS tag,
-             unnest([model_type, '2026-01-01', 'ml-team', 'network-anomaly-detection', 'v1.0', 'spike,degradation,correlated',
+             unnest([model_type, '2026-01-01', 'ml-team', 'telemetry', 'v1.0', 'spike,degradation,correlated',
                printf('%.4f', board.f1_score), printf('%.4f', roc_auc),
                CASE model_type WHEN 'IsolationForest' THEN 'scikit-learn' WHEN 'XGBoost' THEN 'xgboost' ELSE 'pytorch' END]) AS value FROM board)""",
     )
