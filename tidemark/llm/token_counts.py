@@ -9,7 +9,7 @@ workers in Arrow batches; nothing is shuffled.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -22,7 +22,7 @@ from tokenizers.pre_tokenizers import Split
 
 REMEMBERED_WORDS = 500_000
 SHORT_WORD, NEVER = 40, 1 << 40
-UNSURE = "\U00030000"
+UNSURE = regex.compile("[\U00030000-\U0010FFFF]")
 
 
 def byte_letters() -> dict[int, str]:
@@ -40,8 +40,7 @@ class WordCounter(dict):
     bounded; the proved ones stay.
     """
 
-    def __init__(self, spec: dict, cut: Callable[[str], list[str]], remembered: int = REMEMBERED_WORDS):
-        self.cut = cut
+    def __init__(self, spec: dict, remembered: int = REMEMBERED_WORDS):
         model = spec["model"]
         self.letters, self.end = byte_letters(), model["end_of_word_suffix"]
         self.vocab = model["vocab"]
@@ -102,10 +101,7 @@ class WordCounter(dict):
         return [p for p in parts if p is not None]
 
     def __missing__(self, word: str) -> int:
-        if max(word) >= UNSURE:  # letter or not is read differently there: let the library cut it
-            n = sum(len(self.merge(w)) for w in self.cut(word))
-        else:
-            n = len(self.merge(word))
+        n = len(self.merge(word))
         if len(self) - len(self.proved) >= self.remembered:
             self.clear()
             self.update(self.proved)
@@ -130,24 +126,28 @@ class TokenCounter:
         library = Tokenizer.from_file(path)
         self.normalise = library.normalizer.normalize_str
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        cut = Split(Regex(pattern), "removed", invert=True)
-        self.words = WordCounter(spec, lambda text: [w for w, _ in cut.pre_tokenize_str(text)])
+        self.library_cut = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
+        self.words = WordCounter(spec)
         self.split = regex.compile(pattern)
         marks = [regex.escape(t["content"]) for t in spec["added_tokens"]]
         self.marks = regex.compile("|".join(sorted(marks, key=len, reverse=True))) if marks else None
 
-    def normalised(self, text: str) -> str:
+    def cut(self, text: str) -> list[str]:
+        """The words of a text, normalised."""
         try:
             text.encode("latin-1")  # composed already, and lower case there is the same everywhere
         except UnicodeEncodeError:
-            return self.normalise(text)
-        return text.lower()
+            text = self.normalise(text)
+            if UNSURE.search(text):  # far planes, where the two pattern libraries know other letters
+                return [w for w, _ in self.library_cut(text)]
+            return self.split.findall(text)
+        return self.split.findall(text.lower())
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         parts = self.marks.split(text) if self.marks else [text]
-        return len(parts) - 1 + sum(sum(map(self.words.__getitem__, self.split.findall(self.normalised(p)))) for p in parts if p)
+        return len(parts) - 1 + sum(sum(map(self.words.__getitem__, self.cut(p))) for p in parts if p)
 
 
 @lru_cache(maxsize=2)
