@@ -6,10 +6,12 @@
    D = (a + b)(den - num) / (den + num) tokens. The tokens are dealt by hash into more than D parts,
    so some part is equal in both. Sets of one size class meet in Spark by the hash of a part.
    Frequent passages do no harm: a part is equal only if all its tokens are.
-3. In every meeting the smallest id leads. Each other member is compared with its leaders only,
-   which is linear in the members, and components are formed.
-4. Meetings whose other members are still in several components are joined completely, in blocks of
-   bounded size. So no link that would change a component goes unseen.
+3. In every meeting the smallest id leads. Each document is compared with the leader it meets most
+   often, which is linear in the documents, and components are formed.
+4. Meetings whose members are still in several components are joined completely, in blocks of
+   bounded size. So no link that would change a component goes unseen. Meetings that share members
+   are one cluster, which ships a set once per block and not once per meeting; clusters of more than
+   MAX_BLOCKS blocks are joined meeting by meeting.
 
 Comparisons (3 and 4) put the sets of a block into a prefix tree in the global order of the hashes
 and walk it with each query; see prefix_trie. No step emits the pairs of a meeting, only links.
@@ -28,7 +30,8 @@ from tidemark.llm.components import components, sized, written
 from tidemark.llm.prefix_trie import build, matches
 from tidemark.llm.shingles import mix, shingle_sets
 
-BLOCK_TOKENS = 40_000
+BLOCK_TOKENS = 200_000
+MAX_BLOCKS = 24
 
 
 def size_classes(num: int, den: int, upto: int = 1 << 40) -> list[int]:
@@ -114,16 +117,25 @@ def packed_sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInPandas(made, "id long, size long, tokens binary")
 
 
+def part_bytes(tokens: np.ndarray, parts: int) -> np.ndarray:
+    """One byte per part of a set: sets that differ in d tokens differ in d of these at most."""
+    out = np.zeros(parts, np.uint8)
+    mixed = mix(tokens + np.uint64(2))
+    np.add.at(out, (mixed % np.uint64(parts)).astype(np.int64), (mixed >> np.uint64(48)).astype(np.uint8))
+    return out
+
+
 def block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between the two sides of each unit.
 
     Rows are (u1, u2, u3, side, id, component, tokens). Side 0 asks, side 1 is in the tree; side 2
     is both. Ids of one component are not compared, and a link found joins its components, so a
-    unit of m members gives fewer than m links.
+    unit of m members gives fewer than m links. A set is of interest to a query only if the part
+    bytes of the two differ in no more places than similar sets of their sizes can.
     """
 
     def linked(unit: pd.DataFrame) -> pd.DataFrame:
-        sets = [tuple(np.frombuffer(t, np.uint64).tolist()) for t in unit["tokens"]]
+        raw = [np.frombuffer(t, np.uint64) for t in unit["tokens"]]
         ids, side, group = unit["id"].tolist(), unit["side"].tolist(), unit["component"].tolist()
         head = {g: g for g in group}
 
@@ -134,13 +146,33 @@ def block_links(rows: DataFrame, num: int, den: int) -> DataFrame:
             return g
 
         kept = [k for k in range(len(ids)) if side[k]]
-        tree = build([sets[k] for k in kept])
+        asking = [k for k in range(len(ids)) if side[k] != 1]
+        if not kept or not asking or len(set(group)) < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        sets = {k: tuple(raw[k].tolist()) for k in kept}
+        tree, order = build([sets[k] for k in kept])
+        in_tree = [kept[k] for k in order]
+        parts = 1 << int(np.clip(np.median([len(t) for t in raw]) * 0.4, 64, 4096)).bit_length()
+        marks = np.stack([part_bytes(raw[k], parts) for k in in_tree])
+        sizes = np.array([len(raw[k]) for k in in_tree])
+        place_of = {k: at for at, k in enumerate(in_tree)}
+        tops = np.array([top(group[k]) for k in in_tree])
         found = []
-        for q in (k for k in range(len(ids)) if side[k] != 1):
-            for place in matches(tree, sets[q], num, den, lambda p: top(group[kept[p]]) == top(group[q])):
+        for q in asking:
+            differ = (marks != part_bytes(raw[q], parts)).sum(1)
+            near = (differ * (den + num) <= (sizes + len(raw[q])) * (den - num)) & (tops != top(group[q]))
+            if side[q] == 2:
+                near[: place_of[q] + 1] = False  # the others asked already
+            if not near.any():
+                continue
+            before = np.concatenate([[0], np.cumsum(near)]).tolist()
+            query = sets[q] if q in sets else tuple(raw[q].tolist())
+            for place in matches(tree, query, num, den, before):
                 k = kept[place]
-                if top(group[k]) != top(group[q]):
-                    head[top(group[k])] = top(group[q])
+                x, y = top(group[k]), top(group[q])
+                if x != y:
+                    head[x] = y
+                    tops[tops == x] = y
                     found.append((ids[q], ids[k]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -156,10 +188,8 @@ def leader_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     sizes = pairs.join(sets.select("id", "size"), "id")
     count = sizes.groupBy("leader").agg(_blocks(F.sum("size")).alias("blocks"))
     dealt = sizes.join(count, "leader").select("leader", "id", F.expr("pmod(xxhash64(id), blocks)").alias("block"))
-    members = dealt.join(sets, "id").select("leader", "block", F.lit(0).alias("side"), "id", "tokens")
     heads = count.select("leader", F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("block"), F.col("leader").alias("id"))
-    leaders = heads.join(sets, "id").select("leader", "block", F.lit(1).alias("side"), "id", "tokens")
-    rows = members.union(leaders)
+    rows = dealt.withColumn("side", F.lit(0)).unionByName(heads.withColumn("side", F.lit(1))).join(sets.select("id", "tokens"), "id")
     units = rows.select(
         F.col("leader").alias("u1"), F.col("block").alias("u2"), F.lit(0).alias("u3"), "side", "id", F.col("id").alias("component"), "tokens"
     )
@@ -167,31 +197,34 @@ def leader_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
 
 
 def remaining_links(met: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among the members of meetings that are still in several components.
-
-    `met` has rows (part, id, leader). Leaders were compared with all of theirs already. Meetings of
-    the same members are joined once. A meeting of many tokens is cut into blocks, and every two
-    blocks of it are a unit.
-    """
-    others = met.where("id <> leader").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    others = others.select("part", "id", F.coalesce("component", "id").alias("component")).join(sets.select("id", "size"), "id")
-    open_parts = (
-        others.groupBy("part")
-        .agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), _blocks(F.sum("size")).alias("blocks"),
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % (1 << 40)).alias("s1"),
-            F.sum(F.xxhash64(F.lit(7), "id") % (1 << 40)).alias("s2"),
-        )
-        .where("low < high")
-        .groupBy("n", "s1", "s2", "blocks")
-        .agg(F.min("part").alias("part"))
-        .select("part", "blocks")
+    """Links among the members of meetings (rows part, id, leader) that are still in several components."""
+    members = met.join(labels.withColumnRenamed("node", "id"), "id", "left")
+    members = members.select("part", "id", "leader", F.coalesce("component", "id").alias("component"))
+    several = members.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    members = written(members.join(several.select("part"), "part"), "open")
+    clusters = components(members.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
+    whole = members.select("id", "component").distinct().join(clusters.select(F.col("node").alias("id"), F.col("component").alias("unit")), "id")
+    whole = written(whole.join(sets.select("id", "size"), "id"), "clusters")
+    blocks = whole.groupBy("unit").agg(_blocks(F.sum("size")).alias("blocks"))
+    large = blocks.where(F.col("blocks") > MAX_BLOCKS).select("unit")
+    by_meeting = (
+        members.select(F.col("part").alias("unit"), "id", "component")
+        .join(whole.select("id", F.col("unit").alias("of")), "id")
+        .join(large.withColumnRenamed("unit", "of"), "of", "left_semi")
+        .join(sets.select("id", "size"), "id")
+        .select("id", "component", "unit", "size")
+    )
+    meeting_blocks = by_meeting.groupBy("unit").agg(_blocks(F.sum("size")).alias("blocks"))
+    dealt = (
+        whole.join(blocks.where(F.col("blocks") <= MAX_BLOCKS), "unit").withColumn("kind", F.lit(0))
+        .unionByName(by_meeting.join(meeting_blocks, "unit").withColumn("kind", F.lit(1)))
+        .withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
     )
-    dealt = others.join(open_parts, "part").withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
     units = dealt.select(
-        "part", "id", "component", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+        "unit", "kind", "id", "component", "own", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
     ).select(
-        F.col("part").alias("u1"), F.least("own", "other").alias("u2"), F.greatest("own", "other").alias("u3"),
+        F.col("unit").alias("u1"), F.col("kind").alias("u2"),
+        (F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")).alias("u3"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "id", "component",
     )
     return block_links(units.join(sets.select("id", "tokens"), "id").select("u1", "u2", "u3", "side", "id", "component", "tokens"), num, den)
@@ -226,7 +259,10 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     met = written(met, "meetings")
     wanted = written(met.select("id").distinct(), "wanted")
     sets = written(packed_sets(rows.join(sized(wanted), "id", "left_semi"), n).where("size > 0"), "sets")
-    first = written(leader_links(met.where("id <> leader").select("leader", "id").distinct(), sets, num, den), "first")
+    often = met.where("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"))
+    nearest = often.groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("low"))).alias("best"))
+    pairs = nearest.select((-F.col("best.low")).alias("leader"), "id")
+    first = written(leader_links(pairs, sets, num, den), "first")
     more = remaining_links(met, components(first), sets, num, den)
     links = first.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     labels = components(links)

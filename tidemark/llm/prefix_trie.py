@@ -17,12 +17,14 @@ class Node:
     ends: list[int] = field(default_factory=list)  # places of the sets that end here
     least: int = 0
     most: int = 0
+    first: int = 0  # the subtree's sets are order[first:stop]
+    stop: int = 0
 
 
-def build(sets: list[tuple[int, ...]]) -> Node:
-    """The tree of `sets`, each an ascending tuple. Paths without a branch are one node."""
+def build(sets: list[tuple[int, ...]]) -> tuple[Node, list[int]]:
+    """The tree of `sets`, each an ascending tuple, and their order in it. Paths without a branch are one node."""
     order = sorted(range(len(sets)), key=sets.__getitem__)
-    root = Node(())
+    root = Node((), stop=len(order))
     todo = [(root, order, 0)]
     made = [root]
     while todo:
@@ -39,7 +41,7 @@ def build(sets: list[tuple[int, ...]]) -> Node:
             limit = min(len(first), len(last))
             while stop < limit and first[stop] == last[stop]:  # sorted, so all between share it too
                 stop += 1
-            child = Node(first[depth:stop], stop)
+            child = Node(first[depth:stop], stop, first=node.first + at, stop=node.first + end)
             node.children.append(child)
             made.append(child)
             todo.append((child, places[at:end], stop))
@@ -48,7 +50,7 @@ def build(sets: list[tuple[int, ...]]) -> Node:
         sizes = [node.depth] * bool(node.ends) + [c.least for c in node.children]
         node.least = min(sizes, default=0)
         node.most = max([node.depth] * bool(node.ends) + [c.most for c in node.children], default=0)
-    return root
+    return root, order
 
 
 def need(a: int, b: int, num: int, den: int) -> int:
@@ -56,12 +58,13 @@ def need(a: int, b: int, num: int, den: int) -> int:
     return -(-num * (a + b) // (num + den))
 
 
-def matches(root: Node, query: tuple[int, ...], num: int, den: int, skip=lambda place: False) -> Iterator[int]:
+def matches(root: Node, query: tuple[int, ...], num: int, den: int, open_before: list[int] | None = None) -> Iterator[int]:
     """Places of the sets similar to `query`.
 
     One walk carries the overlap of the shared path down to all sets below it. A subtree is left
     when what it can still add (the fewer of the query's and the subtree's remaining tokens) cannot
-    reach the overlap that its smallest admissible set needs.
+    reach the overlap that its smallest admissible set needs. `open_before[k]` counts the sets that
+    are still of interest among the first k of the tree's order; subtrees without one are left too.
     """
     n, own = len(query), frozenset(query)
     low, high = -(-num * n // den), den * n // num
@@ -70,12 +73,13 @@ def matches(root: Node, query: tuple[int, ...], num: int, den: int, skip=lambda
         node, got = stack.pop()
         if node.most < low or node.least > high:
             continue
+        if open_before is not None and open_before[node.first] == open_before[node.stop]:
+            continue
         if node.run:
             got += len(own.intersection(node.run))
             left = n - bisect_right(query, node.run[-1])
             if got + min(left, node.most - node.depth) < need(n, max(node.least, low), num, den):
                 continue
-        for place in node.ends:
-            if got >= need(n, node.depth, num, den) and low <= node.depth <= high and not skip(place):
-                yield place
+        if node.ends and low <= node.depth <= high and got >= need(n, node.depth, num, den):
+            yield from node.ends
         stack.extend((child, got) for child in node.children)
