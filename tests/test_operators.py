@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schema
 from tidemark.operators import drift, ecdf, lineage, metrics, rules, splits, timeline
 from tidemark.operators.asof import asof_join, latest_per_key, online_lookup
 from tidemark.plans import monitoring, registry, scoring
@@ -202,3 +203,64 @@ def test_fingerprint_ignores_order(spark):
     b = lineage.fingerprint(df.orderBy(F.desc("i")).repartition(3), ["i", "s"]).first()
     c = lineage.fingerprint(df.fillna("", ["s"]), ["i", "s"]).first()
     assert a["content_hash"] == b["content_hash"] != c["content_hash"]
+
+
+def test_asof_missing_keys_and_times_match_nothing(spark):
+    entities = spark.createDataFrame(
+        [(1, "a", 10), (2, None, 10), (3, "a", None), (4, "b", 5)], "row int, node_id string, at int"
+    ).withColumn("at", F.timestamp_seconds("at"))
+    features = spark.createDataFrame(
+        [("a", 9, 1.0), (None, 9, 2.0), ("a", None, 3.0), ("b", 6, 4.0), ("a", 99, 5.0)], "node_id string, ts int, v double"
+    ).withColumn("ts", F.timestamp_seconds("ts"))
+    for ttl in (None, "1 hour"):
+        out = asof_join(entities, features, key="node_id", entity_ts="at", feature_ts="ts", columns=["v"], ttl=ttl)
+        assert {r.row: r.v for r in out.collect()} == {1: 1.0, 2: None, 3: None, 4: None}
+    assert asof_join(entities.limit(0), features, key="node_id", entity_ts="at", feature_ts="ts", columns=["v"]).count() == 0
+
+
+def test_asof_reads_only_features_in_reach(spark, tmp_path):
+    features = spark.range(1000).select(
+        F.concat(F.lit("n"), (F.col("id") % 50).cast("string")).alias("node_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+        F.col("id").cast("double").alias("v"),
+    )
+    features.write.parquet(str(tmp_path / "f"))
+    entities = spark.createDataFrame([("n3", 30000), ("n4", 33000)], "node_id string, at int").withColumn("at", F.timestamp_seconds("at"))
+    out = asof_join(
+        entities, spark.read.parquet(str(tmp_path / "f")), key="node_id", entity_ts="at", feature_ts="ts", columns=["v"], ttl="24 hours"
+    )
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(ts," in plan and "GreaterThanOrEqual(ts," in plan
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert {r.node_id: r.v for r in out.collect()} == {"n3": 453.0, "n4": 504.0}
+
+
+def test_row_digest_does_not_collide(spark):
+    rows = [("x|y", "z"), ("x", "y|z"), (None, "z"), ("\\N", "z"), ("", "z"), ("-", "z"), ("1:x", "z")]
+    df = spark.createDataFrame(rows, "a string, b string").select(lineage.row_digest(["a", "b"]).alias("d"))
+    assert len({r.d for r in df.collect()}) == len(rows)
+
+
+def test_version_diff_counts_copies(spark):
+    old = spark.createDataFrame([("g", 1), ("g", 1), ("g", 2), ("h", 5), (None, 1)], "g string, v int")
+    new = spark.createDataFrame([("g", 1), ("g", 3), ("g", 3), ("h", 5), (None, 2)], "g string, v int")
+    assert {r.g: (r.added, r.removed) for r in lineage.version_diff(old, new, ["g"]).collect()} == {"g": (2, 2), None: (1, 1)}
+
+
+def test_spine_is_anchored_at_its_start(spark):
+    keys = spark.createDataFrame([("a", "2024-01-01 00:07:30", "2024-01-01 00:10:30")], "k string, s string, e string")
+    out = timeline.spine(keys, "k", F.col("s").cast("timestamp"), F.col("e").cast("timestamp"))
+    assert [str(r.timestamp)[11:] for r in out.orderBy("timestamp").collect()] == ["00:07:30", "00:08:30", "00:09:30"]
+
+
+def test_nan_is_missing_in_rules(spark):
+    df = spark.createDataFrame([(float("nan"), 0.0, 0.0, 100.0, 0.0)], ", ".join(f"{m} double" for m in schema.METRICS))
+    row = rules.fallback_verdict(rules.rule_verdict(df)).first()
+    assert (row.is_anomaly, row.num_rules_triggered, row.fallback_anomaly) == (0, 0, 0)
+
+
+def test_missing_predictions_stay_in_the_total(spark):
+    df = spark.createDataFrame([(1, 1), (None, 1), (None, 0)], "p int, y int")
+    row = metrics.classification_scores(df, [], "p", "y").first()
+    assert (row.tp, row.fn, row.tn, row.total) == (1, 1, 1, 3)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def col(c: Column | str) -> Column:
@@ -42,10 +41,6 @@ def clip(c: Column, low: float, high: float) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))
 
 
-def floor_at(c: Column, low: float) -> Column:
-    return F.when(c.isNotNull(), F.greatest(F.lit(low), c))
-
-
 def key_hash(keys: Sequence[Column | str], seed: int | str) -> Column:
     """md5 over the key columns and a seed: the same value on every run, retry and engine."""
     parts = [F.coalesce(col(k).cast("string"), F.lit("")) for k in keys]
@@ -87,16 +82,3 @@ def count_below(bounds: Column, size: int, value: Column) -> Column:
         return F.when(probe.isNotNull() & (probe < value), at + step).otherwise(at)
 
     return F.aggregate(loop, F.lit(0), advance)
-
-
-def epoch_seconds(c: Column | str, dtype: T.DataType) -> Column:
-    """Seconds since 1970, free of the session time zone for zone-less types."""
-    c = col(c)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_seconds(c)
-    if isinstance(dtype, T.TimestampNTZType):
-        days = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
-        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(dtype, T.DateType):
-        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400
-    return c.cast("double")

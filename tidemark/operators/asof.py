@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import HOT, SLOT, TARGET_ROWS, split_hot_series
+from tidemark.sizing import counted_side
 
 
 def asof_join(
@@ -33,11 +34,17 @@ def asof_join(
       `ttl` old. Older ones give NULL. `ttl` is an interval text such as "24 hours"; None = no limit.
     * Of several feature rows with the same timestamp the one with the greatest `tie` wins.
     * `<prefix>feature_time` is the matched row's timestamp. Entity rows are never lost or doubled.
+    * A feature row without key or time matches nothing; entity rows without them keep NULLs.
+
+    Only features that can match are read: the entities' range of times (one small aggregate) and,
+    if they are few, their keys become filters of the feature side.
     """
     tie = tie or []
     kept = entities.columns
+    features = features_in_reach(entities, features, key=key, entity_ts=entity_ts, feature_ts=feature_ts, ttl=ttl)
     found = F.struct(F.col(feature_ts).alias("at"), *columns)
-    rows = entities.select(
+    asking = F.col(key).isNotNull() & F.col(entity_ts).isNotNull()
+    rows = entities.where(asking).select(
         F.col(key).alias("_key"),
         F.col(entity_ts).alias("_ts"),
         F.lit(1).alias("_side"),
@@ -67,9 +74,41 @@ def asof_join(
     if ttl is not None:
         fresh = F.col("_last.at") >= F.col("_ts") - F.expr(f"INTERVAL '{ttl}'")
     match = F.when(fresh, F.col("_last"))
-    return seen.select("_entity.*", match.alias("_m")).select(
+    answered = seen.select("_entity.*", match.alias("_m")).select(
         *kept, F.col("_m.at").alias(f"{prefix}feature_time"), *[F.col(f"_m.{c}").alias(f"{prefix}{c}") for c in columns]
     )
+    kinds = {f.name: f.dataType for f in answered.schema.fields}
+    blank = [F.lit(None).cast(kinds[c]).alias(c) for c in answered.columns[len(kept) :]]
+    return answered.union(entities.where(~asking).select(*kept, *blank))
+
+
+def time_bounds(df: DataFrame, ts: str) -> tuple[Column, Column] | None:
+    """Least and greatest time as constants, so that a filter on them reaches a scan; None without any."""
+    kind = df.schema[ts].dataType
+    row = df.agg(F.min(ts).cast("string").alias("low"), F.max(ts).cast("string").alias("high")).first()
+    return None if row["low"] is None else (F.lit(row["low"]).cast(kind), F.lit(row["high"]).cast(kind))
+
+
+def only_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of `df` with a key of `keys`, if those are few enough to be broadcast; else `df` as it is."""
+    wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    few = counted_side(wanted)
+    return df if few is wanted else df.join(few, key, "left_semi")
+
+
+def features_in_reach(
+    entities: DataFrame, features: DataFrame, *, key: str, entity_ts: str, feature_ts: str, ttl: str | None
+) -> DataFrame:
+    """The feature rows that some entity row could match."""
+    features = features.where(F.col(key).isNotNull() & F.col(feature_ts).isNotNull())
+    bounds = time_bounds(entities, entity_ts)
+    if bounds is None:
+        return features.limit(0)
+    low, high = bounds
+    features = features.where(F.col(feature_ts) <= high)
+    if ttl is not None:
+        features = features.where(F.col(feature_ts) >= low - F.expr(f"INTERVAL '{ttl}'"))
+    return only_keys(features, entities, key)
 
 
 def _carry_over(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -88,14 +127,18 @@ def latest_per_key(
     start: Column | None = None,
     end: Column | None = None,
 ) -> DataFrame:
-    """Newest row per key inside [start, end]: an aggregate with map-side combine, no window."""
+    """Newest row per key inside [start, end]; rows without key or time are not an answer.
+
+    Spark keeps one row per key and task before the shuffle (a group limit), so a hot key costs
+    as many rows as there are tasks.
+    """
+    df = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     if start is not None:
         df = df.where(F.col(ts) >= start)
     if end is not None:
         df = df.where(F.col(ts) <= end)
-    others = [c for c in df.columns if c != key]
-    newest = F.max_by(F.struct(*others), F.struct(ts, *(tie or [])))
-    return df.groupBy(key).agg(newest.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
+    newest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in (ts, *(tie or []))])
+    return df.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") == 1).drop("_place")
 
 
 def online_lookup(entities: DataFrame, latest: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def row_digest(columns: list[str]) -> Column:
-    """60-bit number from the md5 of a row's text; NULL and the empty string differ."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(38,0)")
+    """60-bit number from the md5 of a row's text.
+
+    Every part is written as its length, a colon and its text; NULL is a bare dash. So no two
+    different rows have the same text, whatever their values hold.
+    """
+    texts = [F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def fingerprint(df: DataFrame, columns: list[str], groups: list[str] | None = None) -> DataFrame:
@@ -41,9 +46,11 @@ def changed_versions(fingerprints: DataFrame, dataset: str, version: str) -> Dat
 
 def version_diff(old: DataFrame, new: DataFrame, groups: list[str]) -> DataFrame:
     """Rows added and removed between two versions, per group; equal rows cancel one by one."""
-    added = new.exceptAll(old).select(*groups, F.lit(1).alias("a"), F.lit(0).alias("r"))
-    removed = old.exceptAll(new).select(*groups, F.lit(0).alias("a"), F.lit(1).alias("r"))
-    return added.unionByName(removed).groupBy(*groups).agg(F.sum("a").alias("added"), F.sum("r").alias("removed"))
+    signed = new.withColumn("_sign", F.lit(1)).unionByName(old.withColumn("_sign", F.lit(-1)))
+    net = signed.groupBy(*new.columns).agg(F.sum("_sign").alias("_net")).where(F.col("_net") != 0)
+    return net.groupBy(*groups).agg(
+        F.sum(F.greatest(F.col("_net"), F.lit(0))).alias("added"), F.sum(F.greatest(-F.col("_net"), F.lit(0))).alias("removed")
+    )
 
 
 def run_lineage(runs: DataFrame, fingerprints: DataFrame, dataset: str) -> DataFrame:
@@ -52,8 +59,3 @@ def run_lineage(runs: DataFrame, fingerprints: DataFrame, dataset: str) -> DataF
         "run_id", F.col("value").alias("content_hash")
     )
     return used.join(fingerprints.select(dataset, "content_hash", "rows"), "content_hash", "left")
-
-
-def file_inventory(df: DataFrame) -> DataFrame:
-    """Files behind a scanned table and their sizes, from the hidden metadata column."""
-    return df.select("_metadata.file_name", "_metadata.file_size").distinct()

@@ -11,8 +11,9 @@ from tidemark.sizing import counted_side
 
 
 def confusion(df: DataFrame, groups: list[str], predicted: str, label: str) -> DataFrame:
-    """tp, fp, fn, tn in one pass with map-side combine."""
-    p, y = F.col(predicted) == 1, F.col(label) == 1
+    """tp, fp, fn, tn in one pass with map-side combine. Only 1 is a positive prediction or label: a
+    missing prediction raises no alarm and counts among the negatives, so the four add up to all rows."""
+    p, y = F.coalesce(F.col(predicted) == 1, F.lit(False)), F.coalesce(F.col(label) == 1, F.lit(False))
     return df.groupBy(*groups).agg(
         F.count_if(p & y).alias("tp"),
         F.count_if(p & ~y).alias("fp"),

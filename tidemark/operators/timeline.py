@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import SLOT, TARGET_ROWS, split_hot_series
 
+STEPS_PER_PIECE = 1440
+
 
 def _numbered(df: DataFrame, partition: list[str], order: list[str], name: str) -> DataFrame:
     """Number the runs of a series: a run starts where `_changed` holds."""
@@ -66,13 +69,19 @@ def episodes(
 def spine(keys: DataFrame, key: str, start: Column, end: Column, step: str = "1 minute") -> DataFrame:
     """Every expected time of every key in [start, end), right-open.
 
-    Whole days are spread first, then the steps of a day, so no row carries more than one day.
+    Times are `start` plus whole steps, whatever the start. Steps are numbered and spread in pieces
+    of STEPS_PER_PIECE first, so no row carries more than one piece.
     """
-    days = F.explode(F.sequence(F.date_trunc("day", start), F.date_trunc("day", end), F.expr("INTERVAL '1 day'")))
-    by_day = keys.select(key, days.alias("_day"), start.alias("_start"), end.alias("_end"))
-    steps = F.sequence("_day", F.col("_day") + F.expr("INTERVAL '1 day' - INTERVAL '1 second'"), F.expr(f"INTERVAL '{step}'"))
-    times = by_day.select(key, "_start", "_end", F.explode(steps).alias("timestamp"))
-    return times.where((F.col("timestamp") >= F.col("_start")) & (F.col("timestamp") < F.col("_end"))).select(key, "timestamp")
+    micros = pd.Timedelta(step) // pd.Timedelta("1us")
+    ends = keys.select(key, F.unix_micros(start.cast("timestamp")).alias("_from"), F.unix_micros(end.cast("timestamp")).alias("_to"))
+    counted = ends.withColumn("_n", F.ceil((F.col("_to") - F.col("_from")) / micros)).where(F.col("_n") > 0)
+    last_piece = F.floor((F.col("_n") - 1) / STEPS_PER_PIECE)
+    pieces = counted.select(key, "_from", "_n", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)).alias("_piece"))
+    low = F.col("_piece") * STEPS_PER_PIECE
+    steps = F.explode(F.sequence(low, F.least(low + STEPS_PER_PIECE, F.col("_n")) - 1)).alias("_step")
+    return pieces.select(key, "_from", steps).select(
+        key, F.timestamp_micros((F.col("_from") + F.col("_step") * micros).cast("long")).alias("timestamp")
+    )
 
 
 def gaps(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:

@@ -93,7 +93,7 @@ def improvement(table: DataFrame) -> DataFrame:
         F.col("f1_score").alias("best_f1"),
         production.select("version").scalar().alias("production_version"),
         base.alias("production_f1"),
-        F.when(gain > 0, percent).otherwise(F.lit(0.0)).alias("improvement_pct"),
+        F.when(base.isNotNull(), F.when(gain > 0, percent).otherwise(F.lit(0.0))).alias("improvement_pct"),
     )
 
 

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schema
+from tidemark.functions.expr import nan_to_null
 from tidemark.sizing import shared_dir
 
 
 def read_telemetry_csv(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
-    """CSV with a header and the fixed telemetry types (no inference pass over the data)."""
+    """CSV with a header and the fixed telemetry types (no inference pass over the data); NaN becomes NULL."""
     fields = schema.TELEMETRY.fields + (extra.fields if extra else [])
-    return spark.read.schema(T.StructType(fields)).csv(path, header=True)
+    rows = spark.read.schema(T.StructType(fields)).csv(path, header=True)
+    return rows.withColumns({m: nan_to_null(m) for m in schema.METRICS})
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators.asof import asof_join, latest_per_key, online_lookup
+from tidemark.operators.asof import asof_join, latest_per_key, online_lookup, only_keys, time_bounds
 
 Reader = Callable[[SparkSession], DataFrame]
 
@@ -28,9 +28,18 @@ class FeatureView:
     description: str = ""
     tags: dict[str, str] = field(default_factory=dict)
     online: bool = True
+    narrows: bool = False
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self.source(spark) if callable(self.source) else spark.read.parquet(self.source)
+    def read(self, spark: SparkSession, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """The view's rows. `narrow` drops rows that nobody asks for; a computed view with `narrows`
+        applies it to its raw rows, before the windows, else it is applied to the result."""
+        if not callable(self.source):
+            rows = spark.read.parquet(self.source)
+        elif self.narrows and narrow is not None:
+            return self.source(spark, narrow)
+        else:
+            rows = self.source(spark)
+        return narrow(rows) if narrow is not None else rows
 
 
 # The two views of the telemetry model and their fields.
@@ -49,7 +58,9 @@ ENGINEERED_FIELDS = {
 }
 
 
-def network_views(raw: str | Reader, engineered: str | Reader, tie: tuple[str, ...] = ()) -> dict[str, FeatureView]:
+def network_views(
+    raw: str | Reader, engineered: str | Reader, tie: tuple[str, ...] = (), narrows: bool = False
+) -> dict[str, FeatureView]:
     """The raw and the engineered view over the given sources."""
     views = [
         FeatureView(
@@ -58,7 +69,7 @@ def network_views(raw: str | Reader, engineered: str | Reader, tie: tuple[str, .
             tags={"team": "ml-platform", "data_tier": "raw"},
         ),
         FeatureView(
-            ENGINEERED_VIEW, "node_id", engineered, ENGINEERED_FIELDS, tie=tie,
+            ENGINEERED_VIEW, "node_id", engineered, ENGINEERED_FIELDS, tie=tie, narrows=narrows,
             description="Rolling, z-score, change, cross-metric and calendar features",
             tags={"team": "ml-platform", "data_tier": "features"},
         ),
@@ -98,14 +109,21 @@ def historical_features(
     """Point-in-time values from several views: one output row per entity row.
 
     Each view is matched with its own time to live, so features of one row may come from
-    different times in different views.
+    different times in different views. Rows after the last entity time and of keys that nobody
+    asks for are left out before a view is computed: its frames only look back.
     """
     spark, out = entities.sparkSession, entities
+    bounds = time_bounds(entities, entity_ts)
     for name, columns in resolve(references, views).items():
         view = views[name]
+
+        def narrow(rows: DataFrame, view: FeatureView = view) -> DataFrame:
+            upto = F.lit(False) if bounds is None else F.col(view.timestamp_field) <= bounds[1]
+            return only_keys(rows.where(upto), entities, view.entity)
+
         joined = asof_join(
             out,
-            view.read(spark),
+            view.read(spark, narrow),
             key=view.entity,
             entity_ts=entity_ts,
             feature_ts=view.timestamp_field,
@@ -119,10 +137,15 @@ def historical_features(
     return out
 
 
-def materialize(view: FeatureView, spark: SparkSession, start=None, end=None) -> DataFrame:
-    """Online table of a view: newest row per entity in the time range."""
+def materialize(view: FeatureView, spark: SparkSession, start=None, end=None, keys: DataFrame | None = None) -> DataFrame:
+    """Online table of a view: newest row per entity in the time range, of the asked `keys` only if given."""
+
+    def narrow(rows: DataFrame) -> DataFrame:
+        rows = rows if end is None else rows.where(F.col(view.timestamp_field) <= end)
+        return rows if keys is None else only_keys(rows, keys, view.entity)
+
     return latest_per_key(
-        view_table(view.read(spark), view), view.entity, view.timestamp_field, list(view.tie), start, end
+        view_table(view.read(spark, narrow), view), view.entity, view.timestamp_field, list(view.tie), start, end
     )
 
 

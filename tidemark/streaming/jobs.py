@@ -91,7 +91,8 @@ def keyed_features(
             fresh = rows[metric].to_numpy(dtype=float)
             for stat, values in _window_stats(old, fresh, window).items():
                 rows[f"{metric}_{stat}"] = values
-            last = np.concatenate([old, fresh])[-(window - 1) :]
+            both = np.concatenate([old, fresh])
+            last = both[max(0, len(both) - (window - 1)) :]
             kept.append([None if np.isnan(v) else float(v) for v in last])
         state.update(tuple(kept))
         if idle_ms:

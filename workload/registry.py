@@ -223,14 +223,24 @@ def rollback_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Data versions: the year of the order is the version of the orders data set.
-_DIGEST = "('0x' || substr(md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)), 1, 15))::BIGINT"
+# Every column counts; prices as decimals and dates as days, which both engines write alike.
+_PRINT_SQL = {
+    "o_orderkey": "o_orderkey",
+    "o_custkey": "o_custkey",
+    "o_orderstatus": "o_orderstatus",
+    "o_totalprice": "CAST(o_totalprice AS DECIMAL(18, 2))",
+    "o_orderdate": "CAST(o_orderdate AS DATE)",
+    "o_orderpriority": "o_orderpriority",
+}
+_PRINT_COLUMNS = list(_PRINT_SQL)
+_PARTS = " || ".join(f"coalesce(length(CAST({e} AS VARCHAR)) || ':' || CAST({e} AS VARCHAR), '-')" for e in _PRINT_SQL.values())
+_DIGEST = f"('0x' || substr(md5({_PARTS}), 1, 15))::BIGINT"
 _PRINTS = f"""f AS (SELECT CAST(year(o_orderdate) AS INT) AS version, count(*) AS rows,
   md5(concat_ws('|', count(*), CAST(sum(CAST({_DIGEST} AS HUGEINT)) AS VARCHAR))) AS content_hash FROM orders GROUP BY 1)"""
-_PRINT_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
 def _prints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").withColumn("version", F.year("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("version"), *[F.expr(e.replace("VARCHAR", "STRING")).alias(c) for c, e in _PRINT_SQL.items()])
     return lineage.fingerprint(orders, _PRINT_COLUMNS, ["version"]).withColumn("dataset", F.lit("orders"))
 
 
@@ -251,8 +261,9 @@ def changed_data_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "data_version_diff",
-    """WITH o AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem WHERE l_orderkey % 10 <> 3),
-         n AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_orderkey % 7 = 1 THEN 'X' ELSE l_returnflag END AS l_returnflag
+    """WITH o AS (SELECT * FROM lineitem WHERE l_orderkey % 10 <> 3),
+         n AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 1 THEN 'X' ELSE l_returnflag END AS l_returnflag,
+                                 CASE WHEN l_orderkey % 11 = 1 THEN l_tax + 1 ELSE l_tax END AS l_tax)
                FROM lineitem WHERE l_orderkey % 10 <> 4),
          a AS (SELECT * FROM n EXCEPT ALL SELECT * FROM o), r AS (SELECT * FROM o EXCEPT ALL SELECT * FROM n)
        SELECT l_suppkey, CAST(sum(a) AS BIGINT) AS added, CAST(sum(r) AS BIGINT) AS removed FROM (
@@ -261,9 +272,14 @@ def changed_data_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def data_version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows added and removed between two versions of the line table, per supplier."""
     k = F.col("l_orderkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem")
     old = lines.where(k % 10 != 3)
-    new = lines.where(k % 10 != 4).withColumn("l_returnflag", F.when(k % 7 == 1, "X").otherwise(F.col("l_returnflag")))
+    new = lines.where(k % 10 != 4).withColumns(
+        {
+            "l_returnflag": F.when(k % 7 == 1, "X").otherwise(F.col("l_returnflag")),
+            "l_tax": F.when(k % 11 == 1, F.col("l_tax") + 1).otherwise(F.col("l_tax")),
+        }
+    )
     return lineage.version_diff(old, new, ["l_suppkey"])
 
 

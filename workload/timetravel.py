@@ -72,8 +72,11 @@ def point_in_time_join_split_keys(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def _views(spark: SparkSession, sf_dir: str) -> dict[str, fv.FeatureView]:
     raw = telemetry(spark, sf_dir)
-    features = compute_features(raw, order=ORDER, families={"rolling", "delta", "cross", "zscore", "calendar"})
-    return fv.network_views(lambda _: raw, lambda _: features, tie=tuple(TIES))
+
+    def engineered(_: SparkSession, narrow=lambda rows: rows) -> DataFrame:
+        return compute_features(narrow(raw), order=ORDER, families={"rolling", "delta", "cross", "zscore", "calendar"})
+
+    return fv.network_views(lambda _: raw, engineered, tie=tuple(TIES), narrows=True)
 
 
 REFERENCES = [
@@ -161,9 +164,9 @@ def online_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     unknown = table(spark, sf_dir, "nation").select(
         F.concat(F.lit("unknown-"), F.col("n_nationkey").cast("string")).alias("node_id")
     )
-    views = _views(spark, sf_dir)
-    tables = {n: fv.materialize(v, spark, *_bounds()) for n, v in views.items()}
-    out = fv.online_features(known.unionByName(unknown), REFERENCES[:4], views, tables)
+    views, asked = _views(spark, sf_dir), known.unionByName(unknown)
+    tables = {n: fv.materialize(v, spark, *_bounds(), keys=asked) for n, v in views.items()}
+    out = fv.online_features(asked, REFERENCES[:4], views, tables)
     return rounded(out, ["latency_ms_zscore"])
 
 
