@@ -264,3 +264,30 @@ def test_missing_predictions_stay_in_the_total(spark):
     df = spark.createDataFrame([(1, 1), (None, 1), (None, 0)], "p int, y int")
     row = metrics.classification_scores(df, [], "p", "y").first()
     assert (row.tp, row.fn, row.tn, row.total) == (1, 1, 1, 3)
+
+
+def test_monitor_keeps_null_groups_at_every_size(spark):
+    log = spark.createDataFrame(
+        [(1, 10.0, 0, 0), (1, 30.0, 1, 0), (2, None, 0, 1), (None, 5.0, 1, 1)], "g int, ms double, flag int, failed int"
+    )
+    want = {1: (20.0, 2, 0.5), 2: (None, 1, 0.0), None: (5.0, 1, 1.0)}
+    for small in (0, 1 << 70):
+        out = monitoring.log_monitor(log, ["g"], "ms", "flag", "failed", small_bytes=small)
+        assert {r.g: (r.p50_ms, r.total_requests, r.anomaly_rate) for r in out.collect()} == want
+
+
+def test_binned_percentiles_keep_long_and_time_order(spark):
+    big = 1 << 53
+    rows = [(k, big + k, T0 + dt.timedelta(seconds=k)) for k in range(40)]
+    df = spark.createDataFrame(rows, "k long, v long, t timestamp")
+    for value in ("v", "t"):
+        out = ecdf.running_totals(df, [], value, {"n": F.lit(1)}, small_bytes=0, bins=4).orderBy("cum_n").collect()
+        assert [r.cum_n for r in out] == list(range(1, 41))
+        assert len({r[value] for r in out}) == 40
+
+
+def test_tags_have_no_trailing_zeros(spark):
+    table = spark.createDataFrame([(1, "?", 0.85, 1.0)], "version int, model_type string, f1_score double, roc_auc double")
+    out = registry.version_tags(table, F.lit("2026-01-01").cast("date"), F.lit("v"), author="a", project="p", anomaly_types="spike")
+    tags = {r.tag: r.value for r in out.collect()}
+    assert (tags["f1_score"], tags["roc_auc"], tags["model_type"]) == ("0.85", "1.0", "unknown")

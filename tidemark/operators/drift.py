@@ -115,14 +115,13 @@ def wasserstein_verdict(details: DataFrame, limit: float = WASSERSTEIN_LIMIT) ->
 def histogram_divergence(samples: DataFrame, bins: int = 20, smoothing: float = 1e-6) -> DataFrame:
     """Kullback-Leibler divergence of current from reference over common equal-width bins."""
     spans = samples.groupBy("column").agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
-    counts = samples.groupBy("column", "value").agg(
-        F.count_if(F.col("side") == "ref").alias("ref"), F.count_if(F.col("side") == "cur").alias("cur")
-    )
     width = (F.col("_high") - F.col("_low")) / bins
     slot = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("_low"), width)).cast("int"), F.lit(0))
     # One row per analysed column: bounded by the width of the schema.
-    placed = counts.join(F.broadcast(spans), "column").withColumn("bin", F.least(slot, F.lit(bins - 1)))
-    binned = placed.groupBy("column", "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    placed = samples.join(F.broadcast(spans), "column").withColumn("bin", F.least(slot, F.lit(bins - 1)))
+    binned = placed.groupBy("column", "bin").agg(
+        F.count_if(F.col("side") == "ref").alias("ref"), F.count_if(F.col("side") == "cur").alias("cur")
+    )
     totals = binned.groupBy("column").agg(
         F.sum("ref").alias("n"), F.sum("cur").alias("m"), F.collect_list(F.struct("ref", "cur")).alias("cells")
     )

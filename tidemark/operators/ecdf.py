@@ -14,9 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.expr import count_below
-from tidemark.sizing import is_small, plan_bytes
+from tidemark.sizing import group_join, is_small, plan_bytes
 
 BYTES_PER_BIN = 64 * 1024 * 1024
 MIN_BINS, MAX_BINS = 15, 8191
@@ -29,10 +30,20 @@ def _bins_for(df: DataFrame) -> int:
 
 def _borders(df: DataFrame, value: str, bins: int) -> list[float]:
     points = [i / bins for i in range(1, bins)]
-    row = df.agg(F.percentile_approx(value, points, 10 * bins).alias("b")).first()
+    row = df.agg(F.percentile_approx(_number(df, value), points, 10 * bins).alias("b")).first()
     return sorted(set(row["b"] or []))
 
 
+def _number(df: DataFrame, value: str) -> Column:
+    """The value as a double that keeps its order; it only steers the bins."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(value).cast("timestamp")).cast("double")
+    return F.col(value).cast("double")
+
+
 def running_totals(
     df: DataFrame,
     groups: list[str],
@@ -71,7 +82,7 @@ def running_totals(
     bin_of = F.lit(0)
     if borders:
         constants = F.expr("array(" + ", ".join(f"double('{float(b)!r}')" for b in borders) + ")")
-        bin_of = count_below(constants, len(borders), F.col(value))
+        bin_of = count_below(constants, len(borders), _number(known, value))
     binned = counts.withColumn("_bin", bin_of)
     per_bin = binned.groupBy(*groups, "_bin").agg(
         *[F.sum(m).alias(m) for m in measures],
@@ -83,7 +94,7 @@ def running_totals(
     carried = per_bin.select(
         *groups,
         "_bin",
-        F.lit(None).cast("double").alias(value),
+        F.lit(None).cast(df.schema[value].dataType).alias(value),
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures],
         *[F.sum(m).over(across).alias(f"all_{m}") for m in measures],
         F.lead("_edge").over(across.orderBy(by("_bin"))).alias("_next_edge"),
@@ -114,7 +125,10 @@ def percentiles(
     *,
     small_bytes: int | None = None,
 ) -> DataFrame:
-    """Exact percentiles with linear interpolation, one row per group and one column per point."""
+    """Exact percentiles with linear interpolation, one row per group and one column per point.
+
+    Groups whose values are all NULL are kept, with NULL percentiles.
+    """
     if is_small(df, small_bytes):
         # One aggregate for all points: they share a single count of the values.
         marks = F.percentile(value, list(points.values())).alias("_marks")
@@ -130,4 +144,5 @@ def percentiles(
         place = F.lit(p) * (F.col("_n") - 1)
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         finals.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
-    return totals.groupBy(*groups).agg(F.max("all_n").alias("_n"), *picks).select(*groups, *finals)
+    found = totals.groupBy(*groups).agg(F.max("all_n").alias("_n"), *picks).select(*groups, *finals)
+    return group_join(df.select(*groups).distinct(), found, groups, "left") if groups else found

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import count_below, share
 from tidemark.operators.ecdf import percentile_name, percentiles, running_totals
-from tidemark.sizing import counted_side
+from tidemark.sizing import counted_side, group_join
 
 
 def confusion(df: DataFrame, groups: list[str], predicted: str, label: str) -> DataFrame:
@@ -197,12 +197,11 @@ def density_histogram(df: DataFrame, groups: list[str], value: str, bins: int =
     spans = known.groupBy(*groups).agg(
         F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(F.lit(1)).alias("_n")
     )
-    # Rows are combined per value before they meet the spans, which have one row per group.
-    counts = known.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("c"))
     width = (F.col("_high") - F.col("_low")) / bins
     slot = F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_low"), width)).cast("int"), F.lit(0))
-    placed = counts.join(counted_side(spans), groups).select(
-        *groups, F.least(slot, F.lit(bins - 1)).alias("bin"), "c", "_n", width.alias("_w"), "_low"
+    # Rows meet the spans (one row per group) first, so the shuffle carries at most groups x bins rows a task.
+    placed = group_join(known.select(*groups, value), counted_side(spans), groups).select(
+        *groups, F.least(slot, F.lit(bins - 1)).alias("bin"), F.lit(1).alias("c"), "_n", width.alias("_w"), "_low"
     )
     return placed.groupBy(*groups, "bin").agg(
         F.sum("c").alias("count"),

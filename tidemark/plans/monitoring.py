@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import share
 from tidemark.operators.ecdf import percentiles
+from tidemark.sizing import group_join
 
 # Latency target and monitoring limits.
 SLA_P99_MS = 100.0
@@ -25,7 +26,7 @@ def latency_stats(log: DataFrame, groups: list[str], latency: str, small_bytes:
     )
     numbers = [*LATENCY_POINTS, "mean_ms", "max_ms", "min_ms"]
     if groups:
-        joined = marks.join(moments, groups)
+        joined = group_join(marks, moments, groups)
     else:
         one = marks.select(F.struct(*LATENCY_POINTS).alias("m")).scalar()
         joined = moments.select("*", *[one[p].alias(p) for p in LATENCY_POINTS])
@@ -43,7 +44,7 @@ def log_monitor(
         share(F.count_if(F.col(failed) == 1), total).alias("error_rate"),
     )
     stats = latency_stats(log, groups, latency, small_bytes)
-    return stats.join(rates, groups).withColumn("sla_violation", F.col("p99_ms") > SLA_P99_MS)
+    return group_join(stats, rates, groups).withColumn("sla_violation", F.col("p99_ms") > SLA_P99_MS)
 
 
 def violations(p99: Column, anomaly_rate: Column, error_rate: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import classification_scores, ranking_scores
+from tidemark.sizing import group_join
 
 # Library behind each model type, and the next stage of a version.
 FRAMEWORKS = {"IsolationForest": "scikit-learn", "XGBoost": "xgboost", "Autoencoder": "pytorch"}
@@ -29,10 +30,10 @@ def next_stage(stage: Column) -> Column:
 def score_models(
     predictions: DataFrame, version: str, predicted: str, score: str, label: str, small_bytes: int | None = None
 ) -> DataFrame:
-    """Evaluation of every model version from its scored rows."""
+    """Evaluation of every model version from its scored rows; without a score its AUCs are NULL."""
     counts = classification_scores(predictions, [version], predicted, label)
     ranks = ranking_scores(predictions, [version], score, label, small_bytes)
-    return counts.join(ranks, version)
+    return group_join(counts, ranks, [version], "left")
 
 
 def metric_rows(scores: DataFrame, run_id: Column, run_name: Column, start_time: Column, metrics: list[str]) -> DataFrame:
@@ -141,18 +142,22 @@ def apply_rollback(versions: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def version_tags(
-    table: DataFrame, training_date: Column, data_version: Column, author: str = "ml-team", project: str = "telemetry"
+    table: DataFrame, training_date: Column, data_version: Column, *, author: str, project: str, anomaly_types: str
 ) -> DataFrame:
-    """Nine tags per version, one row each."""
+    """Nine tags per version, one row each. Scores are rounded to 4 digits, without trailing zeros."""
+
+    def score(name: str) -> Column:
+        return F.regexp_replace(F.format_string("%.4f", F.col(name)), r"(\.\d+?)0+$", "$1")
+
     tags = {
-        "model_type": F.col("model_type"),
+        "model_type": F.when(F.coalesce(F.col("model_type"), F.lit("?")) == "?", "unknown").otherwise(F.col("model_type")),
         "training_date": F.date_format(training_date, "yyyy-MM-dd"),
         "author": F.lit(author),
         "project": F.lit(project),
         "data_version": data_version,
-        "anomaly_types_detected": F.lit("spike,degradation,correlated"),
-        "f1_score": F.format_string("%.4f", F.col("f1_score")),
-        "roc_auc": F.format_string("%.4f", F.col("roc_auc")),
+        "anomaly_types_detected": F.lit(anomaly_types),
+        "f1_score": score("f1_score"),
+        "roc_auc": score("roc_auc"),
         "framework": framework_of(F.col("model_type")),
     }
     pairs = F.create_map(*[x for k, v in tags.items() for x in (F.lit(k), v)])

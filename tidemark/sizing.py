@@ -52,6 +52,13 @@ def counted_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def group_join(left: DataFrame, right: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
+    """Join two aggregates on their groups, where NULL is a group like any other."""
+    named = right.select(*[F.col(g).alias(f"_right_{g}") for g in groups], *[c for c in right.columns if c not in groups])
+    same = [F.col(g).eqNullSafe(F.col(f"_right_{g}")) for g in groups]
+    return left.join(named, same, how).drop(*[f"_right_{g}" for g in groups])
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ecdf, metrics, summary
 from tidemark.plans import monitoring
+from tidemark.sizing import group_join
 from workload.base import EVENTS_SQL, METRICS, TELEMETRY_SQL, event_series, query, rounded, shown_sql, telemetry, with_sql
 
 # Scored predictions of seven model versions (the line number): a score in 1/120 steps with many
@@ -215,7 +216,7 @@ def _latency(spark: SparkSession, sf_dir: str, small_bytes: int | None) -> DataF
     moments = rows.groupBy("node_id").agg(
         F.avg("latency_ms").alias("mean_ms"), F.max("latency_ms").alias("max_ms"), F.min("latency_ms").alias("min_ms")
     )
-    return rounded(marks.join(moments, "node_id"), [*monitoring.LATENCY_POINTS, "mean_ms", "max_ms", "min_ms"], 3)
+    return rounded(group_join(marks, moments, ["node_id"]), [*monitoring.LATENCY_POINTS, "mean_ms", "max_ms", "min_ms"], 3)
 
 
 @query("latency_percentiles", _STATS)

@@ -141,14 +141,14 @@ def promoted_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_BOARD,
         """t AS (SELECT version, unnest(['model_type', 'training_date', 'author', 'project', 'data_version', 'anomaly_types_detected',
                'f1_score', 'roc_auc', 'framework']) AS tag,
-             unnest([model_type, '2026-01-01', 'ml-team', 'telemetry', 'v1.0', 'spike,degradation,correlated',
-               printf('%.4f', board.f1_score), printf('%.4f', roc_auc),
+             unnest([model_type, '2026-01-01', 'ops', 'telemetry', 'v1.0', 'spike',
+               regexp_replace(printf('%.4f', board.f1_score), '(\\.\\d+?)0+$', '\\1'), regexp_replace(printf('%.4f', roc_auc), '(\\.\\d+?)0+$', '\\1'),
                CASE model_type WHEN 'IsolationForest' THEN 'scikit-learn' WHEN 'XGBoost' THEN 'xgboost' ELSE 'pytorch' END]) AS value FROM board)""",
     )
     + "SELECT version, tag, value FROM t",
 )
 def version_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry.version_tags(_board(spark, sf_dir), F.lit("2026-01-01").cast("date"), F.lit("v1.0"))
+    return registry.version_tags(_board(spark, sf_dir), F.lit("2026-01-01").cast("date"), F.lit("v1.0"), author="ops", project="telemetry", anomaly_types="spike")
 
 
 @query(

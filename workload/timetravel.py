@@ -80,17 +80,21 @@ def _views(spark: SparkSession, sf_dir: str) -> dict[str, fv.FeatureView]:
 
 
 REFERENCES = [
-    "network_raw_metrics:latency_ms",
-    "network_raw_metrics:packet_loss_pct",
-    "network_raw_metrics:cpu_utilization",
+    "network_raw_metrics:error_rate",
+    "network_raw_metrics:bandwidth_mbps",
     "network_engineered_features:latency_ms_zscore",
-    "network_engineered_features:cpu_bw_ratio",
+    "network_engineered_features:packet_loss_pct_delta_1m",
+    "network_engineered_features:bandwidth_mbps_roll_mean_5min",
+    "network_engineered_features:latency_x_loss",
+    "network_engineered_features:hour",
 ]
 
 _ENRICHED = f"""enriched AS (
   SELECT *, CASE WHEN count(*) OVER w >= 10 AND coalesce(stddev_samp(latency_ms) OVER w, 0) > 0
     THEN (latency_ms - avg(latency_ms) OVER w) / (stddev_samp(latency_ms) OVER w) ELSE 0 END AS z,
-    CASE WHEN bandwidth_mbps > 0 THEN cpu_utilization / bandwidth_mbps ELSE 0 END AS ratio,
+    coalesce(packet_loss_pct - lag(packet_loss_pct) OVER (PARTITION BY node_id ORDER BY {ORDER_SQL}), 0) AS loss_step,
+    avg(bandwidth_mbps) OVER (PARTITION BY node_id ORDER BY {ORDER_SQL} ROWS 4 PRECEDING) AS bandwidth_mean,
+    latency_ms * packet_loss_pct AS product, hour(ts) AS hour_of_day,
     row_number() OVER (PARTITION BY node_id, ts ORDER BY {ORDER_SQL} DESC) AS newest
   FROM telemetry WINDOW w AS (PARTITION BY node_id ORDER BY {ORDER_SQL} ROWS 59 PRECEDING))"""
 
@@ -104,11 +108,13 @@ _ENRICHED = f"""enriched AS (
         "entities AS (SELECT 'node-' || s_suppkey AS node_id, o_orderdate AS ts, o_orderkey FROM orders JOIN supplier ON o_custkey % (SELECT count(*) FROM supplier) + 1 = s_suppkey)",
     )
     + f"""SELECT o_orderkey, e.node_id,
-      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN latency_ms END")} AS latency_ms,
-      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN packet_loss_pct END")} AS packet_loss_pct,
-      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN cpu_utilization END")} AS cpu_utilization,
+      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN error_rate END")} AS error_rate,
+      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN bandwidth_mbps END", 2)} AS bandwidth_mbps,
       {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN z END")} AS latency_ms_zscore,
-      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN ratio END")} AS cpu_bw_ratio
+      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN loss_step END")} AS packet_loss_pct_delta_1m,
+      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN bandwidth_mean END", 2)} AS bandwidth_mbps_roll_mean_5min,
+      {shown_sql("CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN product END")} AS latency_x_loss,
+      CASE WHEN l.ts >= e.ts - INTERVAL 24 HOUR THEN CAST(hour_of_day AS DOUBLE) END AS hour
       FROM entities e ASOF LEFT JOIN lines l ON e.node_id = l.node_id AND e.ts >= l.ts""",
 )
 def historical_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +129,10 @@ def historical_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = fv.historical_features(entities, REFERENCES, _views(spark, sf_dir))
     names = [r.partition(":")[2] for r in REFERENCES]
-    return rounded(out.select("o_orderkey", "node_id", *names), names)
+    wide = [n for n in names if n.startswith("bandwidth")]
+    fine = [n for n in names if n != "hour" and n not in wide]
+    whole = out.select("o_orderkey", "node_id", *names).withColumn("hour", F.col("hour").cast("double"))
+    return rounded(rounded(whole, fine), wide, 2)
 
 
 _LATEST = f"""latest AS (SELECT * FROM enriched WHERE ts BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31'
@@ -153,7 +162,8 @@ def materialize_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         _LATEST,
         "asked AS (SELECT 'node-' || s_suppkey AS node_id FROM supplier UNION ALL SELECT 'unknown-' || n_nationkey FROM nation)",
     )
-    + f"""SELECT a.node_id, latency_ms, packet_loss_pct, cpu_utilization, {shown_sql("z")} AS latency_ms_zscore
+    + f"""SELECT a.node_id, {shown_sql("error_rate")} AS error_rate, {shown_sql("bandwidth_mbps", 2)} AS bandwidth_mbps,
+          {shown_sql("z")} AS latency_ms_zscore, {shown_sql("loss_step")} AS packet_loss_pct_delta_1m
           FROM asked a LEFT JOIN latest l ON a.node_id = l.node_id""",
 )
 def online_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +177,7 @@ def online_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     views, asked = _views(spark, sf_dir), known.unionByName(unknown)
     tables = {n: fv.materialize(v, spark, *_bounds(), keys=asked) for n, v in views.items()}
     out = fv.online_features(asked, REFERENCES[:4], views, tables)
-    return rounded(out, ["latency_ms_zscore"])
+    return rounded(rounded(out, ["error_rate", "latency_ms_zscore", "packet_loss_pct_delta_1m"]), ["bandwidth_mbps"], 2)
 
 
 @query(
