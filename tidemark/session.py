@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -20,6 +25,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, for clusters on which it is not installed.
+
+    Jobs with Python functions (keyed stream state, isolation trees) import it there. The archive is
+    made in a folder of the driver, whose file server the workers fetch it from.
+    """
+    home = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(os.path.join(folder, "tidemark"), "zip", os.path.dirname(home), os.path.basename(home))
+    spark.sparkContext.addPyFile(archive)
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC time.
 

@@ -10,6 +10,7 @@ Two rules are used throughout the library:
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -62,12 +63,16 @@ def group_join(left: DataFrame, right: DataFrame, groups: list[str], how: str =
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    `spark.checkpoint.dir` names it; a local temporary folder is used only where it is unset.
+    `spark.checkpoint.dir` names it; a local temporary folder is used only where it is unset and
+    driver and executors are one process. On a cluster without that setting this is an error:
+    executors would write where nobody else can read.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = os.path.join(tempfile.gettempdir(), "tidemark")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
