@@ -291,3 +291,29 @@ def test_tags_have_no_trailing_zeros(spark):
     out = registry.version_tags(table, F.lit("2026-01-01").cast("date"), F.lit("v"), author="a", project="p", anomaly_types="spike")
     tags = {r.tag: r.value for r in out.collect()}
     assert (tags["f1_score"], tags["roc_auc"], tags["model_type"]) == ("0.85", "1.0", "unknown")
+
+
+def test_scoring_keeps_every_row_of_a_fitted_model(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = [(i, float(i % 10), float("nan") if i % 7 == 0 else None if i % 11 == 0 else 1.0, int(i % 10 > 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y int")
+    df = df.withColumns({m: F.lit(0.0) for m in schema.METRICS})
+    stages = [VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="skip"), LogisticRegression(labelCol="y", maxIter=3)]
+    fitted = Pipeline(stages=stages).fit(df)
+    for fill in (True, False):
+        model = scoring.fitted_model(fitted, ["a", "b"], ["id"], fill=fill)
+        out = scoring.score_records(df, ["id"], primary=model, challenger=None, uris={"primary": "models:/1"}).collect()
+        assert sorted(r.id for r in out) == list(range(200))
+        fell = {r.id for r in out if r.method == "rule-based-fallback"}
+        assert fell == (set() if fill else {i for i in range(200) if i % 7 == 0 or i % 11 == 0})
+        assert all(r.model_uri == ("rule-based" if r.id in fell else "models:/1") for r in out)
+
+
+def test_column_models_score_in_one_pass(spark, tmp_path):
+    spark.range(50).withColumns({m: F.lit(0.0) for m in schema.METRICS}).write.parquet(str(tmp_path / "r"))
+    model = scoring.column_model(F.col("id") > 10)
+    out = scoring.score_records(spark.read.parquet(str(tmp_path / "r")), ["id"], primary=model, challenger=model)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and out.count() == 50

@@ -131,3 +131,38 @@ def stream_rule_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.finish(jobs.score_stream(_telemetry_stream(spark, sf_dir), load, f"{folder}/out", f"{folder}/checkpoint"))
     out = spark.read.parquet(f"{folder}/out")
     return out.select(*KEY, F.col("prediction").alias("predicted"), "confidence", "method")
+
+
+_SWAP_SQL = "CASE WHEN l_orderkey % 2 = 0 THEN latency_ms > 50 ELSE cpu_utilization > 80 END"
+
+
+@query(
+    "stream_model_swap",
+    with_sql(TELEMETRY_SQL)
+    + f"""SELECT {', '.join(KEY)}, CAST({_SWAP_SQL} AS INT) AS predicted, 0.9::DOUBLE AS confidence, 'ml-model' AS method,
+          CASE WHEN l_orderkey % 2 = 0 THEN 'models:/1' ELSE 'models:/2' END AS model_uri FROM telemetry""",
+)
+def stream_model_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream scored by a model that is replaced while its files go on arriving.
+
+    Even orders arrive first and are scored by version 1; then version 2 takes over, odd orders
+    arrive, and the stream goes on from its checkpoint.
+    """
+    from tidemark.plans.scoring import column_model, score_records
+
+    folder = shared_dir(spark, "stream-swap")
+    lines = table(spark, sf_dir, "lineitem")
+    versions = [column_model(F.col("latency_ms") > 50), column_model(F.col("cpu_utilization") > 80)]
+    serving = {"version": 0}
+
+    def load():
+        model, uri = versions[serving["version"]], f"models:/{serving['version'] + 1}"
+        return lambda batch: score_records(batch, KEY, primary=model, challenger=None, uris={"primary": uri})
+
+    for version in range(2):
+        lines.where(F.col("l_orderkey") % 2 == version).write.mode("append").parquet(f"{folder}/in")
+        serving["version"] = version
+        stream = telemetry_of(jobs.file_stream(spark, f"{folder}/in", lines.schema))
+        jobs.finish(jobs.score_stream(stream, load, f"{folder}/out", f"{folder}/checkpoint"))
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select(*KEY, F.col("prediction").alias("predicted"), "confidence", "method", "model_uri")
