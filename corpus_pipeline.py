@@ -18,6 +18,7 @@ from tidemark.llm.line_dedup import drop_boilerplate
 from tidemark.llm.q_language import held_out
 from tidemark.llm.q_pieces import MODEL
 from tidemark.llm.sentence_pieces import encoded
+from tidemark.llm.textcols import free_name
 from tidemark.session import tune
 from tidemark.sizing import shared_dir
 
@@ -49,12 +50,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of repeated rows with one id one stays; rows without id all stay.
     """
     groups = jaccard_groups(docs, n=5, num=80, den=100)
-    gone = written(groups.where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    kept = docs.join(sized(gone), F.col("doc_id") == F.col("gone"), "left_anti")
-    twice = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
+    other = free_name(docs, "other_id")
+    gone = written(groups.where("component_id < doc_id").select(F.col("doc_id").alias(other)).distinct(), "gone")
+    kept = docs.join(sized(gone), F.col("doc_id") == F.col(other), "left_anti")
+    twice = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(other))
     twice = sized(written(twice, "again"))
-    single = kept.join(twice, F.col("doc_id") == F.col("again"), "left_anti")
-    repeated = kept.join(twice, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"])
+    single = kept.join(twice, F.col("doc_id") == F.col(other), "left_anti")
+    repeated = kept.join(twice, F.col("doc_id") == F.col(other), "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(repeated).select(*docs.columns)
 
 
