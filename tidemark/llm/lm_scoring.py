@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import written
+from tidemark.llm.packing import edges, pack, pack_numbers, unpack, unpack_numbers
 from tidemark.llm.shingles import chunks, hash_words, mix, split_words
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 BUCKET_TOKENS = 1 << 20
 MAX_BUCKETS = 1 << 16
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 2_000_000
+YIELD_KEYS = 500_000
 CONTEXT_BUCKETS = 48
 STEPS_PER_OCTAVE, OCTAVES = 4, 40
 ROUNDS = 40
@@ -78,31 +80,6 @@ def pair_keys(tokens: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + tokens) >> np.uint64(1) | np.uint64(1)
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """Ascending keys as their differences, byte planes first, so that the shuffle's codec finds the zeros."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
-def pack_counts(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype(np.uint64)).view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unpack_counts(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel().astype(np.int64)
-
-
-def _edges(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins among ascending keys (63 bits); one more at the end."""
-    firsts = (np.arange(1, buckets, dtype=np.uint64)) * np.uint64((1 << 63) // buckets)
-    return np.concatenate([[0], np.searchsorted(keys, firsts), [len(keys)]])
-
-
 def asked(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows (bucket, chunk, keys, seen, left): what a task met of a chunk, by bucket.
 
@@ -111,7 +88,7 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
     """
 
     def flush(held: list[tuple]) -> Iterator[pd.DataFrame]:
-        out = []
+        out, waiting, columns = [], 0, ["bucket", "chunk", "keys", "seen", "left"]
         by_chunk: dict[int, list] = {}
         for chunk, fold, keys in held:
             by_chunk.setdefault(chunk, []).append((fold, keys))
@@ -120,12 +97,16 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
             folds = np.repeat([f for f, _ in parts], [len(k) for _, k in parts])
             seen = np.bincount(place[folds == TRAIN], minlength=len(keys))
             left = np.bincount(place[folds == LEFT_OUT], minlength=len(keys))
-            at = _edges(keys, buckets)
+            at = edges(keys, buckets, 63)
             for b in np.flatnonzero(np.diff(at)):
                 s = slice(at[b], at[b + 1])
-                out.append((int(b), chunk, pack(keys[s]), pack_counts(seen[s]), pack_counts(left[s])))
+                out.append((int(b), chunk, pack(keys[s]), pack_numbers(seen[s]), pack_numbers(left[s])))
+                waiting += s.stop - s.start
+            if waiting >= YIELD_KEYS:
+                yield pd.DataFrame(out, columns=columns)
+                out, waiting = [], 0
         if out:
-            yield pd.DataFrame(out, columns=["bucket", "chunk", "keys", "seen", "left"])
+            yield pd.DataFrame(out, columns=columns)
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, tokens = [], 0
@@ -153,8 +134,8 @@ def answered(asked_rows: DataFrame) -> DataFrame:
         bucket = rows["bucket"].iloc[0]
         lists = [unpack(k) for k in rows["keys"]]
         keys, place = np.unique(np.concatenate(lists), return_inverse=True)
-        seen = np.bincount(place, np.concatenate([unpack_counts(c) for c in rows["seen"]]), len(keys)).astype(np.int64)
-        left = np.bincount(place, np.concatenate([unpack_counts(c) for c in rows["left"]]), len(keys)).astype(np.int64)
+        seen = np.bincount(place, np.concatenate([unpack_numbers(c) for c in rows["seen"]]), len(keys)).astype(np.int64)
+        left = np.bincount(place, np.concatenate([unpack_numbers(c) for c in rows["left"]]), len(keys)).astype(np.int64)
         word = keys % np.uint64(2) == 0
         full = seen + left
         out = [(-1, bucket, None, None, int(full[word].sum()), int((full[word] > 0).sum()), int(seen[word].sum()), int((seen[word] > 0).sum()))]
@@ -165,8 +146,8 @@ def answered(asked_rows: DataFrame) -> DataFrame:
             by_chunk.setdefault(chunk, []).append(place[a:b])
         for chunk, places in by_chunk.items():
             own = places[0] if len(places) == 1 else np.unique(np.concatenate(places))
-            part = pack_counts(seen[own]) if chunk % 2 else None
-            out.append((chunk, bucket, pack_counts(full[own]), part, 0, 0, 0, 0))
+            part = pack_numbers(seen[own]) if chunk % 2 else None
+            out.append((chunk, bucket, pack_numbers(full[own]), part, 0, 0, 0, 0))
         return pd.DataFrame(out, columns=["chunk", "bucket", "full", "part", "tokens", "words", "part_tokens", "part_words"])
 
     kind = "chunk long, bucket long, full binary, part binary, tokens long, words long, part_tokens long, part_words long"
@@ -180,7 +161,7 @@ class Lookup:
         tokens, self.lengths = token_hashes(texts)
         words, pairs = word_keys(tokens), pair_keys(tokens)
         keys = np.unique(np.concatenate([words, pairs]))
-        counts = np.concatenate([np.zeros(0, np.int64), *[unpack_counts(c) for c in answers.sort_values("bucket")[column]]])
+        counts = np.concatenate([np.zeros(0, np.int64), *[unpack_numbers(c).astype(np.int64) for c in answers.sort_values("bucket")[column]]])
         if len(counts) != len(keys):
             raise ValueError(f"{len(keys)} keys, {len(counts)} counts: the input changed between two readings")
         self.word = counts[np.searchsorted(keys, words)]
