@@ -42,7 +42,8 @@ class LetterQueue:
     def push(self, letters: np.ndarray, pos: np.ndarray, rank: np.ndarray) -> None:
         if not len(pos):
             return
-        order = np.argsort(letters, kind="stable")
+        # Few letters: 16 bits sort by radix.
+        order = np.argsort(letters.astype(np.uint16) if letters.max() < 1 << 16 else letters, kind="stable")
         letters, pair = letters[order], np.stack([pos[order], rank[order]])
         cut = np.flatnonzero(np.diff(letters)) + 1
         for letter, part in zip(letters[np.concatenate([[0], cut])].tolist(), np.split(pair, cut, axis=1)):
@@ -69,9 +70,11 @@ class LetterQueue:
             parts.append(np.frombuffer(self.file.read(16 * n), np.int64).reshape(2, n))
         if not parts:
             return None
-        pos, rank = np.concatenate(parts, axis=1)
-        order = np.argsort(rank, kind="stable")
-        return pos[order], rank[order]
+        pos, rank = np.concatenate(parts, axis=1) if len(parts) > 1 else parts[0]
+        if (rank[1:] < rank[:-1]).any():  # a sweep pushes in rank order, also across spills
+            order = np.argsort(rank)
+            pos, rank = pos[order], rank[order]
+        return pos, rank
 
     def close(self) -> None:
         if self.file:
@@ -173,7 +176,7 @@ def _names(text: np.ndarray, rise: np.ndarray, seeds: np.ndarray) -> np.ndarray:
             letter = np.zeros(len(active), np.uint64)
             letter[inside] = kind[seeds[active[inside]] + offset + j]
             word = (word << np.uint64(bits)) | letter if width > 1 else letter
-        order = np.lexsort((word, rank[active]))
+        order = np.lexsort((word, rank[active])) if offset else np.argsort(word)
         r, w = rank[active][order], word[order]
         new_group = np.append(True, r[1:] != r[:-1])
         change = new_group | np.append(True, w[1:] != w[:-1])
@@ -192,30 +195,57 @@ def _names(text: np.ndarray, rise: np.ndarray, seeds: np.ndarray) -> np.ndarray:
 
 
 def _doubling(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names, in memory, by doubling."""
-    n, step = len(names), 1
-    _, rank = np.unique(names, return_inverse=True)
-    while True:
-        after = np.zeros(n, np.int64)
-        after[:-step or n] = rank[step:] + 1 if step < n else 0
-        key = rank.astype(np.int64) * (n + 1) + after
-        values, rank = np.unique(key, return_inverse=True)
-        if len(values) == n:
-            return np.argsort(rank, kind="stable")
+    """Order of the suffixes of a string of names, in memory, by doubling.
+
+    A name is the number of smaller ones, so a group of equal names begins at its name's place and
+    only members of such groups are sorted again.
+    """
+    n, step, rank = len(names), 1, names.astype(np.int64)
+    active = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+    while len(active):
+        after = np.zeros(len(active), np.int64)
+        inside = active + step < n
+        after[inside] = rank[active[inside] + step] + 1
+        key = rank[active] * (n + 1) + after
+        order = np.argsort(key)
+        key, who = key[order], active[order]
+        old = rank[who]
+        index = np.arange(len(who))
+        new_group = np.append(True, old[1:] != old[:-1])
+        change = np.append(True, key[1:] != key[:-1])
+        group_start = np.maximum.accumulate(np.where(new_group, index, 0))
+        rank[who] = old + np.maximum.accumulate(np.where(change, index, 0)) - group_start
+        tied = ~change
+        tied[:-1] |= ~change[1:]
+        active = who[tied]
         step *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    return order
 
 
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common-prefix lengths of pairs of suffixes, at most `cap`."""
-    out, active = np.zeros(len(a), np.int64), np.arange(len(a))
-    for k in range(cap):
+    """Common-prefix lengths of pairs of different suffixes, at most `cap`."""
+    # Letters go through in words of `width`; beyond the end stands a letter that no text has.
+    bits = max(1, int(text.max() + 1).bit_length())
+    width = max(1, 62 // bits)
+    padded = np.append(text, np.full(width, text.max() + 1))
+    words = np.zeros(len(text) + 1, np.int64)
+    for j in range(width):
+        words = (words << bits) | padded[j : j + len(words)]
+    out, active, k = np.zeros(len(a), np.int64), np.arange(len(a)), 0
+    while len(active) and k < cap:
         x, y = a[active] + k, b[active] + k
-        ok = (x < len(text)) & (y < len(text))
-        active = active[ok][text[x[ok]] == text[y[ok]]]
-        if not len(active):
-            break
-        out[active] += 1
-    return out
+        differ = words[np.minimum(x, len(text))] ^ words[np.minimum(y, len(text))]
+        stop = differ != 0
+        ended = active[stop]
+        out[ended] = k
+        for j in range(1, width):
+            out[ended] += differ[stop] < 1 << (bits * (width - j))
+        active = active[~stop]
+        k += width
+    out[active] = cap
+    return np.minimum(out, cap)
 
 
 def suffix_array(text: np.ndarray, cap: int = 1 << 30, in_memory: int = IN_MEMORY) -> tuple[np.ndarray, np.ndarray]:
@@ -229,8 +259,9 @@ def suffix_array(text: np.ndarray, cap: int = 1 << 30, in_memory: int = IN_MEMOR
     seeds = np.flatnonzero(rise[1:] & ~rise[:-1]) + 1
     if len(seeds):
         names = _names(text, rise, seeds)
-        if len(np.unique(names)) == len(seeds):
-            order = np.argsort(names, kind="stable")
+        if np.bincount(names).max() == 1:
+            order = np.empty(len(names), np.int64)
+            order[names] = np.arange(len(names))
         elif len(seeds) <= in_memory:
             order = _doubling(names)
         else:
