@@ -230,6 +230,15 @@ def remaining_links(met: DataFrame, labels: DataFrame, sets: DataFrame, num: int
     return block_links(units.join(sets.select("id", "tokens"), "id").select("u1", "u2", "u3", "side", "id", "component", "tokens"), num, den)
 
 
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between the components of `labels` in place of their nodes."""
+    ends = links
+    for end in ("a", "b"):
+        of = labels.select(F.col("node").alias(end), F.col("component").alias("to"))
+        ends = ends.join(of, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    return ends.select("a", "b")
+
+
 def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of `docs`: `key`, n_shingles, component_id.
 
@@ -263,9 +272,11 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     nearest = often.groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("low"))).alias("best"))
     pairs = nearest.select((-F.col("best.low")).alias("leader"), "id")
     first = written(leader_links(pairs, sets, num, den), "first")
-    more = remaining_links(met, components(first), sets, num, den)
-    links = first.union(more).union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    labels = components(links)
+    early = components(first.union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    more = written(remaining_links(met, early, sets, num, den), "more")
+    late = components(_between(more, early)).select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    labels = early.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(early, "node", "left_anti").withColumn("component", F.col("node")))
+    labels = labels.join(sized(late), "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
     found = members.join(labels.withColumnRenamed("node", "id"), "id", "left")
     return found.select(
         F.col("id").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
