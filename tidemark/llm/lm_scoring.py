@@ -33,7 +33,7 @@ CHUNK_BYTES = 8 << 20
 BUCKET_TOKENS = 1 << 20
 MAX_BUCKETS = 1 << 16
 FLUSH_TOKENS = 2_000_000
-YIELD_KEYS = 500_000
+YIELD_BYTES = 4 << 20
 CONTEXT_BUCKETS = 48
 STEPS_PER_OCTAVE, OCTAVES = 4, 40
 ROUNDS = 40
@@ -81,14 +81,14 @@ def pair_keys(tokens: np.ndarray) -> np.ndarray:
 
 
 def asked(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, chunk, keys, seen, left): what a task met of a chunk, by bucket.
+    """Rows (bucket, chunks, sizes, body): what a task met, by bucket; see `_cells`.
 
     `docs` has rows (id, text, fold, chunk). `seen` are the counts in training texts, `left` those
     in left-out ones; texts to be scored only ask.
     """
 
     def flush(held: list[tuple]) -> Iterator[pd.DataFrame]:
-        out, waiting, columns = [], 0, ["bucket", "chunk", "keys", "seen", "left"]
+        cells: dict[int, list[tuple]] = {}
         by_chunk: dict[int, list] = {}
         for chunk, fold, keys in held:
             by_chunk.setdefault(chunk, []).append((fold, keys))
@@ -100,13 +100,18 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
             at = edges(keys, buckets, 63)
             for b in np.flatnonzero(np.diff(at)):
                 s = slice(at[b], at[b + 1])
-                out.append((int(b), chunk, pack(keys[s]), pack_numbers(seen[s]), pack_numbers(left[s])))
-                waiting += s.stop - s.start
-            if waiting >= YIELD_KEYS:
-                yield pd.DataFrame(out, columns=columns)
+                cells.setdefault(int(b), []).append((chunk, pack(keys[s]), pack_numbers(seen[s]), pack_numbers(left[s])))
+        out, waiting = [], 0
+        for b, own in cells.items():
+            body = b"".join(x for cell in own for x in cell[1:])
+            sizes = np.array([len(x) for cell in own for x in cell[1:]], np.int64)
+            out.append((b, np.array([cell[0] for cell in own], np.int64).tobytes(), sizes.tobytes(), body))
+            waiting += len(body)
+            if waiting >= YIELD_BYTES:
+                yield pd.DataFrame(out, columns=["bucket", "chunks", "sizes", "body"])
                 out, waiting = [], 0
         if out:
-            yield pd.DataFrame(out, columns=columns)
+            yield pd.DataFrame(out, columns=["bucket", "chunks", "sizes", "body"])
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, tokens = [], 0
@@ -120,7 +125,17 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
                     held, tokens = [], 0
         yield from flush(held)
 
-    return docs.mapInPandas(met, "bucket long, chunk long, keys binary, seen binary, left binary")
+    return docs.mapInPandas(met, "bucket long, chunks binary, sizes binary, body binary")
+
+
+def _cells(row) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """(chunk, keys, seen, left) of each chunk in a row: one row holds a bucket's part of all chunks of a
+    flush, so the rows grow with the input and not with chunks times buckets."""
+    ends = np.cumsum(np.frombuffer(row.sizes, np.int64)).reshape(-1, 3)
+    at = 0
+    for chunk, (a, b, c) in zip(np.frombuffer(row.chunks, np.int64).tolist(), ends.tolist()):
+        yield chunk, row.body[at:a], row.body[a:b], row.body[b:c]
+        at = c
 
 
 def answered(asked_rows: DataFrame) -> DataFrame:
@@ -132,17 +147,18 @@ def answered(asked_rows: DataFrame) -> DataFrame:
 
     def added(rows: pd.DataFrame) -> pd.DataFrame:
         bucket = rows["bucket"].iloc[0]
-        lists = [unpack(k) for k in rows["keys"]]
+        cells = [cell for row in rows.itertuples(index=False) for cell in _cells(row)]
+        lists = [unpack(k) for _, k, _, _ in cells]
         keys, place = np.unique(np.concatenate(lists), return_inverse=True)
-        seen = np.bincount(place, np.concatenate([unpack_numbers(c) for c in rows["seen"]]), len(keys)).astype(np.int64)
-        left = np.bincount(place, np.concatenate([unpack_numbers(c) for c in rows["left"]]), len(keys)).astype(np.int64)
+        seen = np.bincount(place, np.concatenate([unpack_numbers(c) for _, _, c, _ in cells]), len(keys)).astype(np.int64)
+        left = np.bincount(place, np.concatenate([unpack_numbers(c) for *_, c in cells]), len(keys)).astype(np.int64)
         word = keys % np.uint64(2) == 0
         full = seen + left
         out = [(-1, bucket, None, None, int(full[word].sum()), int((full[word] > 0).sum()), int(seen[word].sum()), int((seen[word] > 0).sum()))]
         ends = np.cumsum([len(k) for k in lists])
         begins = ends - [len(k) for k in lists]
         by_chunk: dict[int, list[np.ndarray]] = {}
-        for chunk, a, b in zip(rows["chunk"].tolist(), begins, ends):
+        for (chunk, *_), a, b in zip(cells, begins, ends):
             by_chunk.setdefault(chunk, []).append(place[a:b])
         for chunk, places in by_chunk.items():
             own = places[0] if len(places) == 1 else np.unique(np.concatenate(places))
