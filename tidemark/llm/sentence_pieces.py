@@ -22,9 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.shingles import chunks
+from tidemark.llm.textcols import free_name
+
 SPACE_MARK = "▁"
 REMEMBERED_WORDS = 300_000
-CELLS_AT_ONCE = 1 << 21
+CELLS_AT_ONCE = 1 << 19
+SLICE_CHARS = 1 << 20
+KNOWN_CHARS = 64
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 BYTE_SCORE, ABSENT = -1e4, -1e30
 
@@ -98,9 +103,9 @@ class Pieces:
             out.append(head)
         return rest
 
-    def best(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of the best segmentation of each word."""
-        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+    def best(self, words: list[str]) -> list[bytes]:
+        """Ids of the best segmentation of each word, 4 bytes each."""
+        found = [b""] * len(words)
         by_length: dict[int, list[int]] = {}
         for k, w in enumerate(words):
             if w:
@@ -145,37 +150,49 @@ class Pieces:
             pick = options.argmax(1)
             total[:, e] = options[line, pick]
             back[:, e] = pick + 1
-        return [self._trace(letters[r], which[r], back[r]) for r in range(rows)]
-
-    def _trace(self, letters: np.ndarray, which: np.ndarray, back: np.ndarray) -> np.ndarray:
-        e, out = len(letters), []
-        while e > 0:
-            l = int(back[e])
-            piece = which[e - 1, l - 1]
-            if piece >= 0:
-                out.append([self.ids[piece]])
-            else:
-                out.append(self.byte_ids[list(chr(letters[e - 1]).encode("utf-8", "surrogatepass"))])
-            e -= l
-        return np.concatenate(out[::-1]).astype(np.int32)
+        return self._traced(letters, which, back)
+
+    def _traced(self, letters: np.ndarray, which: np.ndarray, back: np.ndarray) -> list[bytes]:
+        """Ids along the backpointers, last first, for all rows together; letters without a piece give their bytes."""
+        rows, n = letters.shape
+        end, out, count = np.full(rows, n), np.zeros((rows, 4 * n), np.int32), np.zeros(rows, np.int64)
+        while len(live := np.flatnonzero(end)):
+            e = end[live]
+            step = back[live, e]
+            piece = which[live, e - 1, step - 1]
+            known = piece >= 0
+            k = live[known]
+            out[k, count[k]] = self.ids[piece[known]]
+            count[k] += 1
+            for r in live[~known].tolist():
+                raw = chr(letters[r, end[r] - 1]).encode("utf-8", "surrogatepass")
+                out[r, count[r] : count[r] + len(raw)] = self.byte_ids[list(raw)][::-1]
+                count[r] += len(raw)
+            end[live] = e - step
+        return [out[r, :c][::-1].tobytes() for r, c in enumerate(count.tolist())]
 
     # -- texts ---------------------------------------------------------------------------
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """Ids per text; null for null, none for the empty text."""
+        """Ids per text; null for null, none for the empty text. Texts go in slices of bounded size."""
+        out: list[np.ndarray | None] = []
+        for part in chunks(texts, SLICE_CHARS):
+            out.extend(self._encode(texts[part]))
+        return out
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         split = [None if t is None else self.words(t) if t else [] for t in texts]
-        new = list(dict.fromkeys(w for ws in split if ws for w in ws if w not in self.known))
+        new = list({w for ws in split if ws for w in ws}.difference(self.known))
         found = dict(zip(new, self.best(new)))
-        empty = np.zeros(0, np.int32)
-        out = [
-            None if ws is None else np.concatenate([self.known[w] if w in self.known else found[w] for w in ws]) if ws else empty
-            for ws in split
+        known = self.known
+        encoded = [
+            None if ws is None else np.frombuffer(b"".join([known[w] if w in known else found[w] for w in ws]), np.int32) for ws in split
         ]
         if len(self.known) + len(found) > self.remembered:
             self.known = {}
         if len(found) <= self.remembered:
-            self.known.update((w, ids) for w, ids in found.items() if len(w) <= 64)
-        return out
+            self.known.update((w, ids) for w, ids in found.items() if len(w) <= KNOWN_CHARS)
+        return encoded
 
     def decode(self, ids: np.ndarray | list[int] | None) -> str | None:
         """The text of `ids`: pieces joined, byte pieces read as UTF-8, marks turned into spaces."""
@@ -241,8 +258,28 @@ def decode(docs: DataFrame, file: str, ids: str = "ids", into: str = "decoded")
 
 
 def encoded(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
-    """`docs` with ids, n_tokens and round_trip (decoding gives the text back; null for null texts)."""
-    out = decode(encode(docs, file, text), file)
+    """`docs` with ids, n_tokens and round_trip (decoding gives the text back; null for null texts).
+
+    Both ways run in one function, so a task keeps one Python worker and its memory.
+    """
+    kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
+
+    @F.pandas_udf(kind)
+    def both_ways(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = pieces(_place(file))
+        for texts in batches:
+            values = texts.tolist()
+            for part in chunks(values, SLICE_CHARS):
+                ids = own.encode(values[part])
+                same = [None if t is None else own.decode(i) == t for t, i in zip(values[part], ids)]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=object)})
+
+    both = free_name(docs, "both_ways")
+    out = docs.drop("ids", "n_tokens", "round_trip").withColumn(both, both_ways(F.col(f"`{text}`").cast("string")))
     return out.withColumns(
-        {"n_tokens": F.coalesce(F.size("ids"), F.lit(0)).cast("long"), "round_trip": F.col("decoded") == F.col(f"`{text}`")}
-    ).drop("decoded")
+        {
+            "ids": F.col(both)["ids"],
+            "n_tokens": F.coalesce(F.size(F.col(both)["ids"]), F.lit(0)).cast("long"),
+            "round_trip": F.col(both)["round_trip"],
+        }
+    ).drop(both)
