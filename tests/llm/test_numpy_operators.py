@@ -101,6 +101,27 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, scale):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_segments_of_a_hot_anchor_are_spread_over_shards(spark, monkeypatch, copies):
+    for name, value in (("CHUNK_BYTES", 3000), ("PIECE_BYTES", 700), ("SHARD_BYTES", 4000), ("BUCKET_ANCHORS", 100), ("FLUSH_BYTES", 5000), ("SPREAD", 16)):
+        monkeypatch.setattr(suffix_dedup, name, value, raising=False)
+    rng = random.Random(8)
+    passage = prose(rng, 20)
+    around = [prose(rng, 6), prose(rng, 6)]
+    data = [(i, " ".join([around[0], passage, around[1]] if copies else [prose(rng, 6), passage, prose(rng, 6)])) for i in range(600)]
+    largest, sort = [], suffix_dedup.sorted_shards
+
+    def watched(sent_rows, *args):
+        largest.append(sent_rows.groupBy("shard").agg(F.sum(F.length("body")).alias("n")).agg(F.max("n")).first()[0])
+        return sort(sent_rows, *args)
+
+    monkeypatch.setattr(suffix_dedup, "sorted_shards", watched)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    got = sorted([(r.doc_id, r.n_bytes, [(s["from"], s["to"]) for s in r.spans], bytes(r.kept)) for r in got], key=str)
+    assert got == brute_repeats(data, 50)
+    assert copies or largest[0] < 5 * 4000
+
+
 def test_long_texts_are_cut_without_losing_windows(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PLACE_BITS", np.uint64(9))
     rng = random.Random(4)

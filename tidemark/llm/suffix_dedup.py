@@ -7,6 +7,9 @@ and across the whole corpus, although no task sees more than a shard:
    anchor. Equal windows have the same anchor at the same place, so they meet under its hash. Tasks
    send the anchor hashes of a chunk of documents (a hash of the id) to buckets of the hash space;
    a bucket tells each chunk which of its anchors occur in another document too.
+   An anchor in very many different segments would fill one shard. Its windows are asked about once
+   more, one by one under a hash of their own bytes, and those in two documents are segments of one
+   window each, which go to shards by that hash.
 2. Shards. A chunk sends the segment of each shared anchor (the stretch of all windows it stands
    for), once per distinct segment with its smallest id, to the shard of the anchor. The shard sorts
    the suffixes of its segments by induced sorting with common prefixes (induced_sorting, with its
@@ -37,6 +40,7 @@ PIECE_BYTES = 2 << 20
 BUCKET_ANCHORS = 400_000
 SHARD_BYTES = 4 << 20
 FLUSH_BYTES = 24 << 20
+SPREAD = 64  # of 256 marks: an anchor whose segments have more is in many different ones
 MAX_BUCKETS = 1 << 16
 PLACE_BITS = np.uint64(24)
 
@@ -61,14 +65,13 @@ def _lowest(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(raw: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window) of each anchor, for texts joined in `raw`.
+def anchors(h: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, last window) of each anchor, for texts joined with gram hashes `h`.
 
     `starts` has where each text begins, and the total length last. Windows lie within one text.
     """
-    if len(raw) < length:
+    if starts[-1] < length:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = gram_hashes(raw, gram)
     # The place in the low bits makes the leftmost of equal hashes the smallest.
     ranked = (h >> PLACE_BITS << PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
     at = (_lowest(ranked, length - gram + 1) & np.uint64((1 << int(PLACE_BITS)) - 1)).astype(np.int64)
@@ -83,22 +86,52 @@ def anchors(raw: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int
     return h[at[first]], window[first], window[last]
 
 
+def window_hashes(h: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
+    """Hash of all `length` bytes from each of the places `at` on, from the gram hashes."""
+    out = np.full(len(at), 0xA5, np.uint64)
+    for step in [*range(0, length - gram, gram), length - gram]:
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[at + step])
+    return out
+
+
+NONE_HOT = np.zeros(0, np.uint64)
+
+
 class Joined:
-    """Texts of a few documents as one run of bytes, with their anchors."""
+    """Texts of a few documents as one run of bytes, with their anchors.
 
-    def __init__(self, ids: list[int], texts: list[bytes], length: int):
+    Each window of an anchor in `hot` (ascending) stands alone, under the hash of its bytes.
+    """
+
+    def __init__(self, ids: list[int], texts: list[bytes], length: int, hot: np.ndarray = NONE_HOT):
         sizes = np.array([len(t) for t in texts], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
         self.raw, self.ids, self.length = np.frombuffer(b"".join(texts), np.uint8), np.array(ids, np.int64), length
-        self.hash, self.first, self.last = anchors(self.raw, self.starts, length)
+        self.grams = gram_hashes(self.raw)
+        self.hash, self.first, self.last = anchors(self.grams, self.starts, length)
+        self.single = np.zeros(len(self.hash), bool)
+        if len(hot) and len(self.hash):
+            cut = hot[np.minimum(np.searchsorted(hot, self.hash), len(hot) - 1)] == self.hash
+            n = np.where(cut, self.last - self.first + 1, 1)
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            self.single = np.repeat(cut, n)
+            self.first = np.repeat(self.first, n) + step
+            self.last = np.where(self.single, self.first, np.repeat(self.last, n))
+            self.hash = np.repeat(self.hash, n)
+            self.hash[self.single] = window_hashes(self.grams, self.first[self.single], length)
         self.owner = np.searchsorted(self.starts, self.first, side="right") - 1
 
+    def marks(self) -> np.ndarray:
+        """8 bits of a hash of each segment; its first and last window cover it."""
+        ends = [window_hashes(self.grams, at, self.length) for at in (self.first, self.last)]
+        return (mix(ends[0] * np.uint64(3) + ends[1]) >> np.uint64(56)).astype(np.uint8)
+
     def segments(self, chosen: np.ndarray) -> list[bytes]:
         body = self.raw.tobytes()
         return [body[a : b + self.length] for a, b in zip(self.first[chosen].tolist(), self.last[chosen].tolist())]
 
 
-def joined(ids: list[int], texts: list[str | None], length: int) -> Iterator[Joined]:
+def joined(ids: list[int], texts: list[str | None], length: int, hot: np.ndarray = NONE_HOT) -> Iterator[Joined]:
     """Documents in groups of about PIECE_BYTES; places must fit PLACE_BITS, so a longer text is
     cut into overlapping pieces, in which every window is whole once."""
     held_ids, held, size = [], [], 0
@@ -112,48 +145,63 @@ def joined(ids: list[int], texts: list[str | None], length: int) -> Iterator[Joi
             held.append(body[at : at + most])
             size += len(held[-1])
             if size >= PIECE_BYTES:
-                yield Joined(held_ids, held, length)
+                yield Joined(held_ids, held, length, hot)
                 held_ids, held, size = [], [], 0
     if held:
-        yield Joined(held_ids, held, length)
+        yield Joined(held_ids, held, length, hot)
 
 
-def asked(docs: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Rows (bucket, chunk, keys, many): the anchor hashes of a chunk, and which of them are in two of its documents."""
+def asked(docs: DataFrame, buckets: int, length: int, hot: np.ndarray = NONE_HOT) -> DataFrame:
+    """Rows (bucket, chunk, keys, times, marks): the anchor hashes of a chunk; twice how often each one
+    occurs again, plus 1 if that is in two of its documents; and the mark of one of its segments.
+
+    With `hot`, only the single windows of these anchors.
+    """
 
     def flush(held: dict[int, list[tuple]]) -> Iterator[pd.DataFrame]:
         for chunk, parts in held.items():
-            keys = np.concatenate([k for k, _ in parts])
-            docs_of = np.concatenate([d for _, d in parts])
+            keys, docs_of, marks = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((docs_of, keys))
             keys, docs_of = keys[order], docs_of[order]
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
             last = np.append(first[1:], len(keys)) - 1 if len(keys) else first
-            many = (docs_of[first] != docs_of[last]).astype(np.uint64)
-            keys = keys[first]
+            times = (2 * (last - first) + (docs_of[first] != docs_of[last])).astype(np.uint64)
+            keys, marks = keys[first], marks[order[first]]
             at = edges(keys, buckets, 64)
-            rows = [(int(b), chunk, pack(keys[at[b] : at[b + 1]]), pack_numbers(many[at[b] : at[b + 1]])) for b in np.flatnonzero(np.diff(at))]
+            rows = [
+                (int(b), chunk, pack(keys[at[b] : at[b + 1]]), pack_numbers(times[at[b] : at[b + 1]]), marks[at[b] : at[b + 1]].tobytes())
+                for b in np.flatnonzero(np.diff(at))
+            ]
             if rows:
-                yield pd.DataFrame(rows, columns=["bucket", "chunk", "keys", "many"])
+                yield pd.DataFrame(rows, columns=["bucket", "chunk", "keys", "times", "marks"])
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list[tuple]] = {}
         size = 0
         for batch in batches:
             for chunk, rows in batch.groupby("chunk", sort=False):
-                for part in joined(rows["id"].tolist(), rows["text"].tolist(), length):
-                    held.setdefault(int(chunk), []).append((part.hash, part.ids[part.owner]))
+                for part in joined(rows["id"].tolist(), rows["text"].tolist(), length, hot):
+                    if len(hot):
+                        own = part.single
+                        entry = part.hash[own], part.ids[part.owner[own]], np.zeros(int(own.sum()), np.uint8)
+                    else:
+                        entry = part.hash, part.ids[part.owner], part.marks()
+                    held.setdefault(int(chunk), []).append(entry)
                     size += len(part.raw)
                 if size >= FLUSH_BYTES:
                     yield from flush(held)
                     held, size = {}, 0
         yield from flush(held)
 
-    return docs.mapInPandas(met, "bucket long, chunk long, keys binary, many binary")
+    return docs.mapInPandas(met, "bucket long, chunk long, keys binary, times binary, marks binary")
 
 
-def shared_anchors(asked_rows: DataFrame) -> DataFrame:
-    """Rows (chunk, bucket, keys): the anchors of a chunk that are in two documents or more."""
+def shared_anchors(asked_rows: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows (chunk, bucket, keys, n): the anchors of a chunk that are in two documents or more.
+
+    Anchors that occur more than `most` times, in many different segments, are told apart under
+    chunk -1, with the sum of their occurrences as `n` (else 0).
+    """
 
     def told(rows: pd.DataFrame) -> pd.DataFrame:
         bucket, chunk = rows["bucket"].iloc[0], rows["chunk"].to_numpy()
@@ -161,15 +209,49 @@ def shared_anchors(asked_rows: DataFrame) -> DataFrame:
         keys, place = np.unique(np.concatenate(lists), return_inverse=True)
         # An anchor is shared if two rows have it or one row says so. Two rows of one chunk can be one
         # document; such an anchor is sent to its shard for nothing, which decides by ids.
-        count = np.bincount(place, 1 + np.concatenate([unpack_numbers(m).astype(float) for m in rows["many"]]), len(keys))
+        times = np.concatenate([unpack_numbers(t) for t in rows["times"]]).astype(np.int64)
+        count = np.bincount(place, 1 + times % 2, len(keys))
         shared, ends = count > 1, np.cumsum([len(k) for k in lists])
+        out = []
+        if most is not None:
+            times = times // 2 + 1
+            total = np.bincount(place, times, len(keys))
+            hot = shared & (total > most)
+            if hot.any():
+                # Copies of one segment come to one mark; many within one row count as different.
+                own = hot[place]
+                marks = np.frombuffer(b"".join(rows["marks"]), np.uint8)[own]
+                spread = np.bincount(np.unique(place[own] * 256 + marks) // 256, minlength=len(keys))
+                np.maximum.at(spread, place[own], times[own])
+                hot &= spread > SPREAD
+            if hot.any():
+                shared &= ~hot
+                out.append((-1, bucket, pack(keys[hot]), int(total[hot].sum())))
         parts: dict[int, list[np.ndarray]] = {}
         for c, k, a, b in zip(chunk.tolist(), lists, ends - [len(k) for k in lists], ends):
             parts.setdefault(c, []).append(k[shared[place[a:b]]])
-        out = [(c, bucket, pack(np.unique(np.concatenate(p)))) for c, p in parts.items() if any(map(len, p))]
-        return pd.DataFrame(out, columns=["chunk", "bucket", "keys"])
+        out += [(c, bucket, pack(np.unique(np.concatenate(p))), 0) for c, p in parts.items() if any(map(len, p))]
+        return pd.DataFrame(out, columns=["chunk", "bucket", "keys", "n"])
 
-    return asked_rows.groupBy("bucket").applyInPandas(told, "chunk long, bucket long, keys binary")
+    return asked_rows.groupBy("bucket").applyInPandas(told, "chunk long, bucket long, keys binary, n long")
+
+
+def shared_keys(docs: DataFrame, size: int, length: int) -> tuple[DataFrame, np.ndarray]:
+    """Rows (chunk, bucket, keys) of what each chunk has to send, and the anchors cut into single windows.
+
+    These anchors are known to every task: at most one in `most` occurrences of anchors.
+    """
+    most = max(1, SHARD_BYTES // (2 * length))
+    buckets = int(min(MAX_BUCKETS, max(1, size // 18 // BUCKET_ANCHORS)))
+    shared = written(shared_anchors(asked(docs, buckets, length), most), "anchors")
+    apart = shared.where("chunk = -1").select("keys", "n").collect()
+    shared = shared.where("chunk >= 0").select("chunk", "bucket", "keys")
+    if not apart:
+        return shared, NONE_HOT
+    hot = np.sort(np.concatenate([unpack(bytes(r["keys"])) for r in apart]))
+    buckets = int(min(MAX_BUCKETS, max(1, sum(r["n"] for r in apart) * 18 // BUCKET_ANCHORS)))
+    windows = written(shared_anchors(asked(docs, buckets, length, hot)), "windows")
+    return shared.union(windows.select("chunk", "bucket", "keys")), hot
 
 
 class Segments:
@@ -178,11 +260,11 @@ class Segments:
     `occurs` has, per part of the chunk, the segment of each shared anchor (or -1).
     """
 
-    def __init__(self, ids: list[int], texts: list[str | None], shared: np.ndarray, shards: int, length: int):
+    def __init__(self, ids: list[int], texts: list[str | None], shared: np.ndarray, shards: int, length: int, hot: np.ndarray = NONE_HOT):
         self.parts, self.occurs, found = [], [], {}
         names: list[tuple[int, bytes]] = []
         least: list[int] = []
-        for part in joined(ids, texts, length):
+        for part in joined(ids, texts, length, hot):
             place = np.searchsorted(shared, part.hash)
             place[place == len(shared)] = 0
             chosen = np.flatnonzero(shared[place] == part.hash) if len(shared) else np.zeros(0, np.int64)
@@ -204,13 +286,13 @@ class Segments:
             self.by_shard.setdefault(names[at][0], []).append(at)
 
 
-def sent(docs: DataFrame, shared: DataFrame, shards: int, length: int) -> DataFrame:
+def sent(docs: DataFrame, shared: DataFrame, shards: int, length: int, hot: np.ndarray = NONE_HOT) -> DataFrame:
     """Rows (shard, chunk, body, sizes, least): the distinct segments of each chunk, one after another."""
 
     def cut(texts: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         if not len(texts):
             return pd.DataFrame(columns=["shard", "chunk", "body", "sizes", "least"])
-        own = Segments(texts["id"].tolist(), texts["text"].tolist(), _keys(keys), shards, length)
+        own = Segments(texts["id"].tolist(), texts["text"].tolist(), _keys(keys), shards, length, hot)
         chunk = texts["chunk"].iloc[0]
         rows = [
             (
@@ -227,7 +309,7 @@ def sent(docs: DataFrame, shared: DataFrame, shards: int, length: int) -> DataFr
 
 
 def _keys(rows: pd.DataFrame) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint64), *map(unpack, rows.sort_values("bucket")["keys"])])
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *map(unpack, rows["keys"])]))
 
 
 def sorted_shards(rows: DataFrame, length: int, in_memory: int) -> DataFrame:
@@ -298,16 +380,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     named = rows.where("id is not null")
     size = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     named = named.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-size // CHUNK_BYTES)))))
-    buckets = int(min(MAX_BUCKETS, max(1, size // 18 // BUCKET_ANCHORS)))
     shards = int(min(MAX_BUCKETS, max(1, size // SHARD_BYTES)))
-    shared = written(shared_anchors(asked(named, buckets, length)), "anchors")
-    found = written(sorted_shards(sent(named, shared, shards, length), length, in_memory), "runs")
+    shared, hot = shared_keys(named, size, length)
+    found = written(sorted_shards(sent(named, shared, shards, length, hot), length, in_memory), "runs")
 
     def finished(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(texts):
             return pd.DataFrame(columns=["id", "n_bytes", "spans", "kept"])
         told = answers["runs"].isna()
-        own = Segments(texts["id"].tolist(), texts["text"].tolist(), _keys(answers[told].rename(columns={"part": "bucket"})), shards, length)
+        own = Segments(texts["id"].tolist(), texts["text"].tolist(), _keys(answers[told]), shards, length, hot)
         values = {}
         for shard, runs, ids in answers.loc[~told, ["part", "runs", "ids"]].itertuples(index=False):
             values[shard] = np.repeat(unpack_numbers(ids).view(np.int64), unpack_numbers(runs).astype(np.int64))
