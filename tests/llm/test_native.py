@@ -93,6 +93,15 @@ def test_url_lists_in_force(spark):
     assert url_filter.filter_urls(captures, events.limit(0), "page_id").where("blocked").count() == 0
 
 
+def test_url_entries_of_many_segments_match(spark):
+    events = spark.createDataFrame([("x.org/a/b/c/d", 1, True), (None, 1, True)], "pattern string, at int, listed boolean")
+    captures = spark.createDataFrame(
+        [(1, "http://www.x.org/a/b/c/d/e", 2), (2, "http://x.org/a/b/c/de", 2), (3, "http://x.org/a/b/c", 2)], "page_id int, url string, fetched_at int"
+    )
+    got = {r.page_id: r.pattern for r in url_filter.filter_urls(captures, events, "page_id").collect()}
+    assert got == {1: "x.org/a/b/c/d", 2: None, 3: None}
+
+
 def test_benchmark_passages_are_found(spark, docs):
     rng = random.Random(9)
     items = [(i, prose(rng, n, "klmnop")) for i, n in enumerate((40, 40, 30, 8, 3, 60))] + [(50, None), (51, ""), (None, "a b c d e f")]

@@ -15,7 +15,6 @@ from tidemark.llm.textcols import free_name
 from tidemark.sizing import counted_side
 
 BROADCAST_ENTRIES = 50_000
-MAX_SEGMENTS = 3
 
 
 def intervals(events: DataFrame) -> DataFrame:
@@ -44,8 +43,8 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def keys_of(url: Column, max_segments: int = MAX_SEGMENTS) -> Column:
-    """All patterns that could cover `url`: each host suffix, alone and with each path prefix."""
+def keys_of(url: Column, max_segments: int) -> Column:
+    """All patterns that could cover `url`: each host suffix, alone and with each path prefix of at most `max_segments`."""
     host = host_of(url)
     path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#\\]*([^?#]*)", 1)
     labels = F.split(host, r"\.")
@@ -72,14 +71,15 @@ def filter_urls(captures: DataFrame, events: DataFrame, key: str, url: str = "ur
     its start on and before its end. Captures without host, fetch time or match are not blocked
     and keep their row. Rows that share a `key` are one capture with several addresses.
 
-    A capture has at most (host labels) x (MAX_SEGMENTS + 1) keys, so the exploded side grows with
+    A capture has at most (host labels) x (segments of the list's longest path + 1) keys, so the exploded side grows with
     the captures only. The list goes out by broadcast if counted small; else the captures are
     shuffled by pattern, where adaptive execution splits the patterns of a hot host. Matches are
     then brought to one row per capture by an aggregate that combines before its shuffle.
     """
     spans = intervals(events)
+    deepest = events.where(F.col("pattern").isNotNull()).agg(F.max(F.size(F.split("pattern", "/")) - 1).alias("n")).first()["n"] or 0
     asked = captures.select(
-        F.col(f"`{key}`").alias("key"), F.col(f"`{fetched}`").alias("fetched"), keys_of(F.col(f"`{url}`").cast("string")).alias("ks")
+        F.col(f"`{key}`").alias("key"), F.col(f"`{fetched}`").alias("fetched"), keys_of(F.col(f"`{url}`").cast("string"), deepest).alias("ks")
     )
     side = counted_side(spans, BROADCAST_ENTRIES)
     exploded = asked.select("key", "fetched", F.explode("ks").alias("asked"))
