@@ -5,8 +5,9 @@ punctuation are added up per path and divided by the blocks of the path, so a sh
 as much as its long sisters. The two ratios are smoothed along the page, fused by multiplication and
 cut at a share of their spread; what passes is the core of the text. Menus, page headers and footers,
 sidebars, notices, adverts, forms and comments are taken out before by element, role and class word.
-Blocks between those of the core and headings before it belong to it; paths that are mostly links
-do not.
+Blocks between those of the core, headings before it, and lists, tables and headings in the elements
+that hold it belong to it; paths that are mostly links do not. Where a page names its article, all of
+that is its text.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from tidemark.llm.textcols import free_name
 KERNEL = (0.06, 0.24, 0.4, 0.24, 0.06)  # Gaussian over neighbours in page order
 SPREAD_SHARE = 0.5  # a path passes at this share of the fused ratio's standard deviation
 LINK_SHARE = 0.5  # paths with more of their text in links are menus
+COMPANIONS = HEADINGS | frozenset("li dt dd td th pre blockquote figcaption caption".split())
+STRUCTURE = frozenset("ul ol dl table tbody thead tfoot tr figure li dd".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？«»\"'()“”]+")
 
 
@@ -64,6 +67,18 @@ def _out(element: Element) -> bool:
     return False
 
 
+def _beside(element: Element, containers: set[int]) -> bool:
+    """Whether the block is a list item, cell, heading or the like in an element that holds blocks of the core."""
+    if element.tag not in COMPANIONS:
+        return False
+    above = element.parent
+    while above is not None and above.parent is not None:  # the root holds everything
+        if id(above) in containers:
+            return True
+        above = above.parent if above.tag in STRUCTURE else None
+    return False
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the main text, white space made single, joined by empty lines."""
     if not html:
@@ -96,10 +111,11 @@ def main_text(html: str | None) -> str:
             first = at[0]
             while first and kept[first - 1][0].tag in HEADINGS and not links[first - 1]:
                 first -= 1
-            container = {id(kept[k][0].parent) for k in at}
-            for k in range(first, at[-1]):
-                near = k < at[0] or id(kept[k][0].parent) in container or kept[k][0].tag in HEADINGS
-                chosen[k] |= near and not links[k]
+            containers = {id(kept[k][0].parent) for k in at if kept[k][0].parent is not None}
+            for k in range(len(kept)):
+                element = kept[k][0]
+                near = first <= k < at[0] or (at[0] < k < at[-1] and (id(element.parent) in containers or element.tag in HEADINGS))
+                chosen[k] |= (near or _beside(element, containers)) and not links[k]
     return "\n\n".join(text for (_, text, _), keep in zip(kept, chosen) if keep)
 
 
