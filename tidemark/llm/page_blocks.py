@@ -180,7 +180,7 @@ class PageReader:
             self.link = None
         elif tag == "br":
             self._text(" ")
-        elif tag not in INLINE and tag not in ("html", "body"):
+        elif tag not in INLINE and tag not in VOID and tag not in RAW and tag not in ("html", "body"):
             self._close_open(frozenset({tag}), frozenset() if tag in _WALL or tag in ("tr", "tbody", "thead", "tfoot") else _WALL)
             self.fresh = True
 
