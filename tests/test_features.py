@@ -7,9 +7,11 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.operators.features import compute_features, output_columns
+from tidemark.operators.series import slots_and_halo, with_halo
 
 COLUMNS = "timestamp timestamp, node_id string, " + ", ".join(f"{m} double" for m in schema.METRICS)
 
@@ -97,3 +99,35 @@ def test_hot_series_split_gives_the_same_rows(spark):
     for key, row in plain.items():
         for name, value in row.asDict().items():
             assert split[key][name] == (pytest.approx(value) if isinstance(value, float) else value), (key, name)
+
+
+def test_halo_covers_the_lookback():
+    rng = random.Random(5)
+    for _ in range(300):
+        counts = [rng.choice([0, 1, 3, 20, 70]) for _ in range(rng.randint(1, 40))]
+        least, lookback = rng.randint(1, 120), rng.randint(0, 90)
+        slots, copied = slots_and_halo(counts, least, lookback)
+        assert slots[0] == 0 and all(b - a in (0, 1) for a, b in zip(slots, slots[1:]))
+        for slot in range(slots[-1]):
+            inside = [k for k in range(len(counts)) if slots[k] == slot]
+            halo = [k for k in inside if copied[k]]
+            assert sum(counts[k] for k in inside) >= max(least, lookback)
+            assert sum(counts[k] for k in halo) >= lookback and halo == inside[len(inside) - len(halo) :]
+            assert not halo or sum(counts[k] for k in halo[1:]) < lookback
+        assert not any(c for k, c in enumerate(copied) if slots[k] == slots[-1])
+
+
+def test_hot_null_series_is_split_in_one_shuffle(spark):
+    rng = random.Random(8)
+    rows = [(None if i % 3 else "b", i, *(rng.random() * 50 for _ in range(5))) for i in range(1200)]
+    df = spark.createDataFrame(rows, "node_id string, second int, " + ", ".join(f"{m} double" for m in schema.METRICS))
+    df = df.withColumn("timestamp", F.timestamp_seconds("second")).repartition(4)
+    split = compute_features(df, order=["timestamp", "second"], target_rows=100, small_bytes=0)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(node_id") == 1 and plan.count("BroadcastExchange") == 1
+    widths = with_halo(df, "node_id", ["timestamp", "second"], 59, 100, 0).groupBy("node_id", "_slot").count()
+    assert widths.agg(F.max("count")).first()[0] < 400 and widths.where("node_id is null").count() > 4
+    plain = compute_features(df, order=["timestamp", "second"], small_bytes=1 << 70)
+    key = lambda r: r["second"]
+    for a, b in zip(sorted(split.collect(), key=key), sorted(plain.collect(), key=key), strict=True):
+        assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b) if isinstance(x, float)) and a["second"] == b["second"]

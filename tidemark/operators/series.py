@@ -5,13 +5,14 @@ every series is moderate: one shuffle and one sort serve all frames. A series th
 part of all rows is cut into slots of about `target_rows` consecutive rows instead:
 
 1. count rows per key; keys above `target_rows` are hot (a bounded list: rows / target_rows);
-2. slot borders are every few rows of a deterministic hash sample of the hot keys' order columns,
-   so slots are even whatever the time grain or the gaps;
-3. frames run per (key, slot). Rows deeper in their slot than the frame are complete;
-4. the first `lookback` rows of a slot are computed again from the slot edges alone: the tails
-   and heads of the slots in order, which hold every row their frames reach.
+2. a deterministic hash sample of the hot keys' order columns cuts each series into short pieces,
+   even whatever the time grain or the gaps, and slots are runs of pieces.
 
-Both ways give the same rows.
+Frames then need the rows before their slot. The pieces are counted, and the last of a slot that
+hold `lookback` rows are copied into the next slot as its halo. One shuffle takes every row to its
+slots, frames run per (key, slot), and the halo is dropped. No step looks at a whole series.
+
+Both ways give the same rows. A NULL key is a series like any other.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.expr import count_below
 from tidemark.sizing import is_small
@@ -28,9 +30,11 @@ from tidemark.sizing import is_small
 TARGET_ROWS = 2_000_000
 MAX_SLOTS = 200_000
 SAMPLES_PER_SLOT = 4
+PIECES_PER_SLOT = 16
 
 SLOT = "_slot"
 HOT = "_hot"
+_HALO = "_halo"
 
 
 @dataclass(frozen=True)
@@ -41,6 +45,26 @@ class Slotted:
     slots: int
 
 
+def _hot_pieces(df: DataFrame, key: str, order: list[str], target_rows: int, per_slot: int) -> tuple[DataFrame, int] | None:
+    """Rows (_key, at: sorted sample of the order columns) of the hot keys, and the rows of a slot.
+
+    The sample is a pure function of the rows; its size is about `per_slot` rows a slot.
+    """
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    total, hot_keys = per_key.agg(
+        F.sum("n"), F.sum(F.when(F.col("n") > target_rows, 1).otherwise(0))
+    ).first()
+    if not hot_keys:
+        return None
+    rows_per_slot = max(target_rows, -(-total // MAX_SLOTS))
+    hot = per_key.where(F.col("n") > rows_per_slot).select("_key")
+    modulus = max(1, rows_per_slot // per_slot)
+    picked = F.pmod(F.xxhash64(F.col(key), *[F.col(c) for c in order]), F.lit(modulus)) == 0
+    sample = df.where(picked).select(F.col(key).alias("_of"), F.struct(*order).alias("at"))
+    sample = sample.join(hot, F.col("_of").eqNullSafe(F.col("_key")))
+    return sample.groupBy("_key").agg(F.sort_array(F.collect_list("at")).alias("at")), rows_per_slot
+
+
 def split_hot_series(
     df: DataFrame,
     key: str,
@@ -54,42 +78,83 @@ def split_hot_series(
     """
     if is_small(df, small_bytes):
         return None
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total, hot_keys = per_key.agg(
-        F.sum("n"), F.sum(F.when(F.col("n") > target_rows, 1).otherwise(0))
-    ).first()
-    if not hot_keys:
+    pieces = _hot_pieces(df, key, order, target_rows, SAMPLES_PER_SLOT)
+    if pieces is None:
         return None
-    rows_per_slot = max(target_rows, -(-total // MAX_SLOTS))
-    hot = per_key.where(F.col("n") > rows_per_slot).select(key)
-    # The sample is a pure function of the order columns; its size is about
-    # SAMPLES_PER_SLOT * total / rows_per_slot rows whatever the input size.
-    modulus = max(1, rows_per_slot // SAMPLES_PER_SLOT)
-    picked = F.pmod(F.xxhash64(F.col(key), *[F.col(c) for c in order]), F.lit(modulus)) == 0
-    borders = (
-        df.where(picked)
-        .select(key, F.struct(*order).alias("at"))
-        .join(hot, key, "left_semi")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list("at")).alias("at"))
-        .select(
-            key,
-            F.filter("at", lambda _, i: i % SAMPLES_PER_SLOT == SAMPLES_PER_SLOT - 1).alias("_borders"),
-        )
-    )
+    ends = F.filter("at", lambda _, i: i % SAMPLES_PER_SLOT == SAMPLES_PER_SLOT - 1)
+    borders = pieces[0].select("_key", ends.alias("_borders"))
     found = borders.collect()
     if not found:
         return None
     longest = max(len(r["_borders"]) for r in found)
     table = F.broadcast(df.sparkSession.createDataFrame(found, borders.schema))
-    slotted = df.join(table, key, "left").select(
-        *df.columns,
-        F.coalesce(count_below(F.col("_borders"), max(longest, 1), F.struct(*order)), F.lit(0)).alias(SLOT),
+    slotted = df.join(table, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+        *[df[c] for c in df.columns],
+        F.coalesce(count_below(F.col("_borders"), max(longest, 1), F.struct(*[df[c] for c in order])), F.lit(0)).alias(SLOT),
         F.col("_borders").isNotNull().alias(HOT),
     )
     return Slotted(slotted, sum(len(r["_borders"]) + 1 for r in found))
 
 
+def slots_and_halo(counts: list[int], least: int, lookback: int) -> tuple[list[int], list[bool]]:
+    """Per piece its slot, and whether the next slot needs a copy of it.
+
+    A slot is as many pieces as hold `least` rows, and `lookback` at least, so that a halo never
+    reaches beyond the slot before.
+    """
+    slots, held, slot = [], 0, 0
+    for n in counts:
+        if held >= max(least, lookback, 1):
+            slot, held = slot + 1, 0
+        slots.append(slot)
+        held += n
+    copied, after = [False] * len(counts), 0
+    for k in reversed(range(len(counts))):
+        if k + 1 < len(counts) and slots[k + 1] != slots[k]:
+            after = 0
+        if slots[k] < slot and after < lookback:
+            copied[k] = True
+            after += counts[k]
+    return slots, copied
+
+
+def with_halo(
+    df: DataFrame, key: str, order: list[str], lookback: int, target_rows: int = TARGET_ROWS, small_bytes: int | None = None
+) -> DataFrame | None:
+    """`df` with its slot number and a flag: rows of hot series whose slot is followed by another come
+    once more as the halo of that one. None if no series is hot."""
+    if is_small(df, small_bytes):
+        return None
+    found = _hot_pieces(df, key, order, target_rows, PIECES_PER_SLOT)
+    if found is None:
+        return None
+    cuts, rows_per_slot = found
+    points = cuts.collect()
+    if not points:
+        return None
+    longest = max(len(r["at"]) for r in points)
+    spark = df.sparkSession
+
+    def piece(rows: DataFrame, table: DataFrame, how: str) -> DataFrame:
+        met = rows.join(F.broadcast(table), rows[key].eqNullSafe(table["_key"]), how)
+        return met.withColumn("_piece", count_below(F.col("at"), longest, F.struct(*[rows[c] for c in order])))
+
+    known = spark.createDataFrame(points, cuts.schema)
+    per_piece = piece(df.select(key, *order), known, "inner").groupBy("_key", "_piece").agg(F.count(F.lit(1)).alias("n"))
+    counts: dict = {}
+    for r in per_piece.collect():
+        counts.setdefault(r["_key"], {})[r["_piece"]] = r["n"]
+    rows = []
+    for r in points:
+        of = counts[r["_key"]]
+        rows.append((r["_key"], r["at"], *slots_and_halo([of.get(k, 0) for k in range(len(r["at"]) + 1)], rows_per_slot, lookback)))
+    schema = T.StructType([*cuts.schema.fields, T.StructField("_slots", T.ArrayType(T.IntegerType())), T.StructField("_copied", T.ArrayType(T.BooleanType()))])
+    placed = piece(df, spark.createDataFrame(rows, schema), "left")
+    slot = F.coalesce(F.get("_slots", F.col("_piece")), F.lit(0))
+    copies = F.when(F.get("_copied", F.col("_piece")), F.array(slot, slot + 1)).otherwise(F.array(slot))
+    return placed.select(*[df[c] for c in df.columns], F.posexplode(copies).alias(_HALO, SLOT))
+
+
 def over_series(
     df: DataFrame,
     key: str,
@@ -101,16 +166,7 @@ def over_series(
 ) -> DataFrame:
     """Apply `build(df, partition_columns)`, which adds columns from frames of at most
     `lookback` preceding rows, to every series."""
-    slotted = split_hot_series(df, key, order, target_rows, small_bytes)
+    slotted = with_halo(df, key, order, lookback, target_rows, small_bytes)
     if slotted is None:
         return build(df, [key])
-    in_slot = Window.partitionBy(key, SLOT)
-    ranked = slotted.df.withColumn("_at", F.row_number().over(in_slot.orderBy(*order))).withColumn(
-        "_in_slot", F.count(F.lit(1)).over(in_slot)
-    )
-    first_slot = F.col(SLOT) == 0
-    head = F.col("_at") <= lookback
-    tail = F.col("_in_slot") - F.col("_at") < lookback
-    body = build(ranked, [key, SLOT]).where(first_slot | ~head)
-    edge = build(ranked.where(F.col(HOT) & (head | tail)), [key]).where(~first_slot & head)
-    return body.unionByName(edge).drop(SLOT, HOT, "_at", "_in_slot")
+    return build(slotted, [key, SLOT]).where(F.col(_HALO) == 0).drop(SLOT, _HALO)
