@@ -226,7 +226,7 @@ def test_keys_of_parts_are_those_of_the_phrases():
         want = other.keys(stop - first, at + 2 * first)
         assert (high[0], low[0]) == (want[0][0], want[1][0])
     assert chunk.keys(4, at)[0] != Chunk("de", ["one two three four"]).keys(4, at)[0]
-    assert [np.flatnonzero(b).tolist() for b in chunk.begins({}).values()] == [[0, 1, 2, 5], [0, 1], [0]]
+    assert [np.flatnonzero(b).tolist() for (b,) in chunk.begins([{}]).values()] == [[0, 1, 2, 5], [0, 1], [0]]
 
 
 def test_filter_misses_no_key(spark):

@@ -66,7 +66,7 @@ def level(k: int, filters: dict[int, Filter]) -> Emit:
         if k == 1:
             yield chunk.words()
         else:
-            yield tally(*chunk.keys(k, np.flatnonzero(chunk.begins(filters, k)[k])))
+            yield tally(*chunk.keys(k, np.flatnonzero(chunk.begins([filters], k)[k][0])))
 
     return emit
 
@@ -76,7 +76,7 @@ def full(filters: dict[int, Filter]) -> Emit:
 
     def emit(chunk: Chunk) -> Iterator[tuple]:
         yield chunk.words()
-        for k, begin in chunk.begins(filters).items():
+        for k, (begin,) in chunk.begins([filters]).items():
             yield tally(*chunk.keys(k, np.flatnonzero(begin)))
 
     return emit
@@ -86,9 +86,8 @@ def further(before: dict[int, Filter], filters: dict[int, Filter]) -> Emit:
     """The phrases whose parts pass now and did not before."""
 
     def emit(chunk: Chunk) -> Iterator[tuple]:
-        old = chunk.begins(before)
-        for k, begin in chunk.begins(filters).items():
-            yield tally(*chunk.keys(k, np.flatnonzero(begin & ~old[k])))
+        for k, (old, begin) in chunk.begins([before, filters]).items():
+            yield tally(*chunk.keys(k, np.flatnonzero(begin & ~old)))
 
     return emit
 
@@ -153,7 +152,7 @@ def named(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, chunk in _slices(batches):
-            for k, begin in chunk.begins({}).items():
+            for k, (begin,) in chunk.begins([{}]).items():
                 at = np.flatnonzero(begin)
                 high, low = chunk.keys(k, at)
                 hit = np.flatnonzero(seen.has(high))
