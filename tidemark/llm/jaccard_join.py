@@ -19,7 +19,9 @@ and walk it with each query; see prefix_trie. No step emits the pairs of a meeti
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,7 @@ from tidemark.llm.prefix_trie import build, matches
 from tidemark.llm.shingles import mix, shingle_sets
 
 BLOCK_TOKENS = 200_000
+ENOUGH_DEVIATIONS = 4
 MAX_BLOCKS = 24
 
 
@@ -43,15 +46,28 @@ def size_classes(num: int, den: int, upto: int = 1 << 40) -> list[int]:
     return [*ends, end, max(end + 1, end * den // num)]
 
 
-def parts_of(level: int, ends: list[int], num: int, den: int) -> tuple[int, int]:
+@cache
+def parts_of(level: int, num: int, den: int) -> tuple[int, int]:
     """(parts, spare) at a level, which joins sets of its class and the next.
 
     There are `spare` parts more than differences, plus one: a set with up to `spare` empty parts
-    need not be met in those.
+    need not be met in those. `spare` is as many that few sets of the least size have more.
     """
+    ends = size_classes(num, den)
     differ = (ends[level] + ends[level + 1]) * (den - num) // (den + num)
-    spare = 2 + differ // 80 if differ else 0
-    return differ + 1 + spare, spare
+    if not differ:
+        return 1, 0
+    least = ends[level - 1] + 1 if level else 1
+    best, chosen = -math.inf, 0
+    for spare in range(2 * differ + 5):
+        parts = differ + 1 + spare
+        empty = parts * (1 - 1 / parts) ** least
+        margin = (spare - empty) / math.sqrt(max(empty, 1e-9))  # in deviations of a count of rare events
+        if margin > best:
+            best, chosen = margin, spare
+        if margin >= ENOUGH_DEVIATIONS:
+            break
+    return differ + 1 + chosen, chosen
 
 
 def part_hashes(tokens: np.ndarray, level: int, parts: int, spare: int) -> np.ndarray:
@@ -95,7 +111,7 @@ def meetings(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     continue
                 level = int(np.searchsorted(tops, len(tokens)))
                 for at in {level, max(level - 1, 0)}:
-                    keys.append(part_hashes(tokens, at, *parts_of(at, ends, num, den)))
+                    keys.append(part_hashes(tokens, at, *parts_of(at, num, den)))
                     ids.append(np.full(len(keys[-1]), i, np.int64))
                 if len(keys) >= 2000:
                     yield pd.DataFrame({"part": np.concatenate(keys).view(np.int64), "id": np.concatenate(ids)})
@@ -201,9 +217,12 @@ def remaining_links(met: DataFrame, labels: DataFrame, sets: DataFrame, num: int
     members = met.join(labels.withColumnRenamed("node", "id"), "id", "left")
     members = members.select("part", "id", "leader", F.coalesce("component", "id").alias("component"))
     several = members.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    several = written(several, "several")
     members = written(members.join(several.select("part"), "part"), "open")
-    clusters = components(members.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
-    whole = members.select("id", "component").distinct().join(clusters.select(F.col("node").alias("id"), F.col("component").alias("unit")), "id")
+    # Clusters are made of components, of which a meeting of near copies has few, and not of its members.
+    stars = members.join(several.select("part", "low"), "part").select(F.col("low").alias("a"), F.col("component").alias("b")).distinct()
+    clusters = components(stars).select(F.col("node").alias("component"), F.col("component").alias("unit"))
+    whole = members.select("id", "component").distinct().join(clusters, "component").select("id", "component", "unit")
     whole = written(whole.join(sets.select("id", "size"), "id"), "clusters")
     blocks = whole.groupBy("unit").agg(_blocks(F.sum("size")).alias("blocks"))
     large = blocks.where(F.col("blocks") > MAX_BLOCKS).select("unit")
