@@ -219,13 +219,13 @@ def test_phrases_of_empty_tables_and_rare_words(spark):
 
 
 def test_keys_of_parts_are_those_of_the_phrases():
-    chunk = Chunk("en", ["One two three four. FIVE six"])
+    chunk = Chunk("en", [b"One two three four. FIVE six"])
     at = np.array([0])
     for (first, stop), (high, low) in part_keys("en", ["one two three four"], 4).items():
-        other = Chunk("en", ["x " * first + "one two three four"])
+        other = Chunk("en", [b"x " * first + b"one two three four"])
         want = other.keys(stop - first, at + 2 * first)
         assert (high[0], low[0]) == (want[0][0], want[1][0])
-    assert chunk.keys(4, at)[0] != Chunk("de", ["one two three four"]).keys(4, at)[0]
+    assert chunk.keys(4, at)[0] != Chunk("de", [b"one two three four"]).keys(4, at)[0]
     assert [np.flatnonzero(b).tolist() for (b,) in chunk.begins([{}]).values()] == [[0, 1, 2, 5], [0, 1], [0]]
 
 

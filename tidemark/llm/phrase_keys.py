@@ -42,13 +42,6 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return start, end, *out
 
 
-def objects(values: list) -> np.ndarray:
-    """`values` as they are, not as a string column of pandas."""
-    out = np.empty(len(values), object)
-    out[:] = values
-    return out
-
-
 def seal(first: np.ndarray, second: np.ndarray, k: int, lang: tuple[np.uint64, np.uint64]) -> tuple[np.ndarray, np.ndarray]:
     """Keys (64-bit, 32-bit) from sums over words; the lowest 3 bits of the second hold the number of words."""
     high = mix(first + lang[0] + _LEVELS[k])
@@ -79,10 +72,8 @@ class Filter:
 class Chunk:
     """Texts of one language as a row of words with gaps between pieces."""
 
-    def __init__(self, lang: str, texts: list[str]) -> None:
-        self.raw = (b" " + GAP + b" ").join(
-            t.encode("utf-8", "surrogatepass").translate(_PIECE_BYTES).replace(b"\n", b" " + GAP + b" ") for t in texts
-        )
+    def __init__(self, lang: str, texts: list[bytes]) -> None:
+        self.raw = (b" " + GAP + b" ").join(t.translate(_PIECE_BYTES).replace(b"\n", b" " + GAP + b" ") for t in texts)
         self.start, self.end, *self.h = word_hashes(self.raw)
         self.word = np.frombuffer(self.raw, np.uint8)[self.start] != GAP[0]
         self.lang = lang_hash(lang)

@@ -21,41 +21,57 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import sized, written
-from tidemark.llm.phrase_keys import LONGEST, Chunk, Filter, objects, part_keys, tally
-from tidemark.llm.shingles import chunks
+from tidemark.llm.phrase_keys import LONGEST, Chunk, Filter, part_keys, tally
 
 SAMPLE_EVERY = 8  # one document in so many proposes phrases
 LOWERED = 0.5  # share of the count expected in the sample that makes a proposal
 BITS_A_PHRASE = 16
 MAX_BITS = 1 << 28  # 32 MB a filter; beyond it more phrases pass and are counted
-SLICE_CHARS = 2 << 20
+SLICE_BYTES = 2 << 20
 UNKNOWN = "und"
 KEY = ["high", "low"]
 
 Emit = Callable[[Chunk], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Chunk]]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Chunk]]:
+    """The texts of each language in slices; they are taken from the batch as bytes, a slice at a time."""
     for batch in batches:
-        for lang, rows in batch.groupby("lang", sort=True):
-            texts = rows["text"].tolist()
-            for part in chunks(texts, SLICE_CHARS):
-                yield lang, Chunk(lang, texts[part])
+        texts = batch.column("text").cast(pa.binary())
+        sizes, rows = pc.binary_length(texts).to_pylist(), {}
+        for k, lang in enumerate(batch.column("lang").to_pylist()):
+            rows.setdefault(lang, []).append(k)
+        for lang in sorted(rows):
+            held, size = [], 0
+            for k in rows[lang]:
+                held.append(texts[k].as_py())
+                size += sizes[k]
+                if size >= SLICE_BYTES:
+                    yield lang, Chunk(lang, held)
+                    held, size = [], 0
+            if held:
+                yield lang, Chunk(lang, held)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def counted(docs: DataFrame, emit: Emit, least: int, name: str) -> DataFrame:
     """Rows (high, low, f) of the phrases that `emit` gives and that occur `least` times or more."""
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, chunk in _slices(batches):
             for high, low, f in emit(chunk):
-                yield pd.DataFrame({"high": high, "low": low, "f": f.astype(np.int64)})
+                yield _batch(high=high, low=low, f=f.astype(np.int64))
 
-    rows = docs.mapInPandas(made, "high long, low int, f long").groupBy(*KEY).agg(F.sum("f").alias("f"))
+    rows = docs.mapInArrow(made, "high long, low int, f long").groupBy(*KEY).agg(F.sum("f").alias("f"))
     return written(rows.where(F.col("f") >= least), name)
 
 
@@ -150,7 +166,7 @@ def named(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (high, low, f, lang, phrase) of the `wanted` that occur in `docs`."""
     seen = filter_of(wanted)
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, chunk in _slices(batches):
             for k, (begin,) in chunk.begins([{}]).items():
                 at = np.flatnonzero(begin)
@@ -158,10 +174,10 @@ def named(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 hit = np.flatnonzero(seen.has(high))
                 _, first = np.unique(high[hit], return_index=True)
                 first = hit[first]
-                texts = objects([chunk.text(k, i) for i in at[first].tolist()])
-                yield pd.DataFrame({"high": high[first], "low": low[first], "lang": objects([lang] * len(first)), "phrase": texts})
+                texts = pa.array([chunk.text(k, i) for i in at[first].tolist()], pa.string())
+                yield _batch(high=high[first], low=low[first], lang=pa.array([lang] * len(first), pa.string()), phrase=texts)
 
-    found = docs.mapInPandas(made, "high long, low int, lang string, phrase string")
+    found = docs.mapInArrow(made, "high long, low int, lang string, phrase string")
     return found.join(sized(wanted), KEY).groupBy(*KEY, "f").agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"))
 
 
@@ -182,12 +198,12 @@ def parts(phrases: DataFrame) -> DataFrame:
 def totals(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     """Rows (lang, n): the words of each language that has a frequent phrase."""
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [Chunk(lang, []).words() for lang in batch["lang"]]
-            yield pd.DataFrame({"lang": objects(batch["lang"].tolist()), "high": [k[0][0] for k in keys], "low": [k[1][0] for k in keys]})
+            keys = [Chunk(lang, []).words() for lang in batch.column("lang").to_pylist()]
+            yield _batch(lang=batch.column("lang"), high=[int(k[0][0]) for k in keys], low=pa.array([int(k[1][0]) for k in keys], pa.int32()))
 
-    langs = docs.select("lang").distinct().mapInPandas(made, "lang string, high long, low int")
+    langs = docs.select("lang").distinct().mapInArrow(made, "lang string, high long, low int")
     return langs.join(frequent.where(_length(0)), KEY).select("lang", F.col("f").alias("n"))
 
 
