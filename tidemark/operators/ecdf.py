@@ -2,46 +2,23 @@
 
 ROC, average precision, exact percentiles, Kolmogorov-Smirnov and Wasserstein distances all need
 running totals over the distinct values of a group. A window over a whole group is one task, so
-beyond small inputs the values are cut into bins of about equal weight first: rows are combined
+beyond small inputs the values are cut into bins of about equal size first: rows are combined
 per (group, value) before any shuffle, each (group, bin) gets its own window, and the totals of
 the bins before it are added from a table with one row per (group, bin).
 
-The bin borders are approximate quantiles over all groups. They only steer the balance: any
-borders give the same totals, and no bin holds more than about 1/`bins` of all rows.
+The bins are Spark's own range partitions of (group, value), whose borders come from samples of every
+partition, larger ones for larger partitions. What is cut is the combined rows, so a value that fills
+the input is one row of its bin. Their number follows `spark.sql.shuffle.partitions` and has no bound
+of its own. Borders only steer the balance: any borders give the same totals.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.expr import count_below
-from tidemark.sizing import group_join, is_small, plan_bytes
-
-BYTES_PER_BIN = 64 * 1024 * 1024
-MIN_BINS, MAX_BINS = 15, 8191
-
-
-def _bins_for(df: DataFrame) -> int:
-    size = plan_bytes(df)
-    return MAX_BINS if size is None else max(MIN_BINS, min(MAX_BINS, size // BYTES_PER_BIN))
-
-
-def _borders(df: DataFrame, value: str, bins: int) -> list[float]:
-    points = [i / bins for i in range(1, bins)]
-    row = df.agg(F.percentile_approx(_number(df, value), points, 10 * bins).alias("b")).first()
-    return sorted(set(row["b"] or []))
-
-
-def _number(df: DataFrame, value: str) -> Column:
-    """The value as a double that keeps its order; it only steers the bins."""
-    kind = df.schema[value].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(value).cast("timestamp")).cast("double")
-    return F.col(value).cast("double")
+from tidemark.sizing import group_join, is_small
+from tidemark.sources.files import stored
 
 
 def running_totals(
@@ -77,19 +54,16 @@ def running_totals(
             *[F.sum(m).over(group).alias(f"all_{m}") for m in measures],
             F.lead(value).over(upto).alias("next_value"),
         )
-    bins = bins or _bins_for(df)
-    borders = _borders(known, value, bins)
-    bin_of = F.lit(0)
-    if borders:
-        constants = F.expr("array(" + ", ".join(f"double('{float(b)!r}')" for b in borders) + ")")
-        bin_of = count_below(constants, len(borders), _number(known, value))
-    binned = counts.withColumn("_bin", bin_of)
+    parts = bins or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.repartitionByRange(parts, *[F.col(g) for g in groups], by(value))
+    # Written, so that all who read it see the same rows in the same bin.
+    binned = stored(dealt.withColumn("_bin", F.spark_partition_id()), "value-bins")
     per_bin = binned.groupBy(*groups, "_bin").agg(
         *[F.sum(m).alias(m) for m in measures],
         (F.max(value) if descending else F.min(value)).alias("_edge"),
     )
     across = Window.partitionBy(*groups)
-    before = across.orderBy(by("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+    before = across.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     # The totals before a bin enter its window as one more row, ahead of all values: no join.
     carried = per_bin.select(
         *groups,
@@ -97,7 +71,7 @@ def running_totals(
         F.lit(None).cast(df.schema[value].dataType).alias(value),
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures],
         *[F.sum(m).over(across).alias(f"all_{m}") for m in measures],
-        F.lead("_edge").over(across.orderBy(by("_bin"))).alias("_next_edge"),
+        F.lead("_edge").over(across.orderBy("_bin")).alias("_next_edge"),
     )
     lines = binned.unionByName(carried, allowMissingColumns=True)
     value_order = F.desc_nulls_first(value) if descending else F.asc_nulls_first(value)

@@ -46,23 +46,23 @@ class Slotted:
 
 
 def _hot_pieces(df: DataFrame, key: str, order: list[str], target_rows: int, per_slot: int) -> tuple[DataFrame, int] | None:
-    """Rows (_key, at: sorted sample of the order columns) of the hot keys, and the rows of a slot.
+    """Rows (_hot_key, at: sorted sample of the order columns) of the hot keys, and the rows of a slot.
 
     The sample is a pure function of the rows; its size is about `per_slot` rows a slot.
     """
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("n"))
     total, hot_keys = per_key.agg(
         F.sum("n"), F.sum(F.when(F.col("n") > target_rows, 1).otherwise(0))
     ).first()
     if not hot_keys:
         return None
     rows_per_slot = max(target_rows, -(-total // MAX_SLOTS))
-    hot = per_key.where(F.col("n") > rows_per_slot).select("_key")
+    hot = per_key.where(F.col("n") > rows_per_slot).select("_hot_key")
     modulus = max(1, rows_per_slot // per_slot)
     picked = F.pmod(F.xxhash64(F.col(key), *[F.col(c) for c in order]), F.lit(modulus)) == 0
     sample = df.where(picked).select(F.col(key).alias("_of"), F.struct(*order).alias("at"))
-    sample = sample.join(hot, F.col("_of").eqNullSafe(F.col("_key")))
-    return sample.groupBy("_key").agg(F.sort_array(F.collect_list("at")).alias("at")), rows_per_slot
+    sample = sample.join(hot, F.col("_of").eqNullSafe(F.col("_hot_key")))
+    return sample.groupBy("_hot_key").agg(F.sort_array(F.collect_list("at")).alias("at")), rows_per_slot
 
 
 def split_hot_series(
@@ -82,13 +82,13 @@ def split_hot_series(
     if pieces is None:
         return None
     ends = F.filter("at", lambda _, i: i % SAMPLES_PER_SLOT == SAMPLES_PER_SLOT - 1)
-    borders = pieces[0].select("_key", ends.alias("_borders"))
+    borders = pieces[0].select("_hot_key", ends.alias("_borders"))
     found = borders.collect()
     if not found:
         return None
     longest = max(len(r["_borders"]) for r in found)
     table = F.broadcast(df.sparkSession.createDataFrame(found, borders.schema))
-    slotted = df.join(table, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+    slotted = df.join(table, F.col(key).eqNullSafe(F.col("_hot_key")), "left").select(
         *[df[c] for c in df.columns],
         F.coalesce(count_below(F.col("_borders"), max(longest, 1), F.struct(*[df[c] for c in order])), F.lit(0)).alias(SLOT),
         F.col("_borders").isNotNull().alias(HOT),
@@ -136,18 +136,18 @@ def with_halo(
     spark = df.sparkSession
 
     def piece(rows: DataFrame, table: DataFrame, how: str) -> DataFrame:
-        met = rows.join(F.broadcast(table), rows[key].eqNullSafe(table["_key"]), how)
+        met = rows.join(F.broadcast(table), rows[key].eqNullSafe(table["_hot_key"]), how)
         return met.withColumn("_piece", count_below(F.col("at"), longest, F.struct(*[rows[c] for c in order])))
 
     known = spark.createDataFrame(points, cuts.schema)
-    per_piece = piece(df.select(key, *order), known, "inner").groupBy("_key", "_piece").agg(F.count(F.lit(1)).alias("n"))
+    per_piece = piece(df.select(key, *order), known, "inner").groupBy("_hot_key", "_piece").agg(F.count(F.lit(1)).alias("n"))
     counts: dict = {}
     for r in per_piece.collect():
-        counts.setdefault(r["_key"], {})[r["_piece"]] = r["n"]
+        counts.setdefault(r["_hot_key"], {})[r["_piece"]] = r["n"]
     rows = []
     for r in points:
-        of = counts[r["_key"]]
-        rows.append((r["_key"], r["at"], *slots_and_halo([of.get(k, 0) for k in range(len(r["at"]) + 1)], rows_per_slot, lookback)))
+        of = counts[r["_hot_key"]]
+        rows.append((r["_hot_key"], r["at"], *slots_and_halo([of.get(k, 0) for k in range(len(r["at"]) + 1)], rows_per_slot, lookback)))
     schema = T.StructType([*cuts.schema.fields, T.StructField("_slots", T.ArrayType(T.IntegerType())), T.StructField("_copied", T.ArrayType(T.BooleanType()))])
     placed = piece(df, spark.createDataFrame(rows, schema), "left")
     slot = F.coalesce(F.get("_slots", F.col("_piece")), F.lit(0))

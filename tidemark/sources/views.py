@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators.asof import asof_join, latest_per_key, online_lookup, only_keys, time_bounds
+from tidemark.operators.asof import FeatureSource, asof_join_all, latest_per_key, online_lookup, only_keys, reach_of
 
 Reader = Callable[[SparkSession], DataFrame]
 
@@ -109,31 +109,27 @@ def historical_features(
     """Point-in-time values from several views: one output row per entity row.
 
     Each view is matched with its own time to live, so features of one row may come from
-    different times in different views. Rows after the last entity time and of keys that nobody
-    asks for are left out before a view is computed: its frames only look back.
+    different times in different views. Views of one entity share one time line, so the shuffles do
+    not grow with their number. Rows after the last entity time and of keys that nobody asks for are
+    left out before a view is computed: its frames only look back.
     """
     spark, out = entities.sparkSession, entities
-    bounds = time_bounds(entities, entity_ts)
-    for name, columns in resolve(references, views).items():
-        view = views[name]
-
-        def narrow(rows: DataFrame, view: FeatureView = view) -> DataFrame:
-            upto = F.lit(False) if bounds is None else F.col(view.timestamp_field) <= bounds[1]
-            return only_keys(rows.where(upto), entities, view.entity)
-
-        joined = asof_join(
-            out,
-            view.read(spark, narrow),
-            key=view.entity,
-            entity_ts=entity_ts,
-            feature_ts=view.timestamp_field,
-            columns=columns,
-            ttl=view.ttl,
-            tie=list(view.tie),
-            prefix=f"_{name}_",
-            **options,
-        )
-        out = joined.select(*out.columns, *[F.col(f"_{name}_{c}").alias(c) for c in columns])
+    wanted = resolve(references, views)
+    for entity in dict.fromkeys(views[name].entity for name in wanted):
+        reach = reach_of(entities, entity, entity_ts)
+        sources = []
+        for name in (n for n in wanted if views[n].entity == entity):
+            view = views[name]
+            # The frames of a computed view look back from its raw rows, so these have no lower end.
+            lower = None if view.narrows else view.ttl
+            rows = view.read(spark, lambda rows, at=view.timestamp_field, lower=lower: reach.narrow(rows, entity, at, lower))
+            if view.narrows and view.ttl is not None and reach.low is not None:
+                rows = rows.where(F.col(view.timestamp_field) >= reach.low - F.expr(f"INTERVAL '{view.ttl}'"))
+            sources.append(FeatureSource(rows, view.timestamp_field, wanted[name], view.ttl, view.tie, f"_{name}_", narrowed=True))
+        before = out.columns
+        joined = asof_join_all(out, sources, key=entity, entity_ts=entity_ts, reach=reach, **options)
+        taken = [F.col(f"_{n}_{c}").alias(c) for n in wanted if views[n].entity == entity for c in wanted[n]]
+        out = joined.select(*before, *taken)
     return out
 
 
