@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.operators import drift, ecdf, lineage, metrics, rules, splits, timeline
-from tidemark.operators.asof import asof_join, latest_per_key, online_lookup
+from tidemark.operators import asof
+from tidemark.operators.asof import FeatureSource, asof_join, asof_join_all, latest_per_key, online_lookup
 from tidemark.plans import monitoring, registry, scoring
 
 T0 = dt.datetime(2026, 1, 5)
@@ -93,7 +94,7 @@ def brute_auc(rows):
     return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("small", [None, 0])
+@pytest.mark.parametrize("small", [1 << 70, 0])
 def test_auc_with_ties(spark, small):
     rng = random.Random(4)
     rows = [(round(rng.random(), 2), int(rng.random() < 0.3)) for _ in range(500)]
@@ -111,7 +112,7 @@ def test_percentiles_binned_equal_builtin(spark):
     rng = random.Random(5)
     df = spark.createDataFrame([(i % 3, rng.gauss(0, 1)) for i in range(900)], "g int, v double")
     points = {"a": 0.0, "b": 0.5, "c": 0.95, "d": 1.0}
-    plain = {r["g"]: r for r in ecdf.percentiles(df, ["g"], "v", points).collect()}
+    plain = {r["g"]: r for r in ecdf.percentiles(df, ["g"], "v", points, small_bytes=1 << 70).collect()}
     binned = {r["g"]: r for r in ecdf.percentiles(df, ["g"], "v", points, small_bytes=0).collect()}
     for g, row in plain.items():
         assert [binned[g][p] for p in points] == pytest.approx([row[p] for p in points])
@@ -119,7 +120,7 @@ def test_percentiles_binned_equal_builtin(spark):
 
 def test_running_totals_keep_null_groups(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("x", 1.0)], "g string, v double")
-    for small in (None, 0):
+    for small in (1 << 70, 0):
         out = ecdf.running_totals(df, ["g"], "v", {"n": F.lit(1)}, small_bytes=small)
         assert sorted((r["g"] or "", r["v"], r["cum_n"], r["all_n"]) for r in out.collect()) == [("", 1.0, 1, 2), ("", 2.0, 2, 2), ("x", 1.0, 1, 1)]
 
@@ -149,7 +150,9 @@ def test_gap_report(spark):
     expected = timeline.spine(keys, "k", F.col("s"), F.col("e"))
     assert expected.count() == 10
     seen = spark.createDataFrame([("a", start), ("a", start), ("a", start + dt.timedelta(minutes=9))], "k string, timestamp timestamp")
-    assert timeline.gap_report(expected, seen, "k").first()["missing"] == 8
+    odd = seen.union(spark.createDataFrame([("a", end), ("a", start + dt.timedelta(seconds=30)), ("z", start)], seen.schema))
+    report = timeline.gap_report(keys.union(spark.createDataFrame([("b", start, start)], keys.schema)), "k", F.col("s"), F.col("e"), odd)
+    assert [tuple(r) for r in report.collect()] == [("a", 10, 8, 0.2)]
     assert timeline.gaps(expected, seen, "k").count() == 8
 
 
@@ -317,3 +320,54 @@ def test_column_models_score_in_one_pass(spark, tmp_path):
     model = scoring.column_model(F.col("id") > 10)
     out = scoring.score_records(spark.read.parquet(str(tmp_path / "r")), ["id"], primary=model, challenger=model)
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and out.count() == 50
+
+
+def test_views_share_one_time_line(spark):
+    """The shuffles of an as-of join do not grow with the number of its sources."""
+    rng = random.Random(2)
+    facts = [(rng.choice("abc"), T0 + dt.timedelta(seconds=rng.randrange(9000)), rng.randrange(3), float(i)) for i in range(300)]
+    asks = [(i, rng.choice("abcd"), T0 + dt.timedelta(seconds=rng.randrange(9000))) for i in range(80)]
+    features = spark.createDataFrame(facts, "k string, t timestamp, tie int, v double")
+    entities = spark.createDataFrame(asks, "row int, k string, t timestamp")
+    odd = features.where("v % 2 = 1").withColumnRenamed("v", "w")
+    sources = [
+        FeatureSource(features, "t", ["v"], "10 minutes", ["tie", "v"], "a_"), FeatureSource(odd, "t", ["w"], None, ["tie", "w"], "b_"),
+        FeatureSource(features.where("k = 'a'"), "t", ["v", "tie"], "1 hour", ["tie", "v"], "c_"),
+    ]
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for options in ({}, {"small_bytes": 0, "target_rows": 15}):
+        whole = asof_join_all(entities, sources, key="k", entity_ts="t", **options)
+        alone = [asof_join_all(entities, [s], key="k", entity_ts="t", **options) for s in sources]
+        got = {r.row: r for r in whole.collect()}
+        assert len(got) == 80
+        for s, one in zip(sources, alone):
+            for r in one.collect():
+                assert all(r[c] == got[r.row][c] for c in one.columns[3:]), s.prefix
+        if not options:
+            assert len({plan_of(d).count("Exchange hashpartitioning") for d in (whole, *alone)}) == 1
+
+
+def test_many_keys_are_narrowed_by_hash_slot(spark, monkeypatch):
+    monkeypatch.setattr(asof, "SMALL_SIDE_ROWS", 5)
+    features = spark.range(3000).select((F.col("id") % 300).alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("v"))
+    entities = spark.createDataFrame([(k, 4000) for k in range(0, 300, 10)], "k long, s int").select("k", F.timestamp_seconds("s").alias("at"))
+    reach = asof.reach_of(entities, "k", "at")
+    assert reach.by_slot and reach.narrow(features, "k", "t").select("k").distinct().count() == 30
+    out = asof_join(entities, features, key="k", entity_ts="at", feature_ts="t", columns=["v"])
+    assert {r.k: r.v for r in out.collect()} == {k: 2700 + k for k in range(0, 300, 10)}
+    monkeypatch.setattr(asof, "KEY_SLOTS", 8)  # the asked keys take most slots: no filter
+    assert asof.reach_of(entities, "k", "at").keys is None
+
+
+def test_value_bins_need_no_single_reducer(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 1000 / 7).alias("v"))
+    plain = ecdf.running_totals(df, ["g"], "v", {"n": F.lit(1)}, descending=True, small_bytes=1 << 70)
+    binned = ecdf.running_totals(df, ["g"], "v", {"n": F.lit(1)}, descending=True, small_bytes=0, bins=9)
+    assert sorted(map(tuple, plain.select(sorted(plain.columns)).collect())) == sorted(map(tuple, binned.select(sorted(plain.columns)).collect()))
+    plan = binned._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "percentile" not in plan
+    widths = binned.groupBy("g").count().collect()
+    assert {r["count"] for r in widths} == {1000}

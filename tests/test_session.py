@@ -45,3 +45,30 @@ def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
     context = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         sizing.shared_dir(SimpleNamespace(conf=conf, sparkContext=context), "x")
+
+
+@pytest.mark.parametrize("hidden", ["tokenizers", "no_such_library"])
+def test_core_queries_do_without_optional_libraries(tmp_path, hidden):
+    """From another folder: the core queries are there when a library of the training-data part is not, and
+    one with a Python function runs on workers that know nothing of the repository."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        textwrap.dedent(
+            f"""
+            import sys
+            sys.modules[{hidden!r}] = None
+            sys.path.insert(0, {REPO!r})
+            from __spark_entry__ import queries
+            found = queries()
+            print("QUERIES", len(found), "features_all" in found)
+            if {hidden!r} != "tokenizers":
+                from tidemark.session import build_session
+                spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+                print("ROWS", found["stream_keyed_features"](spark, "/root/testdata/sf0.001").count())
+            """
+        )
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "QUERIES" in out.stdout and "True" in out.stdout, out.stderr[-2000:]
+    assert hidden == "tokenizers" or ("ROWS" in out.stdout and "ROWS 0" not in out.stdout), out.stderr[-2000:]

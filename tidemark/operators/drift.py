@@ -16,13 +16,17 @@ SERIES_TERMS = 20
 
 
 def analysed_columns(reference: list[str], current: list[str]) -> list[str]:
-    """Metrics and z-score columns present on both sides."""
-    wanted = schema.METRICS + [c for c in reference if "zscore" in c]
-    return [c for c in wanted if c in reference and c in current]
+    """Metrics and z-score columns of the reference; one that `current` lacks is analysed as missing."""
+    wanted = dict.fromkeys(schema.METRICS + [c for c in reference if "zscore" in c])
+    return [c for c in wanted if c in reference]
 
 
 def two_samples(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """Both sides in long form: side, column, value."""
+    """Both sides in long form: side, column, value. A side without a column has no values of it."""
+    kinds = {f.name: f.dataType for f in [*current.schema.fields, *reference.schema.fields]}
+    reference, current = (
+        df.withColumns({c: F.lit(None).cast(kinds[c]) for c in columns if c not in df.columns}) for df in (reference, current)
+    )
     sides = reference.select(F.lit("ref").alias("side"), *columns).unionByName(
         current.select(F.lit("cur").alias("side"), *columns)
     )
@@ -43,11 +47,15 @@ def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     for k in range(1, SERIES_TERMS + 1):
         sign = 2.0 if k % 2 else -2.0
         terms = terms + F.lit(sign) * F.exp(F.lit(-2.0 * k * k) * x * x)
-    return F.when(x < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), terms)))
+    return F.when(x < 0.2, F.lit(1.0)).when(x >= 0.2, F.greatest(F.lit(0.0), F.least(F.lit(1.0), terms)))
+
 
+def column_drift(samples: DataFrame, columns: list[str], small_bytes: int | None = None) -> DataFrame:
+    """One row per column of `columns` with both distances, means and the drift verdict.
 
-def column_drift(samples: DataFrame, small_bytes: int | None = None) -> DataFrame:
-    """One row per column with both distances, means and the drift verdict."""
+    A column without values on one side or both is `missing`: it has no p-value and counts as not
+    drifted, but it is in the result and so in the total of a summary.
+    """
     ref, cur = F.col("side") == "ref", F.col("side") == "cur"
     totals = running_totals(
         samples,
@@ -68,7 +76,9 @@ def column_drift(samples: DataFrame, small_bytes: int | None = None) -> DataFram
         F.count_if(ref).alias("ref_size"),
         F.count_if(cur).alias("cur_size"),
     )
-    joined = moments.join(distances, "column")
+    asked = samples.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    # One row per analysed column: bounded by the width of the schema.
+    joined = asked.join(moments, "column", "left").join(distances, "column", "left")
     shift = F.abs(F.col("_cur_mean") - F.col("_ref_mean")) / (F.col("_ref_std") + F.lit(1e-10))
     p = ks_pvalue(F.col("_ks"), F.col("ref_size"), F.col("cur_size"))
     return joined.select(
@@ -79,8 +89,9 @@ def column_drift(samples: DataFrame, small_bytes: int | None = None) -> DataFram
         F.coalesce(F.try_divide("_area", "_ref_std"), F.lit(0.0)).alias("wasserstein_norm"),
         F.col("_ref_mean").alias("ref_mean"),
         F.col("_cur_mean").alias("curr_mean"),
-        "ref_size",
-        "cur_size",
+        F.coalesce("ref_size", F.lit(0)).alias("ref_size"),
+        F.coalesce("cur_size", F.lit(0)).alias("cur_size"),
+        ((F.coalesce("ref_size", F.lit(0)) == 0) | (F.coalesce("cur_size", F.lit(0)) == 0)).alias("missing"),
         F.coalesce((p < P_LIMIT) | (shift > SHIFT_LIMIT), F.lit(False)).alias("drifted"),
     )
 
@@ -89,7 +100,7 @@ def drift_details(
     reference: DataFrame, current: DataFrame, columns: list[str] | None = None, small_bytes: int | None = None
 ) -> DataFrame:
     columns = columns or analysed_columns(reference.columns, current.columns)
-    return column_drift(two_samples(reference, current, columns), small_bytes)
+    return column_drift(two_samples(reference, current, columns), columns, small_bytes)
 
 
 def drift_summary(details: DataFrame, flag: str = "drifted") -> DataFrame:
@@ -102,6 +113,7 @@ def drift_summary(details: DataFrame, flag: str = "drifted") -> DataFrame:
         F.array_join(F.sort_array(F.collect_list(F.when(F.col(flag), F.col("column")))), ",").alias("drifted_features"),
         drifted.alias("num_drifted_features"),
         total.alias("total_features_analyzed"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("missing"), F.col("column")))), ",").alias("missing_features"),
         F.max("ref_size").alias("reference_size"),
         F.max("cur_size").alias("current_size"),
     )

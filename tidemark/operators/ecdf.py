@@ -97,17 +97,20 @@ def percentiles(
     value: str,
     points: dict[str, float],
     *,
+    beside: dict[str, Column] | None = None,
     small_bytes: int | None = None,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group and one column per point.
 
+    `beside` names further aggregates of the groups, made in the same pass where there is one pass.
     Groups whose values are all NULL are kept, with NULL percentiles.
     """
+    others = [c.alias(n) for n, c in (beside or {}).items()]
     if is_small(df, small_bytes):
         # One aggregate for all points: they share a single count of the values.
         marks = F.percentile(value, list(points.values())).alias("_marks")
-        found = df.groupBy(*groups).agg(marks)
-        return found.select(*groups, *[F.get("_marks", F.lit(i)).alias(n) for i, n in enumerate(points)])
+        found = df.groupBy(*groups).agg(marks, *others)
+        return found.select(*groups, *[F.get("_marks", F.lit(i)).alias(n) for i, n in enumerate(points)], *(beside or {}))
     totals = running_totals(df, groups, value, {"n": F.lit(1)}, small_bytes=small_bytes)
     picks, finals = [], []
     for name, p in points.items():
@@ -119,4 +122,11 @@ def percentiles(
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         finals.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
     found = totals.groupBy(*groups).agg(F.max("all_n").alias("_n"), *picks).select(*groups, *finals)
-    return group_join(df.select(*groups).distinct(), found, groups, "left") if groups else found
+    if not groups:
+        if not others:
+            return found
+        marks = found.select(F.struct(*points)).scalar()
+        return df.agg(*others).select(*[marks[p].alias(p) for p in points], *beside)
+    whole = df.groupBy(*groups).agg(*others) if others else df.select(*groups).distinct()
+    joined = group_join(whole, found, groups, "left")
+    return joined.select(*groups, *points, *(beside or {}))

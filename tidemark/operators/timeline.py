@@ -89,12 +89,17 @@ def gaps(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
     return expected.join(observed.select(key, "timestamp").distinct(), [key, "timestamp"], "left_anti")
 
 
-def gap_report(expected: DataFrame, observed: DataFrame, key: str) -> DataFrame:
-    """Expected, missing and covered share per key."""
-    seen = observed.select(key, "timestamp").distinct().withColumn("_seen", F.lit(1))
-    joined = expected.join(seen, [key, "timestamp"], "left")
-    return joined.groupBy(key).agg(
-        F.count(F.lit(1)).alias("expected"),
-        F.count_if(F.col("_seen").isNull()).alias("missing"),
-        (F.count("_seen") / F.count(F.lit(1))).alias("coverage"),
-    )
+def gap_report(keys: DataFrame, key: str, start: Column, end: Column, observed: DataFrame, step: str = "1 minute") -> DataFrame:
+    """Expected, missing and covered share per key of `keys`; `observed` has `key` and `timestamp`.
+
+    The expected times are those of `spine`, which are counted and not built: an observation is
+    expected if it lies in [start, end) a whole number of steps after `start`.
+    """
+    micros = pd.Timedelta(step) // pd.Timedelta("1us")
+    ends = keys.select(
+        key, F.unix_micros(start.cast("timestamp")).alias("_from"), F.unix_micros(end.cast("timestamp")).alias("_to")
+    ).withColumn("expected", F.ceil((F.col("_to") - F.col("_from")) / micros)).where(F.col("expected") > 0)
+    at = observed.select(key, F.unix_micros(F.col("timestamp").cast("timestamp")).alias("_at")).distinct()
+    fits = (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to")) & ((F.col("_at") - F.col("_from")) % micros == 0)
+    seen = ends.join(at, key, "left").groupBy(key, "expected").agg(F.count_if(fits).alias("_seen"))
+    return seen.select(key, "expected", (F.col("expected") - F.col("_seen")).alias("missing"), (F.col("_seen") / F.col("expected")).alias("coverage"))

@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -25,17 +26,33 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the workers, for clusters on which it is not installed.
+_SHIPPED: set[str] = set()
 
-    Jobs with Python functions (keyed stream state, isolation trees) import it there. The archive is
-    made in a folder of the driver, whose file server the workers fetch it from.
+
+def ship_package(spark: SparkSession, *beside: str) -> None:
+    """Send this package to the workers, for clusters on which it is not installed, once a session.
+
+    Jobs with Python functions (keyed stream state, isolation trees) import it there. `beside` names
+    modules and packages in the folder that holds the package; missing ones are left out. The archive
+    is made in a folder of the driver, whose file server the workers fetch it from.
     """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
     home = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(home)
     folder = tempfile.mkdtemp(prefix="tidemark-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    archive = shutil.make_archive(os.path.join(folder, "tidemark"), "zip", os.path.dirname(home), os.path.basename(home))
-    spark.sparkContext.addPyFile(archive)
+    archive = os.path.join(folder, "tidemark.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for name in (os.path.basename(home), *beside):
+            top = os.path.join(root, name)
+            files = [top] if os.path.isfile(top) else [os.path.join(at, f) for at, _, names in os.walk(top) for f in names]
+            for path in files:
+                if path.endswith(".py"):
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:

@@ -24,6 +24,7 @@ from tidemark.operators.series import TARGET_ROWS, over_series
 WINDOW_ROWS = 60
 ALERT_LIMIT = 3.0
 BLOCK_ROWS = 20_000
+IDLE = "7 days"
 STREAM_STATS = ("roll_mean", "roll_std", "roll_max", "zscore", "delta")
 
 
@@ -64,13 +65,13 @@ def _window_stats(tail: np.ndarray, fresh: np.ndarray, window: int) -> dict[str,
 
 
 def keyed_features(
-    stream: DataFrame, key: str, order: list[str], metrics: list[str] | None = None, window: int = WINDOW_ROWS, idle: str | None = None
+    stream: DataFrame, key: str, order: list[str], metrics: list[str] | None = None, window: int = WINDOW_ROWS, idle: str | None = IDLE
 ) -> DataFrame:
     """Per-key features over the last `window` records in arrival order, across micro-batches.
 
     State per key is the last `window` - 1 values of each metric. A key unknown so far starts with
-    an empty buffer. Inside a micro-batch, records of a key are taken in `order`. With `idle`, the
-    buffer of a key without records for that long (processing time) is dropped.
+    an empty buffer. Inside a micro-batch, records of a key are taken in `order`. The buffer of a key
+    without records for `idle` (processing time) is dropped; None keeps all buffers for ever.
     """
     metrics = metrics or schema.METRICS
     stats = stream_columns(metrics)
@@ -176,8 +177,12 @@ def to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def to_snapshots(df: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
-    """Write each micro-batch's result as `batch=<id>`; a retried batch overwrites its own folder."""
+def to_changes(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the rows that each micro-batch changed as `batch=<id>` (update mode).
+
+    What is written grows with the changes and not with the keys so far; a retried batch overwrites
+    its own folder, so reading the newest row per key is the same before and after a retry.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -185,16 +190,25 @@ def to_snapshots(df: DataFrame, path: str, checkpoint: str, mode: str = "complet
     return (
         df.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .outputMode(mode)
+        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def last_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def merged_changes(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest row per key out of the changes of all micro-batches, combined before the shuffle."""
     saved = spark.read.parquet(path)
-    newest = saved.agg(F.max("batch").alias("b")).scalar()
-    return saved.where(F.col("batch") == newest).drop("batch")
+    rest = [c for c in saved.columns if c not in (*keys, "batch")]
+    newest = saved.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return newest.select(*keys, *[F.col(f"_row.`{c}`") for c in rest])
+
+
+def compacted(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
+    """The merged changes of all batches so far as one batch in a new folder, which later batches go to."""
+    last = spark.read.parquet(path).agg(F.max("batch").alias("b")).scalar()
+    rows = merged_changes(spark, path, keys).withColumn("batch", last)
+    rows.write.mode("overwrite").partitionBy("batch").parquet(target)
 
 
 def score_stream(stream: DataFrame, load: Callable[[], Callable[[DataFrame], DataFrame]], path: str, checkpoint: str) -> StreamingQuery:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift as ops
-from workload.base import METRICS, ROW_KEY, TELEMETRY_SQL, query, rounded, shown_sql, telemetry, with_sql
+from tidemark.operators.features import compute_features
+from workload.base import METRICS, ORDER, ORDER_SQL, ROW_KEY, TELEMETRY_SQL, query, rounded, shown_sql, telemetry, with_sql
+from workload.features import zscore_sql
 
 CUT = "1999-01-01"
 
@@ -17,6 +19,14 @@ def _periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(early), rows.where(~early)
 
 
+def _scored_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both periods with the z-score columns of the feature table, rounded as the check SQL does."""
+    table = compute_features(telemetry(spark, sf_dir), order=ORDER, families={"zscore"})
+    rows = rounded(table, [f"{m}_zscore" for m in METRICS])
+    early = F.col("timestamp") < F.lit(CUT).cast("timestamp_ntz")
+    return rows.where(early), rows.where(~early)
+
+
 def _long(columns: list[str], source: str, side: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v, '{side}' AS side FROM {source}" for c in columns
@@ -30,29 +40,40 @@ _PERIODS = [
 ]
 
 
-def _details(*sources: str) -> list[str]:
+ANALYSED = METRICS + [f"{m}_zscore" for m in METRICS]
+_SCORED = [
+    TELEMETRY_SQL,
+    f"""scored AS (SELECT *, {', '.join(zscore_sql(m) for m in METRICS)} FROM telemetry
+      WINDOW w_1hr AS (PARTITION BY node_id ORDER BY {ORDER_SQL} ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))""",
+    f"ref AS (SELECT * FROM scored WHERE ts < TIMESTAMP '{CUT}')",
+    f"cur AS (SELECT * FROM scored WHERE ts >= TIMESTAMP '{CUT}')",
+]
+
+
+def _details(*sources: str, columns: list[str] = METRICS) -> list[str]:
     series = "list_sum(list_transform(range(1, 21), lambda k: CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * k * k * x * x)))"
     return [
         *sources,
-        f"samples AS ({_long(METRICS, 'ref', 'ref')} UNION ALL {_long(METRICS, 'cur', 'cur')})",
+        f"samples AS (SELECT * FROM ({_long(columns, 'ref', 'ref')} UNION ALL {_long(columns, 'cur', 'cur')}) WHERE v IS NOT NULL)",
         """c AS (SELECT col, v, count(*) FILTER (side = 'ref') AS r, count(*) FILTER (side = 'cur') AS u
              FROM samples GROUP BY col, v)""",
         """g AS (SELECT col, v, lead(v) OVER (PARTITION BY col ORDER BY v) - v AS w,
-             abs(sum(r) OVER (PARTITION BY col ORDER BY v) / sum(r) OVER (PARTITION BY col)
-               - sum(u) OVER (PARTITION BY col ORDER BY v) / sum(u) OVER (PARTITION BY col)) AS gap FROM c)""",
+             abs(sum(r) OVER (PARTITION BY col ORDER BY v) / nullif(sum(r) OVER (PARTITION BY col), 0)
+               - sum(u) OVER (PARTITION BY col ORDER BY v) / nullif(sum(u) OVER (PARTITION BY col), 0)) AS gap FROM c)""",
         "d AS (SELECT col, max(gap) AS ks, sum(gap * w) AS area FROM g GROUP BY col)",
         """m AS (SELECT col, avg(v) FILTER (side = 'ref') AS rm, avg(v) FILTER (side = 'cur') AS um,
              stddev_samp(v) FILTER (side = 'ref') AS rs, count(*) FILTER (side = 'ref') AS n,
              count(*) FILTER (side = 'cur') AS k FROM samples GROUP BY col)""",
         "x AS (SELECT *, ks * sqrt(n::DOUBLE * k / (n + k)) AS x, abs(um - rm) / (rs + 1e-10) AS shift FROM d JOIN m USING (col))",
-        f"p AS (SELECT *, CASE WHEN x < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, {series})) END AS pv FROM x)",
-        "details AS (SELECT *, pv < 0.05 OR shift > 1.0 AS drifted, area / rs > 0.1 AS moved FROM p)",
+        f"p AS (SELECT *, CASE WHEN x IS NULL THEN NULL WHEN x < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, {series})) END AS pv FROM x)",
+        """details AS (SELECT *, coalesce(pv < 0.05 OR shift > 1.0, false) AS drifted, coalesce(area / rs > 0.1, false) AS moved,
+             n = 0 OR k = 0 AS missing FROM p)""",
     ]
 
 
 _DETAIL_COLUMNS = f"""SELECT col AS "column", {shown_sql("ks")} AS ks_statistic, {shown_sql("pv", 6)} AS ks_pvalue,
-  {shown_sql("shift")} AS mean_shift_std, {shown_sql("area / rs")} AS wasserstein_norm, {shown_sql("rm")} AS ref_mean,
-  {shown_sql("um")} AS curr_mean, n AS ref_size, k AS cur_size, drifted FROM details"""
+  {shown_sql("shift")} AS mean_shift_std, {shown_sql("coalesce(area / rs, 0)")} AS wasserstein_norm, {shown_sql("rm")} AS ref_mean,
+  {shown_sql("um")} AS curr_mean, n AS ref_size, k AS cur_size, missing, drifted FROM details"""
 
 
 def _shown(details: DataFrame) -> DataFrame:
@@ -60,15 +81,15 @@ def _shown(details: DataFrame) -> DataFrame:
     return rounded(out, ["ks_statistic", "mean_shift_std", "wasserstein_norm", "ref_mean", "curr_mean"])
 
 
-@query("drift_details", with_sql(*_details(*_PERIODS)) + _DETAIL_COLUMNS)
+@query("drift_details", with_sql(*_details(*_SCORED, columns=ANALYSED)) + _DETAIL_COLUMNS)
 def drift_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(ops.drift_details(*_periods(spark, sf_dir), METRICS))
+    return _shown(ops.drift_details(*_scored_periods(spark, sf_dir)))
 
 
-@query("drift_details_binned", with_sql(*_details(*_PERIODS)) + _DETAIL_COLUMNS)
+@query("drift_details_binned", with_sql(*_details(*_SCORED, columns=ANALYSED)) + _DETAIL_COLUMNS)
 def drift_details_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same distances on the plan for columns with too many distinct values for one task."""
-    return _shown(ops.drift_details(*_periods(spark, sf_dir), METRICS, small_bytes=0))
+    return _shown(ops.drift_details(*_scored_periods(spark, sf_dir), small_bytes=0))
 
 
 def _summary(flag: str) -> str:
@@ -76,20 +97,43 @@ def _summary(flag: str) -> str:
       round(count(*) FILTER ({flag}) / count(*), 4) AS drift_share,
       coalesce(string_agg(col, ',' ORDER BY col) FILTER ({flag}), '') AS drifted_features,
       count(*) FILTER ({flag}) AS num_drifted_features, count(*) AS total_features_analyzed,
+      coalesce(string_agg(col, ',' ORDER BY col) FILTER (missing), '') AS missing_features,
       max(n) AS reference_size, max(k) AS current_size FROM details"""
 
 
-@query("drift_summary", with_sql(*_details(*_PERIODS)) + _summary("drifted"))
+@query("drift_summary", with_sql(*_details(*_SCORED, columns=ANALYSED)) + _summary("drifted"))
 def drift_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.drift_summary(ops.drift_details(*_periods(spark, sf_dir), METRICS))
+    return ops.drift_summary(ops.drift_details(*_scored_periods(spark, sf_dir)))
 
 
-@query("drift_summary_wasserstein", with_sql(*_details(*_PERIODS)) + _summary("moved"))
+@query("drift_summary_wasserstein", with_sql(*_details(*_SCORED, columns=ANALYSED)) + _summary("moved"))
 def drift_summary_wasserstein(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = ops.drift_details(*_periods(spark, sf_dir), METRICS)
+    details = ops.drift_details(*_scored_periods(spark, sf_dir))
     return ops.drift_summary(ops.wasserstein_verdict(details))
 
 
+_VANISHED = [
+    *_PERIODS[:2],
+    f"cur AS (SELECT * REPLACE (NULL::DOUBLE AS cpu_utilization, NULL::DOUBLE AS error_rate) FROM telemetry WHERE ts >= TIMESTAMP '{CUT}')",
+]
+
+
+def _vanished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details against a later period that lacks one metric and has another without any value."""
+    before, after = _periods(spark, sf_dir)
+    return ops.drift_details(before, after.drop("error_rate").withColumn("cpu_utilization", F.lit(None).cast("double")))
+
+
+@query("drift_details_missing_columns", with_sql(*_details(*_VANISHED)) + _DETAIL_COLUMNS)
+def drift_details_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_vanished(spark, sf_dir))
+
+
+@query("drift_summary_missing_columns", with_sql(*_details(*_VANISHED)) + _summary("drifted"))
+def drift_summary_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.drift_summary(_vanished(spark, sf_dir))
+
+
 _KEY_TEXT = "concat_ws('|', node_id, l_orderkey, l_linenumber, l_partkey, {seed})"
 
 

@@ -54,7 +54,7 @@ def _delta_sql(m: str) -> list[str]:
     ]
 
 
-def _zscore_sql(m: str) -> str:
+def zscore_sql(m: str) -> str:
     std = f"coalesce(stddev_samp({m}) OVER w_1hr, 0)"
     z = f"CASE WHEN count({m}) OVER w_1hr >= 10 AND {std} > 0 THEN ({m} - avg({m}) OVER w_1hr) / {std} ELSE 0 END"
     return f"{shown_sql(z)} AS {m}_zscore"
@@ -86,7 +86,7 @@ def _sql(columns: list[str]) -> str:
 def _all_sql() -> str:
     cols = [c for m in METRICS for c in _rolling_sql(m)]
     cols += [c for m in METRICS for c in _delta_sql(m)]
-    cols += _CROSS + [_zscore_sql(m) for m in METRICS] + _CALENDAR
+    cols += _CROSS + [zscore_sql(m) for m in METRICS] + _CALENDAR
     return _sql(cols)
 
 
@@ -126,7 +126,7 @@ def cross_metric_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _family(spark, sf_dir, {"cross"})
 
 
-@query("zscore_features", _sql([_zscore_sql(m) for m in METRICS]))
+@query("zscore_features", _sql([zscore_sql(m) for m in METRICS]))
 def zscore_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _family(spark, sf_dir, {"zscore"})
 
@@ -147,7 +147,7 @@ def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_sql(EVENTS_SQL)
     + "SELECT event_id, "
     + ", ".join(
-        [c for m in ("latency_ms", "cpu_utilization") for c in _rolling_sql(m) + _delta_sql(m) + [_zscore_sql(m)]]
+        [c for m in ("latency_ms", "cpu_utilization") for c in _rolling_sql(m) + _delta_sql(m) + [zscore_sql(m)]]
         + [f"{shown_sql(_CORR)} AS latency_cpu_corr_30m"]
     )
     + f" FROM series {_windows('ts, event_id')}",

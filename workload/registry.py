@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -222,6 +224,81 @@ def rollback_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("month_day", "should_rollback", "reasons", "action")
 
 
+_CHECKED_AT = "2026-01-05 00:00:00"
+_REASONS = f"""concat_ws('; ',
+  CASE WHEN dataset_drift_detected THEN printf('Data drift detected (%.1f%% features drifted)', drift_share * 100) END,
+  CASE WHEN p99_ms > 100 THEN printf('P99 latency %.1fms > 100ms', {shown_sql('p99_ms', 1)}) END,
+  CASE WHEN mon.anomaly_rate > 0.5 THEN printf('Anomaly rate %.1f%% > 50.0%%', {shown_sql('mon.anomaly_rate * 100', 1)}) END,
+  CASE WHEN mon.error_rate > 0.05 THEN printf('Error rate %.1f%% > 5.0%%', {shown_sql('mon.error_rate * 100', 1)}) END)"""
+
+
+def _chain(spark: SparkSession, sf_dir: str, versions: DataFrame) -> DataFrame:
+    """Checks appended to the run history, and the rollback that follows from the newest of them (tried only)."""
+    at, folder = F.lit(_CHECKED_AT).cast("timestamp"), shared_dir(spark, "monitoring")
+    summary = drift.drift_summary(drift.drift_details(*_periods(spark, sf_dir), METRICS))
+    files.write_summary(monitoring.checked(summary, at, "ks+mean-shift"), f"{folder}/summary")
+    monitor = monitoring.log_monitor(_log(spark, sf_dir), ["month_day"], "latency_ms", "predicted", "failed")
+    month = F.timestamp_seconds(F.col("month_day").cast("long") * 86400)
+    files.append_runs(monitoring.performance_runs(monitor, month), f"{folder}/runs")
+    files.append_runs(monitoring.drift_run(summary, at), f"{folder}/runs")
+    runs = files.read_runs(spark, f"{folder}/runs")
+    plan = monitoring.rollback_plan(versions, files.read_drift_summary(spark, f"{folder}/summary"), runs, dry_run=True)
+    files.append_runs(monitoring.rollback_run(plan, at), f"{folder}/runs")
+    return files.read_runs(spark, f"{folder}/runs")
+
+
+@query(
+    "monitoring_run_history",
+    with_sql(
+        *_details(*_PERIODS), *[p for p in _LOG if p != TELEMETRY_SQL], _MONITOR, f"d1 AS ({_summary('drifted')})",
+        f"newest AS (SELECT {_REASONS} AS reasons FROM mon, d1 ORDER BY month_day DESC LIMIT 1)",
+    )
+    + f"""SELECT 'drift-check' AS check_name, key, {shown_sql("v", 6)} AS number, NULL AS said FROM (SELECT
+            unnest(['drift_detected', 'drift_share', 'drifted_features_count']) AS key,
+            unnest([dataset_drift_detected::INT::DOUBLE, drift_share, num_drifted_features::DOUBLE]) AS v FROM d1)
+      UNION ALL SELECT 'performance-check', key, {shown_sql("v", 6)}, NULL FROM (SELECT
+            unnest(['latency_p99_ms', 'anomaly_rate', 'error_rate']) AS key, unnest([p99_ms, mon.anomaly_rate, mon.error_rate]) AS v FROM mon)
+      UNION ALL SELECT 'rollback', unnest(['action', 'from_version', 'to_version', 'reasons']), NULL,
+            unnest(['dry-run', '3', '2', reasons]) FROM newest WHERE reasons <> ''""",
+)
+def monitoring_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What drift checks, performance checks and a tried rollback leave in the run history."""
+    runs = _chain(spark, sf_dir, _versions(spark, sf_dir))
+    name = F.regexp_extract("run_name", r"^([a-z-]+)-\d", 1)
+    metric = F.col("kind") == "metric"
+    out = runs.select(
+        name.alias("check_name"), "key", F.when(metric, F.col("value").cast("double")).alias("number"), F.when(~metric, F.col("value")).alias("said")
+    )
+    return rounded(out, ["number"], 6)
+
+
+@query(
+    "rollback_plans",
+    with_sql(
+        *_details(*_PERIODS), *[p for p in _LOG if p != TELEMETRY_SQL], _MONITOR, f"d1 AS ({_summary('drifted')})",
+        f"newest AS (SELECT {_REASONS} AS reasons FROM mon, d1 ORDER BY month_day DESC LIMIT 1)",
+        """cases AS (SELECT * FROM (VALUES ('whole', 3, 2), ('no archive', 3, 6), ('production alone', 3, NULL), ('no production', NULL, 2))
+             AS t(versions, from_version, to_version))""",
+    )
+    + """SELECT versions, from_version, to_version, from_version IS NOT NULL AND reasons <> '' AS should_rollback, reasons,
+         CASE WHEN from_version IS NULL THEN 'no production model' WHEN reasons = '' THEN 'none'
+              WHEN to_version IS NULL THEN 'no target' ELSE 'rollback' END AS action FROM cases, newest""",
+)
+def rollback_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for the newest findings under four version tables."""
+    versions = _versions(spark, sf_dir)
+    monitor = monitoring.log_monitor(_log(spark, sf_dir), ["month_day"], "latency_ms", "predicted", "failed")
+    month = F.timestamp_seconds(F.col("month_day").cast("long") * 86400)
+    runs = files.stored(monitoring.performance_runs(monitor, month), "performance-runs")
+    found = files.stored(drift.drift_summary(drift.drift_details(*_periods(spark, sf_dir), METRICS)), "drift-summary")
+    cases = {
+        "whole": versions, "no archive": versions.where("stage <> 'Archived'"), "production alone": versions.where("stage = 'Production'"),
+        "no production": versions.where("stage <> 'Production'"),
+    }
+    plans = [monitoring.rollback_plan(v, found, runs).withColumn("versions", F.lit(name)) for name, v in cases.items()]
+    return reduce(DataFrame.unionByName, plans)
+
+
 # Data versions: the year of the order is the version of the orders data set.
 # Every column counts; prices as decimals and dates as days, which both engines write alike.
 _PRINT_SQL = {

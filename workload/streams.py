@@ -91,23 +91,53 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second stream counts the records and alerts the first one writes."""
     folder, written = _run_features(spark, sf_dir)
     counted = jobs.counters(jobs.file_stream(spark, f"{folder}/out", written.schema), "node_id")
-    jobs.finish(jobs.to_snapshots(counted, f"{folder}/counters", f"{folder}/counters-checkpoint"))
-    return jobs.last_snapshot(spark, f"{folder}/counters")
+    jobs.finish(jobs.to_changes(counted, f"{folder}/counters", f"{folder}/counters-checkpoint"))
+    return jobs.merged_changes(spark, f"{folder}/counters", ["node_id"])
 
 
-@query(
-    "stream_hourly_view",
-    f"""SELECT event_type, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour, count(*) AS records,
-        {shown_sql("avg(value)")} AS value_mean, max(value) AS value_max FROM events GROUP BY 1, 2""",
-)
+_HOURLY = f"""SELECT event_type, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour, count(*) AS records,
+  {shown_sql("avg(value)")} AS value_mean, max(value) AS value_max FROM events"""
+PARTS = 4
+
+
+def _event_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events as a stream of files, oldest first, one file a micro-batch. The last file begins with
+    an event of the first hour, far behind the watermark."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    edges = [span.low + (span.high - span.low) * k / PARTS for k in range(PARTS)]
+    for k, low in enumerate(edges):
+        part = events.where(F.col("ts") >= F.lit(low))
+        part = part.where(F.col("ts") < F.lit(edges[k + 1])) if k + 1 < PARTS else part
+        if k + 1 == PARTS:
+            part = part.unionByName(events.where(F.col("ts") == F.lit(span.low)).withColumn("value", F.lit(1e9)))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return jobs.file_stream(spark, folder, events.schema, files_per_trigger=1)
+
+
+def _hourly(df: DataFrame) -> DataFrame:
+    return rounded(df.withColumn("hour", F.unix_seconds("hour")), ["value_mean"])
+
+
+@query("stream_hourly_view", f"{_HOURLY} GROUP BY 1, 2")
 def stream_hourly_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hours so far, open ones included: each batch writes the hours it changed."""
     folder = shared_dir(spark, "stream-hourly")
-    types = table(spark, sf_dir, "events").schema
-    events = jobs.file_stream(spark, f"{sf_dir}/events.parquet*", types).withColumn("ts", F.col("ts").cast("timestamp"))
-    hourly = jobs.hourly_view(events, "event_type", "ts", ["value"])
-    jobs.finish(jobs.to_snapshots(hourly, f"{folder}/out", f"{folder}/checkpoint"))
-    out = jobs.last_snapshot(spark, f"{folder}/out")
-    return rounded(out.withColumn("hour", F.unix_seconds("hour")), ["value_mean"])
+    hourly = jobs.hourly_view(_event_files(spark, sf_dir, f"{folder}/in"), "event_type", "ts", ["value"])
+    jobs.finish(jobs.to_changes(hourly, f"{folder}/out", f"{folder}/checkpoint"))
+    return _hourly(jobs.merged_changes(spark, f"{folder}/out", ["event_type", "hour"]))
+
+
+@query(
+    "stream_hourly_closed",
+    f"{_HOURLY} WHERE date_trunc('hour', ts) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events) GROUP BY 1, 2",
+)
+def stream_hourly_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that the watermark has closed, each written once and for good."""
+    folder = shared_dir(spark, "stream-hourly-closed")
+    hourly = jobs.hourly_view(_event_files(spark, sf_dir, f"{folder}/in"), "event_type", "ts", ["value"])
+    jobs.finish(jobs.to_files(hourly, f"{folder}/out", f"{folder}/checkpoint"))
+    return _hourly(spark.read.parquet(f"{folder}/out"))
 
 
 _LIMIT_SQL = "latency_ms > 200 OR packet_loss_pct > 5 OR cpu_utilization > 95 OR error_rate > 50"

@@ -230,6 +230,17 @@ def anomaly_episodes_split_series(spark: SparkSession, sf_dir: str) -> DataFrame
     return _episodes(spark, sf_dir, target_rows=100, small_bytes=0)
 
 
+def _hours_seen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The hours with an event per user, and the users with the span of the table."""
+    seen = event_series(spark, sf_dir).select(
+        "node_id", F.date_trunc("hour", F.col("timestamp")).cast("timestamp").alias("timestamp")
+    )
+    span = seen.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    start = span.select("lo").scalar()
+    end = span.select("hi").scalar() + F.expr("INTERVAL '1 hour'")
+    return seen, seen.select("node_id").distinct().select("node_id", start.alias("_lo"), end.alias("_hi"))
+
+
 @query(
     "time_gap_report",
     with_sql(
@@ -244,12 +255,24 @@ def anomaly_episodes_split_series(spark: SparkSession, sf_dir: str) -> DataFrame
 )
 def time_gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours without an event, per user, over the span of the table."""
-    seen = event_series(spark, sf_dir).select(
-        "node_id", F.date_trunc("hour", F.col("timestamp")).cast("timestamp").alias("timestamp")
+    seen, keys = _hours_seen(spark, sf_dir)
+    report = timeline.gap_report(keys, "node_id", F.col("_lo"), F.col("_hi"), seen, "1 hour")
+    return rounded(report, ["coverage"], 6)
+
+
+@query(
+    "time_gaps",
+    with_sql(
+        "h AS (SELECT user_id, date_trunc('hour', ts) AS hour FROM events GROUP BY 1, 2)",
+        "b AS (SELECT min(hour) AS lo, max(hour) AS hi FROM h)",
+        """s AS (SELECT u.user_id, t.hour FROM (SELECT DISTINCT user_id FROM events) u,
+             (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour FROM b) t)""",
     )
-    span = seen.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    start = span.select("lo").scalar()
-    end = span.select("hi").scalar() + F.expr("INTERVAL '1 hour'")
-    keys = seen.select("node_id").distinct().select("node_id", start.alias("_lo"), end.alias("_hi"))
+    + """SELECT 'user-' || s.user_id AS node_id, CAST(epoch(s.hour) AS BIGINT) AS hour
+         FROM s LEFT JOIN h ON s.user_id = h.user_id AND s.hour = h.hour WHERE h.hour IS NULL""",
+)
+def time_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours without an event themselves, per user."""
+    seen, keys = _hours_seen(spark, sf_dir)
     expected = timeline.spine(keys, "node_id", F.col("_lo"), F.col("_hi"), "1 hour")
-    return rounded(timeline.gap_report(expected, seen, "node_id"), ["coverage"], 6)
+    return timeline.gaps(expected, seen, "node_id").select("node_id", F.unix_seconds("timestamp").alias("hour"))
