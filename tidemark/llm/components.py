@@ -25,24 +25,29 @@ def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, component) for all nodes of `links` (columns a, b); component is the smallest node.
 
-    Every round takes the least label of the neighbours and then follows the label's own label, so
-    the rounds grow with the logarithm of the longest chain. Labels of one hub are combined before
-    the shuffle; joins on a hub's key are split by adaptive execution. Nothing goes to the driver
-    but the number of changes.
+    Every round hooks each node to its least neighbour, if that is smaller, and then to that one's own
+    hook, and contracts the links to what they were hooked to. At least half of the nodes go in a round,
+    so all rounds together are a small multiple of the first. Hooks of one hub are combined before the
+    shuffle; joins on a hub's key are split by adaptive execution. Nothing goes to the driver but
+    whether links are left.
     """
     edges = links.select("a", "b").where("a <> b")
-    both = written(edges.union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("component")), "labels")
+    steps = []
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
-        )
-        met = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        met = written(met, "labels")
-        jump = met.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        new = written(met.join(jump, "component").select("node", "old", F.col("next").alias("component")), "labels")
-        labels = new.select("node", "component")
-        if new.where("component <> old").limit(1).count() == 0:
-            return labels
+        both = written(edges.union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
+        if steps and not both.limit(1).count():
+            break
+        hooks = written(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("hook")), "hooks")
+        next_hook = hooks.select(F.col("node").alias("hook"), F.col("hook").alias("component"))
+        step = written(hooks.join(next_hook, "hook").select("node", "component"), "step")
+        steps.append(step)
+        ends = both.where("a < b")
+        for end in ("a", "b"):
+            to = step.select(F.col("node").alias(end), F.col("component").alias("to"))
+            ends = ends.join(to, end).drop(end).withColumnRenamed("to", end)
+        edges = ends.where("a <> b").select("a", "b")
+    labels = steps[0]
+    for step in steps[1:]:
+        later = sized(step.select(F.col("node").alias("component"), F.col("component").alias("lower")))
+        labels = labels.join(later, "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
+    return written(labels, "labels") if len(steps) > 1 else labels
