@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators import summary
+from tidemark.operators.asof import latest_per_key
 from tidemark.plans import registry
-from tidemark.sources import files, views
+from tidemark.sources import files, online, views
 
 
 def test_manifest_skips_blank_lines(spark, tmp_path):
@@ -62,3 +65,29 @@ def test_value_shares(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "x string")
     out = summary.value_shares(df, "x").collect()
     assert [(r["x"], r["count"], r["share"]) for r in out] == [("a", 2, 0.5), ("b", 1, 0.25), ("c", 1, 0.25)]
+
+
+def test_online_table_in_intervals_equals_one_pass(spark, tmp_path):
+    rng = random.Random(4)
+    t = F.timestamp_seconds(F.col("s"))
+    data = [(f"k{rng.randrange(60)}" if rng.random() < 0.95 else None, rng.randrange(1000), i, float(i)) for i in range(900)]
+    rows = spark.createDataFrame(data, "k string, s int, tie int, v double").withColumn("t", t)
+    late = rows.where("s > 700 and k in ('k1', 'k2', 'k3')").union(rows.where("s <= 700"))
+    path, how = str(tmp_path / "online"), dict(key="k", ts="t", tie=["tie"], buckets=16)
+    at = lambda s: F.timestamp_seconds(F.lit(s))
+
+    def plain(df):
+        return sorted(tuple(r) for r in latest_per_key(df, "k", "t", ["tie"]).select("k", "s", "tie", "v").collect())
+
+    def table(version=None):
+        return sorted(tuple(r) for r in online.online_table(spark, path, version).select("k", "s", "tie", "v").collect())
+
+    first = online.materialize_interval(late, path, 1, after=None, upto=at(400), **how)
+    assert table() == plain(late.where("s <= 400"))
+    online.materialize_interval(late, path, 2, after=at(400), upto=at(700), **how)
+    assert table() == plain(late.where("s <= 700")) and table(1) == plain(late.where("s <= 400"))
+    third = online.materialize_interval(late, path, 3, after=at(700), upto=None, **how)
+    assert table() == plain(late) and len(third) <= 3 < len(first)
+    assert {int(p.name.split("=")[1]) for p in (tmp_path / "online" / "data").glob("bucket=*") if (p / "version=3").exists()} == set(third)
+    assert online.materialize_interval(late, path, 3, after=at(700), upto=None, **how) == third and table() == plain(late)
+    assert online.materialize_interval(late, path, 4, after=at(5000), upto=None, **how) == [] and table() == plain(late)

@@ -196,3 +196,45 @@ def stream_model_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.finish(jobs.score_stream(stream, load, f"{folder}/out", f"{folder}/checkpoint"))
     out = spark.read.parquet(f"{folder}/out")
     return out.select(*KEY, F.col("prediction").alias("predicted"), "confidence", "method", "model_uri")
+
+
+@query(
+    "stream_fitted_model_swap",
+    with_sql(TELEMETRY_SQL)
+    + """SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'models:/1' ELSE 'models:/2' END AS model_uri, 'ml-model' AS method,
+         count(*) AS records, true AS agrees FROM telemetry GROUP BY 1""",
+)
+def stream_fitted_model_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream scored by a trained model out of a shared folder, which is replaced while files arrive.
+
+    Version 1 has learned one rule from the table, version 2 another; every batch loads the version in
+    force. Each must agree with its rule on 98 % of the records that it scored.
+    """
+    from tidemark.operators.boosting import BoostedTrees, BoostSettings, read_model, write_model
+    from tidemark.plans.scoring import fitted_model, score_records
+
+    folder = shared_dir(spark, "stream-fitted")
+    lines = table(spark, sf_dir, "lineitem")
+    truths = [F.col("latency_ms") > 50, F.col("cpu_utilization") > 80]
+    settings = BoostSettings(rounds=12, depth=3, rate=0.5, rows=1.0, columns=1.0)
+    known = telemetry(spark, sf_dir)
+    for version, truth in enumerate(truths):
+        model = BoostedTrees(METRICS, "label", None, settings).fit(known.withColumn("label", truth.cast("int")))
+        write_model(spark, model, f"{folder}/models/{version + 1}")
+    serving = {"version": 1}
+
+    def load():
+        version = serving["version"]
+        model = fitted_model(read_model(spark, f"{folder}/models/{version}"), METRICS, KEY)
+        return lambda batch: score_records(batch, KEY, primary=model, challenger=None, uris={"primary": f"models:/{version}"})
+
+    for version in range(2):
+        lines.where(F.col("l_orderkey") % 2 == version).write.mode("append").parquet(f"{folder}/in")
+        serving["version"] = version + 1
+        stream = telemetry_of(jobs.file_stream(spark, f"{folder}/in", lines.schema))
+        jobs.finish(jobs.score_stream(stream, load, f"{folder}/out", f"{folder}/checkpoint"))
+    out = spark.read.parquet(f"{folder}/out")
+    truth = F.when(F.col("model_uri") == "models:/1", truths[0]).otherwise(truths[1]).cast("int")
+    return out.groupBy("model_uri", "method").agg(
+        F.count(F.lit(1)).alias("records"), (F.avg((F.col("prediction") == truth).cast("int")) >= 0.98).alias("agrees")
+    )

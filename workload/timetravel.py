@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import asof, timeline
 from tidemark.operators.features import compute_features
+from tidemark.sizing import shared_dir
 from tidemark.sources import views as fv
+from tidemark.sources.online import materialize_interval, online_table
 from workload.base import (
     EVENTS_SQL,
     ORDER,
@@ -154,6 +156,23 @@ def materialize_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("node_id", "l_orderkey", "l_linenumber", "latency_ms", "packet_loss_pct", "cpu_utilization", "error_rate")
 
 
+@query(
+    "online_table_intervals",
+    with_sql(TELEMETRY_SQL, _ENRICHED, _LATEST)
+    + "SELECT node_id, l_orderkey, l_linenumber, latency_ms, packet_loss_pct, cpu_utilization, error_rate FROM latest",
+)
+def online_table_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The online table kept up to date over three intervals, only touched buckets being written."""
+    view, path = _views(spark, sf_dir)[fv.RAW_VIEW], shared_dir(spark, "online")
+    start, end = _bounds()
+    steps = [F.lit(t).cast("timestamp_ntz") for t in ("1998-06-30", "1999-12-31")]
+    rows = fv.view_table(view.read(spark), view).where(F.col("timestamp") >= start)
+    for version, (after, upto) in enumerate(zip([None, *steps], [*steps, end]), 1):
+        materialize_interval(rows, path, version, key=view.entity, ts=view.timestamp_field, tie=list(view.tie), after=after, upto=upto)
+    out = online_table(spark, path)
+    return out.select("node_id", "l_orderkey", "l_linenumber", "latency_ms", "packet_loss_pct", "cpu_utilization", "error_rate")
+
+
 @query(
     "online_features",
     with_sql(
