@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -13,6 +14,7 @@ from tidemark.operators import drift, ecdf, lineage, metrics, rules, splits, tim
 from tidemark.operators import asof
 from tidemark.operators.asof import FeatureSource, asof_join, asof_join_all, latest_per_key, online_lookup
 from tidemark.plans import monitoring, registry, scoring
+from tidemark.sources.files import stored
 
 T0 = dt.datetime(2026, 1, 5)
 CASES = [
@@ -371,3 +373,23 @@ def test_value_bins_need_no_single_reducer(spark):
     assert "SinglePartition" not in plan and "percentile" not in plan
     widths = binned.groupBy("g").count().collect()
     assert {r["count"] for r in widths} == {1000}
+
+
+def test_known_files_are_not_read_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(60).select((F.col("id") % 3).alias("p"), "id", F.col("id").cast("string").alias("v"))
+    rows.where("p < 2").repartition("p").write.partitionBy("p").parquet(path)
+    first = stored(lineage.file_fingerprints(spark, path, ["id", "v"]), "prints")
+    assert first.agg(F.sum("rows")).first()[0] == 40 and first.where("bytes > 0").count() == first.count()
+    kept = next(f for f in (tmp_path / "t" / "p=0").glob("*.parquet") if f.stat().st_size > 0 and first.where(F.col("file").endswith(f.name)).first().rows)
+    stat = kept.stat()
+    kept.write_bytes(b"x" * stat.st_size)  # unreadable, but of the known size and time
+    os.utime(kept, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    for gone in (tmp_path / "t" / "p=1").glob("*.parquet"):
+        gone.unlink()
+    rows.where("p = 2").coalesce(1).write.mode("append").partitionBy("p").parquet(path)
+    second = stored(lineage.file_fingerprints(spark, path, ["id", "v"], first), "prints")
+    got = lineage.combined_fingerprint(second).first()
+    want = lineage.fingerprint(rows.where("p <> 1"), ["id", "v"]).first()
+    assert (got.rows, got.content_hash) == (40, want.content_hash)
+    assert lineage.file_fingerprints(spark, path, ["id", "v"], second).count() == second.count()

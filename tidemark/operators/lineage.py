@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -26,12 +26,53 @@ def fingerprint(df: DataFrame, columns: list[str], groups: list[str] | None = No
     sums = df.groupBy(*(groups or [])).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(row_digest(columns)).alias("digest")
     )
-    content = F.md5(F.concat_ws("|", F.col("rows").cast("string"), F.coalesce(F.col("digest").cast("string"), F.lit("0"))))
+    content = _content_hash(F.col("rows"), F.col("digest"))
     return sums.select(
         *(groups or []), "rows", content.alias("content_hash"), F.md5(F.lit(schema_text)).alias("schema_hash")
     )
 
 
+FILES = "file string, bytes long, modified timestamp, rows long, digest decimal(38,0)"
+
+
+def file_fingerprints(spark: SparkSession, path: str, columns: list[str], known: DataFrame | None = None) -> DataFrame:
+    """Rows (file, bytes, modified, rows, digest) of the Parquet files below `path`.
+
+    Files that `known`, an earlier result, has with the same size and time are not read again; files
+    that are gone leave the result. Digests add up, so those of any set of files give its fingerprint.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    # Only the listing is used: contents are not read.
+    there = listed.select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    same = ["file", "bytes", "modified"]
+    fresh = there if known is None else there.join(known, same, "left_anti")
+    paths = [r.file for r in fresh.select("file").collect()]
+    old = known.join(there, same, "left_semi") if known is not None else spark.createDataFrame([], FILES)
+    if not paths:
+        return old.select(*[c.split()[0] for c in FILES.split(", ")])
+    rows = spark.read.option("basePath", path).parquet(*paths)
+    read = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(row_digest(columns)).alias("digest")
+    )
+    counted = fresh.join(read, "file", "left").withColumns(
+        {"rows": F.coalesce("rows", F.lit(0)), "digest": F.coalesce("digest", F.lit(0)).cast("decimal(38,0)")}
+    )
+    return old.unionByName(counted)
+
+
+def combined_fingerprint(files: DataFrame, groups: dict[str, Column] | None = None) -> DataFrame:
+    """Fingerprint of the files of each group (by default all): files, bytes, rows and content hash."""
+    groups = groups or {}
+    sums = files.groupBy(*[c.alias(n) for n, c in groups.items()]).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"), F.sum("digest").alias("_digest")
+    )
+    return sums.select(*groups, "files", "bytes", "rows", _content_hash(F.col("rows"), F.col("_digest")).alias("content_hash"))
+
+
+def _content_hash(rows: Column, digest: Column) -> Column:
+    return F.md5(F.concat_ws("|", rows.cast("string"), F.coalesce(digest.cast("decimal(38,0)").cast("string"), F.lit("0"))))
+
+
 def changed_versions(fingerprints: DataFrame, dataset: str, version: str) -> DataFrame:
     """Each version beside the one before it, with a flag whether the content changed."""
     before = F.lag("content_hash").over(Window.partitionBy(dataset).orderBy(version))

@@ -326,6 +326,21 @@ def dataset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prints(spark, sf_dir).select("version", "rows", "content_hash")
 
 
+@query("file_tree_fingerprints", with_sql(_PRINTS) + "SELECT version, rows, content_hash, true AS has_bytes FROM f")
+def file_tree_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of a table that grows by a partition a year, from its files: of the second listing only new files are read."""
+    folder = shared_dir(spark, "file-tree")
+    columns = [F.expr(e.replace("VARCHAR", "STRING")).alias(c) for c, e in _PRINT_SQL.items()]
+    orders = table(spark, sf_dir, "orders").select(*columns, F.year("o_orderdate").alias("year"))
+    known = None
+    for part in (F.col("year") < 1997, F.col("year") >= 1997):
+        orders.where(part).repartition("year").write.mode("append").partitionBy("year").parquet(f"{folder}/orders")
+        known = files.stored(lineage.file_fingerprints(spark, f"{folder}/orders", _PRINT_COLUMNS, known), "file-prints")
+    year = F.regexp_extract("file", r"year=(\d+)/", 1).cast("int")
+    prints = lineage.combined_fingerprint(known, {"version": year})
+    return prints.select("version", "rows", "content_hash", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 @query(
     "changed_data_versions",
     with_sql(_PRINTS)
