@@ -146,17 +146,18 @@ SWEEP_POINTS = [(90 + i / 2) / 100 for i in range(20)]
 
 
 def threshold_sweep(
-    df: DataFrame, score: str, label: str, normal: Column | None = None, small_bytes: int | None = None
+    df: DataFrame, score: str, label: str, normal: Column | None = None, small_bytes: int | None = None, source: DataFrame | None = None
 ) -> DataFrame:
     """Confusion counts and scores of `score > t` for 20 candidate thresholds.
 
-    The candidates are percentiles of the normal rows' scores. Scores are counted per interval
+    The candidates are percentiles of the normal rows' scores, of `source` if given (such as the rows a
+    model was fitted on) and else of `df`, which the counts are of. Scores are counted per interval
     between candidates, so the data is read once and 21 x 2 counts are shuffled, however many
     rows there are.
     """
     normal = normal if normal is not None else F.col(label) == 0
     names = {percentile_name(p): p for p in SWEEP_POINTS}
-    marks = percentiles(df.where(normal), [], score, names, small_bytes=small_bytes)
+    marks = percentiles((df if source is None else source).where(normal), [], score, names, small_bytes=small_bytes)
     candidates = marks.select(F.array(*names).alias("t"))
     known = df.where(F.col(score).isNotNull()).select(
         candidates.scalar().alias("t"), F.col(score).alias("s"), F.col(label).alias("y")

@@ -259,19 +259,24 @@ def density_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, ["bin_start", "density"], 6)
 
 
-_SWEEP = with_sql(
-    TELEMETRY_SQL,
-    f"""t AS (SELECT unnest(range(0, 20)) AS candidate,
+def _sweep_sql(source: str, judged: str) -> str:
+    return with_sql(
+        TELEMETRY_SQL,
+        f"""t AS (SELECT unnest(range(0, 20)) AS candidate,
           unnest(quantile_cont(latency_ms, {[(90 + i / 2) / 100 for i in range(20)]}) FILTER (is_anomaly = 0)) AS threshold
-          FROM telemetry)""",
-    """c AS (SELECT candidate, threshold, count(*) FILTER (latency_ms > threshold AND is_anomaly = 1) AS tp,
+          FROM telemetry WHERE {source})""",
+        f"""c AS (SELECT candidate, threshold, count(*) FILTER (latency_ms > threshold AND is_anomaly = 1) AS tp,
          count(*) FILTER (latency_ms > threshold AND is_anomaly = 0) AS fp,
          count(*) FILTER (latency_ms <= threshold AND is_anomaly = 1) AS fn,
          count(*) FILTER (latency_ms <= threshold AND is_anomaly = 0) AS tn
-         FROM telemetry, t GROUP BY candidate, threshold)""",
-    """f AS (SELECT CAST(candidate AS INT) AS candidate, threshold, tp, fp, fn, tn,
+         FROM telemetry, t WHERE {judged} GROUP BY candidate, threshold)""",
+        """f AS (SELECT CAST(candidate AS INT) AS candidate, threshold, tp, fp, fn, tn,
          coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1_score FROM c)""",
-)
+    )
+
+
+_SWEEP = _sweep_sql("true", "true")
+_EARLY = "ts < TIMESTAMP '1999-01-01'"
 _SWEEP_COLUMNS = f"candidate, {shown_sql('threshold', 6)} AS threshold, tp, fp, fn, tn, {shown_sql('f1_score', 6)} AS f1_score"
 
 
@@ -281,6 +286,15 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.drop("precision", "recall", "accuracy", "total"), ["threshold", "f1_score"], 6)
 
 
+@query("threshold_sweep_two_sets", _sweep_sql(_EARLY, f"NOT {_EARLY}") + f"SELECT {_SWEEP_COLUMNS} FROM f")
+def threshold_sweep_two_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates from an earlier period's normal rows, judged on the later period."""
+    rows = telemetry(spark, sf_dir)
+    early = F.col("timestamp") < F.lit("1999-01-01").cast("timestamp_ntz")
+    out = metrics.threshold_sweep(rows.where(~early), "latency_ms", "is_anomaly", source=rows.where(early))
+    return rounded(out.drop("precision", "recall", "accuracy", "total"), ["threshold", "f1_score"], 6)
+
+
 @query("best_threshold", _SWEEP + f"SELECT {_SWEEP_COLUMNS} FROM f ORDER BY f.f1_score DESC, candidate LIMIT 1")
 def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     sweep = metrics.threshold_sweep(telemetry(spark, sf_dir), "latency_ms", "is_anomaly", small_bytes=0)
