@@ -33,7 +33,7 @@ SAMPLE_EVERY = 8  # one document in so many proposes phrases
 LOWERED = 0.5  # share of the count expected in the sample that makes a proposal
 BITS_A_PHRASE = 16
 MAX_BITS = 1 << 28  # 32 MB a filter; beyond it more phrases pass and are counted
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
 KEY = ["high", "low"]
 
