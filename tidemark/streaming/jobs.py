@@ -24,7 +24,6 @@ from tidemark.operators.series import TARGET_ROWS, over_series
 WINDOW_ROWS = 60
 ALERT_LIMIT = 3.0
 BLOCK_ROWS = 20_000
-IDLE = "7 days"
 STREAM_STATS = ("roll_mean", "roll_std", "roll_max", "zscore", "delta")
 
 
@@ -65,13 +64,15 @@ def _window_stats(tail: np.ndarray, fresh: np.ndarray, window: int) -> dict[str,
 
 
 def keyed_features(
-    stream: DataFrame, key: str, order: list[str], metrics: list[str] | None = None, window: int = WINDOW_ROWS, idle: str | None = IDLE
+    stream: DataFrame, key: str, order: list[str], metrics: list[str] | None = None, window: int = WINDOW_ROWS, idle: str | None = None
 ) -> DataFrame:
     """Per-key features over the last `window` records in arrival order, across micro-batches.
 
     State per key is the last `window` - 1 values of each metric. A key unknown so far starts with
-    an empty buffer. Inside a micro-batch, records of a key are taken in `order`. The buffer of a key
-    without records for `idle` (processing time) is dropped; None keeps all buffers for ever.
+    an empty buffer. Inside a micro-batch, records of a key are taken in `order`. With `idle`, for
+    streams that run on, the buffer of a key without records for that long (processing time) is
+    dropped. Spark then plans a batch whenever none is running, so a stream that is to end with the
+    files present now needs None, which keeps all buffers.
     """
     metrics = metrics or schema.METRICS
     stats = stream_columns(metrics)
