@@ -64,9 +64,9 @@ def corpus():
 ITEMS = [(1, "AB ba cab, cab."), (1, "AB ba cab, cab."), (2, None), (3, "--- !"), (None, "ab"), (4, "日本語 ß word"), (5, "bac")]
 
 
-@pytest.mark.parametrize(("postings", "cells"), [(400_000, 4_000_000), (8, 64)])
+@pytest.mark.parametrize(("postings", "cells"), [(400_000, 4_000_000), (12, 64)])
 def test_search_equals_brute_force(spark, corpus, monkeypatch, postings, cells):
-    monkeypatch.setattr(lexical_search, "BLOCK_POSTINGS", postings)  # 8: several blocks; 64 cells: many slices of classes
+    monkeypatch.setattr(lexical_search, "BLOCK_POSTINGS", postings)  # 12: several blocks; 64 cells: many slices of classes
     monkeypatch.setattr(lexical_search, "SCORE_CELLS", cells)
     items = [*ITEMS, (6, corpus[20][1]), (7, prose(random.Random(7), 12))]
     docs = clashing(spark.createDataFrame(corpus, "doc_id long, text string").repartition(5))
@@ -195,7 +195,7 @@ def phrase_corpus():
     return data + data[:3]
 
 
-@pytest.mark.parametrize(("every", "lowered"), [(8, 0.5), (3, 0.2), (1000, 0.5), (8, 50.0)])
+@pytest.mark.parametrize(("every", "lowered"), [(4, 0.2), (1000, 0.5), (8, 50.0)])
 def test_phrases_equal_brute_force(spark, monkeypatch, every, lowered):
     """1000: an empty sample, and 50: too few proposals, so that border failures take several passes."""
     monkeypatch.setattr(phrase_mining, "SAMPLE_EVERY", every)
