@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sizing import shared_dir
@@ -10,6 +13,18 @@ from tidemark.sizing import shared_dir
 BROADCAST_ROWS = 500_000
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Jobs run inside send texts to Python `rows` at a time, so that a batch of long texts stays small."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: its lineage ends there."""
     path = shared_dir(df.sparkSession, name)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components, sized, written
+from tidemark.llm.components import components, sized, small_batches, written
 from tidemark.llm.prefix_trie import build, matches
 from tidemark.llm.shingles import mix, shingle_sets
 
@@ -268,6 +268,12 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     an empty result, and only the two columns asked for are read, so others cannot clash.
     """
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    with small_batches(docs.sparkSession):
+        return _grouped(rows, n, num, den).withColumnRenamed("id", key)
+
+
+def _grouped(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Rows (id, n_shingles, component_id) for rows (id, text)."""
     members = written(digests(rows, n), "members")
     usable = members.where("id is not null and size > 0")
     classes = usable.groupBy("d1", "d2", "size").agg(F.min("id").alias("rep"))
@@ -297,6 +303,4 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     labels = early.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(early, "node", "left_anti").withColumn("component", F.col("node")))
     labels = labels.join(sized(late), "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
     found = members.join(labels.withColumnRenamed("node", "id"), "id", "left")
-    return found.select(
-        F.col("id").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
-    )
+    return found.select("id", F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import sized, written
+from tidemark.llm.components import sized, small_batches, written
 from tidemark.llm.phrase_keys import LONGEST, Chunk, Filter, part_keys, tally
 
 SAMPLE_EVERY = 8  # one document in so many proposes phrases
@@ -256,6 +256,12 @@ def mine_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     rows = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text}`").cast("string").alias("text")
     ).where(F.col("text").isNotNull())
+    with small_batches(docs.sparkSession):
+        return _mined(rows, least, top)
+
+
+def _mined(rows: DataFrame, least: int, top: int) -> DataFrame:
+    """`mine_phrases` for rows (lang, text) without nulls."""
     sample = written(rows.where(F.expr(f"pmod(xxhash64(text), {SAMPLE_EVERY}) = 0")), "sample")
     frequent = frequent_phrases(rows, sample, least)
     wanted = frequent.where(F.col("low").bitwiseAND(7) >= 2)
