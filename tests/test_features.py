@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schema
+from tidemark.operators import series
 from tidemark.operators.features import compute_features, output_columns
-from tidemark.operators.series import slots_and_halo, with_halo
+from tidemark.operators.series import slots_and_halo, split_hot_series, with_halo
 
 COLUMNS = "timestamp timestamp, node_id string, " + ", ".join(f"{m} double" for m in schema.METRICS)
 
@@ -131,3 +132,22 @@ def test_hot_null_series_is_split_in_one_shuffle(spark):
     key = lambda r: r["second"]
     for a, b in zip(sorted(split.collect(), key=key), sorted(plain.collect(), key=key), strict=True):
         assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b) if isinstance(x, float)) and a["second"] == b["second"]
+
+
+def test_many_cuts_meet_their_rows_in_a_shuffle(spark, monkeypatch):
+    rng = random.Random(9)
+    keys = [None, "a", "b", "c"]
+    rows = [(keys[min(i % 7, 3)], i // 3, i, *(rng.random() * 50 for _ in range(5))) for i in range(1400)]
+    df = spark.createDataFrame(rows, "node_id string, second int, n int, " + ", ".join(f"{m} double" for m in schema.METRICS))
+    df = df.withColumn("timestamp", F.timestamp_seconds("second")).repartition(4)
+    order = ["timestamp", "n"]
+    few = with_halo(df, "node_id", order, 59, 40, 0)
+    few_slots = split_hot_series(df, "node_id", order, 40, 0)
+    monkeypatch.setattr(series, "BROADCAST_POINTS", 10)
+    monkeypatch.setattr(series, "TARGET_ROWS", 300)  # a series is dealt over several tasks
+    many = with_halo(df, "node_id", order, 59, 40, 0)
+    many_slots = split_hot_series(df, "node_id", order, 40, 0)
+    for a, b in ((few, many), (few_slots.df, many_slots.df)):
+        assert "Broadcast" not in b._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert few_slots.slots == many_slots.slots > 20
