@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -393,3 +394,21 @@ def test_known_files_are_not_read_again(spark, tmp_path):
     want = lineage.fingerprint(rows.where("p <> 1"), ["id", "v"]).first()
     assert (got.rows, got.content_hash) == (40, want.content_hash)
     assert lineage.file_fingerprints(spark, path, ["id", "v"], second).count() == second.count()
+
+
+@pytest.mark.parametrize("small", [1 << 70, 0])
+def test_drift_reads_the_samples_once(spark, small):
+    n = F.col("id") % 7
+    side = F.when(F.col("id") % 3 == 0, "ref").otherwise("cur")
+    ids = spark.range(300).select(side.alias("side"), (n * n * 0.5).alias("a"), F.lit(3.25).alias("k"))
+    samples = ids.unpivot(["side"], ["a", "k"], "column", "value")
+    out = drift.column_drift(samples, ["a", "k", "gone"], small)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan  # every later step reads the stored counts
+    got = {r["column"]: r for r in out.collect()}
+    ref = [(i % 7) ** 2 * 0.5 for i in range(300) if i % 3 == 0]
+    cur = [(i % 7) ** 2 * 0.5 for i in range(300) if i % 3]
+    assert got["a"].ref_mean == pytest.approx(sum(ref) / len(ref)) and got["a"].curr_mean == pytest.approx(sum(cur) / len(cur))
+    apart = abs(sum(cur) / len(cur) - sum(ref) / len(ref)) / (statistics.stdev(ref) + 1e-10)
+    assert got["a"].mean_shift_std == pytest.approx(apart) and (got["a"].ref_size, got["a"].cur_size) == (100, 200)
+    assert got["k"].mean_shift_std == 0.0 and got["k"].wasserstein_norm == 0.0 and got["gone"].missing

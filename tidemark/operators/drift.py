@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.functions.expr import clip, exponential_hash, normal_hash, share
-from tidemark.operators.ecdf import running_totals
+from tidemark.operators.ecdf import totals_of_counts
+from tidemark.sizing import is_small
+from tidemark.sources.files import stored
 
 P_LIMIT = 0.05
 SHIFT_LIMIT = 1.0
@@ -50,32 +52,44 @@ def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.when(x < 0.2, F.lit(1.0)).when(x >= 0.2, F.greatest(F.lit(0.0), F.least(F.lit(1.0), terms)))
 
 
+def weighted_moments(counts: DataFrame) -> DataFrame:
+    """Per column the means and sizes of both sides and the sample deviation of the reference, from
+    rows (column, value, ref, cur). Deviations are from the mean, so nothing cancels."""
+
+    def total(side: str, value: Column) -> Column:
+        return F.sum(F.when(F.col(side) > 0, value * F.col(side)))
+
+    sums = counts.groupBy("column").agg(
+        *[F.try_divide(total(side, F.col("value")), F.sum(side)).alias(f"_{side}_mean") for side in ("ref", "cur")],
+        *[F.sum(side).alias(f"{side}_size") for side in ("ref", "cur")],
+    )
+    # One row per analysed column: bounded by the width of the schema.
+    apart = F.col("value") - F.col("_ref_mean")
+    spread = counts.join(F.broadcast(sums), "column").groupBy("column").agg(total("ref", apart * apart).alias("_squares"))
+    return sums.join(spread, "column").select(
+        "column", "_ref_mean", "_cur_mean", F.sqrt(F.try_divide("_squares", F.col("ref_size") - 1)).alias("_ref_std"), "ref_size", "cur_size"
+    )
+
+
 def column_drift(samples: DataFrame, columns: list[str], small_bytes: int | None = None) -> DataFrame:
     """One row per column of `columns` with both distances, means and the drift verdict.
 
     A column without values on one side or both is `missing`: it has no p-value and counts as not
     drifted, but it is in the result and so in the total of a summary.
     """
-    ref, cur = F.col("side") == "ref", F.col("side") == "cur"
-    totals = running_totals(
-        samples,
-        ["column"],
-        "value",
-        {"ref": F.when(ref, 1).otherwise(0), "cur": F.when(cur, 1).otherwise(0)},
-        small_bytes=small_bytes,
+    # The samples are read once: both distances and all moments come from the counts per value.
+    small = is_small(samples, small_bytes)
+    per_value = samples.groupBy("column", "value").agg(
+        F.count_if(F.col("side") == "ref").alias("ref"), F.count_if(F.col("side") == "cur").alias("cur")
     )
+    counts = stored(per_value, "value-counts")
+    totals = totals_of_counts(counts, ["column"], "value", ["ref", "cur"], small=small)
     gap = F.abs(F.try_divide("cum_ref", "all_ref") - F.try_divide("cum_cur", "all_cur"))
     distances = totals.groupBy("column").agg(
         F.max(gap).alias("_ks"),
         F.sum(gap * (F.col("next_value") - F.col("value"))).alias("_area"),
     )
-    moments = samples.groupBy("column").agg(
-        F.avg(F.when(ref, F.col("value"))).alias("_ref_mean"),
-        F.avg(F.when(cur, F.col("value"))).alias("_cur_mean"),
-        F.stddev_samp(F.when(ref, F.col("value"))).alias("_ref_std"),
-        F.count_if(ref).alias("ref_size"),
-        F.count_if(cur).alias("cur_size"),
-    )
+    moments = weighted_moments(counts)
     asked = samples.sparkSession.createDataFrame([(c,) for c in columns], "column string")
     # One row per analysed column: bounded by the width of the schema.
     joined = asked.join(moments, "column", "left").join(distances, "column", "left")
