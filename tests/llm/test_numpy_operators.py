@@ -259,6 +259,40 @@ def test_similar_sets_always_meet():
             assert keys[0] & keys[1]
 
 
+def test_sketches_never_rule_out_similar_sets():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a = rng.integers(0, 1 << 63, int(rng.integers(1, 500))).astype(np.uint64)
+        b = np.concatenate([a[int(rng.integers(0, len(a))) :], rng.integers(0, 1 << 63, int(rng.integers(0, 60))).astype(np.uint64)])
+        x, y = jaccard_join.sketch(a), jaccard_join.sketch(b)
+        words = min(len(x), len(y))
+        differ = np.bitwise_count(jaccard_join.folded(x, words) ^ jaccard_join.folded(y, words)).sum()
+        assert differ <= len(np.setxor1d(a, b)) and (jaccard_join.folded(x, len(x)) == x).all()
+
+
+def test_sets_that_meet_but_are_not_similar_stay_home(spark, monkeypatch):
+    """Texts that share two thirds of their words have equal parts, and their sketches tell them apart."""
+    rng = random.Random(8)
+    body = prose(rng, 300).split()
+    data = [(i, " ".join(body + prose(rng, 150).split())) for i in range(40)]
+    data += [(100 + i, " ".join(body[:280] + prose(rng, 20).split() + prose(random.Random(9), 150).split())) for i in range(3)]
+    counts: dict[str, list[int]] = {}
+    monkeypatch.setattr(jaccard_join, "BUCKET_TOKENS", 5000)
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", 4000)
+    inner = jaccard_join.written
+
+    def counted(df, name):
+        out = inner(df, name)
+        counts.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = jaccard_join.jaccard_groups(df, n=5, num=80, den=100).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_groups(data, 5, 80, 100)
+    assert counts["wanted"][0] > 40 and sum(counts["sets"]) <= 10
+
+
 def test_trie_walk_equals_brute_force():
     rng = random.Random(7)
     for _ in range(60):

@@ -6,15 +6,20 @@
    D = (a + b)(den - num) / (den + num) tokens. The tokens are dealt by hash into more than D parts,
    so some part is equal in both. Sets of one size class meet in Spark by the hash of a part.
    Frequent passages do no harm: a part is equal only if all its tokens are.
-3. In every meeting the smallest id leads. Each document is compared with the leader it meets most
+3. Every set has a sketch of one or two bits a token, the parities of its tokens dealt into places.
+   Sets that differ in d tokens have sketches that differ in d places at most, so what the sketches
+   rule out is not similar, and only sets that are left travel whole.
+4. In every meeting the smallest id leads. Each document is compared with the leader it meets most
    often, which is linear in the documents, and components are formed.
-4. Meetings whose members are still in several components are joined completely, in blocks of
-   bounded size. So no link that would change a component goes unseen. Meetings that share members
-   are one cluster, which ships a set once per block and not once per meeting; clusters of more than
-   MAX_BLOCKS blocks are joined meeting by meeting.
-
-Comparisons (3 and 4) put the sets of a block into a prefix tree in the global order of the hashes
-and walk it with each query; see prefix_trie. No step emits the pairs of a meeting, only links.
+5. Meetings whose members are still in several components are sifted completely by their sketches,
+   those of the same members once. A unit gives links between sets that may be similar, fewer than
+   its members; what these connect is a cluster, whose sets are joined completely. So no link that
+   would change a component goes unseen.
+
+Both parts of 5 work in blocks of bounded size. Meetings that share members (for the sets: clusters)
+ship a member once per block and not once per meeting; beyond MAX_BLOCKS blocks they are taken meeting
+by meeting. Sets of a block are put into a prefix tree in the global order of the hashes, which each
+query walks; see prefix_trie. No step emits the pairs of a meeting, only links.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from tidemark.llm.shingles import mix, shingle_sets
 BLOCK_TOKENS = 200_000
 ENOUGH_DEVIATIONS = 4
 MAX_BLOCKS = 24
+BUCKET_TOKENS = 40 * BLOCK_TOKENS  # of small units of sketches, which go to Python together
 
 
 def size_classes(num: int, den: int, upto: int = 1 << 40) -> list[int]:
@@ -80,8 +86,21 @@ def part_hashes(tokens: np.ndarray, level: int, parts: int, spare: int) -> np.nd
     return named[full] if parts - full.sum() <= spare else named
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the tokens dealt into places, 64 to a word; as many words as a power of two."""
+    words = 1 << max(0, int(len(tokens) * 1.25).bit_length() - 6)
+    place = (mix(tokens + np.uint64(3)) & np.uint64(64 * words - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * words) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8")
+
+
+def folded(words: np.ndarray, count: int) -> np.ndarray:
+    """The sketch of the same set in `count` words."""
+    return np.bitwise_xor.reduce(words.reshape(-1, count), axis=0)
+
+
 def digests(docs: DataFrame, n: int) -> DataFrame:
-    """Rows (id, size, d1, d2) for rows (id, text): the digest of each shingle set."""
+    """Rows (id, size, d1, d2, sketch) for rows (id, text): the digest of each shingle set and its sketch."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -92,10 +111,11 @@ def digests(docs: DataFrame, n: int) -> DataFrame:
                     "size": [len(s) for s in sets],
                     "d1": np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64),
                     "d2": np.array([mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64),
+                    "sketch": [sketch(s).tobytes() for s in sets],
                 }
             )
 
-    return docs.mapInPandas(made, "id long, size long, d1 long, d2 long")
+    return docs.mapInPandas(made, "id long, size long, d1 long, d2 long, sketch binary")
 
 
 def meetings(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -199,6 +219,23 @@ def _blocks(size_sum: Column) -> Column:
     return F.ceil(size_sum / BLOCK_TOKENS).cast("int")
 
 
+def near_leaders(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows (leader, id) of `pairs` whose sketches do not rule out that they are similar."""
+
+    def sifted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            near = []
+            for a, b, size in zip(batch["sketch"], batch["other"], (batch["size"] + batch["other_size"]).tolist()):
+                x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+                words = min(len(x), len(y))
+                differ = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+                near.append(differ * (den + num) <= size * (den - num))
+            yield batch.loc[near, ["leader", "id"]]
+
+    heads = sketches.select(F.col("id").alias("leader"), F.col("size").alias("other_size"), F.col("sketch").alias("other"))
+    return pairs.join(sketches, "id").join(heads, "leader").mapInPandas(sifted, "leader long, id long").distinct()
+
+
 def leader_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links among the rows (leader, id) of `pairs`; a leader's members come in blocks."""
     sizes = pairs.join(sets.select("id", "size"), "id")
@@ -212,25 +249,33 @@ def leader_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     return block_links(units, num, den)
 
 
-def remaining_links(met: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among the members of meetings (rows part, id, leader) that are still in several components."""
+def open_members(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (part, id, component, low) of the meetings whose members are in several components.
+
+    Of meetings of the same members one stays; `low` is the smallest component.
+    """
     members = met.join(labels.withColumnRenamed("node", "id"), "id", "left")
-    members = members.select("part", "id", "leader", F.coalesce("component", "id").alias("component"))
-    several = members.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    several = written(several, "several")
-    members = written(members.join(several.select("part"), "part"), "open")
-    # Clusters are made of components, of which a meeting of near copies has few, and not of its members.
-    stars = members.join(several.select("part", "low"), "part").select(F.col("low").alias("a"), F.col("component").alias("b")).distinct()
-    clusters = components(stars).select(F.col("node").alias("component"), F.col("component").alias("unit"))
-    whole = members.select("id", "component").distinct().join(clusters, "component").select("id", "component", "unit")
-    whole = written(whole.join(sets.select("id", "size"), "id"), "clusters")
+    members = members.select("part", "id", F.coalesce("component", "id").alias("component"))
+    who = [F.sum(F.xxhash64("id", F.lit(salt)).cast("decimal(20,0)")).alias(f"h{salt}") for salt in (1, 2)]
+    several = members.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), *who)
+    several = several.where("low < high").groupBy("h1", "h2", "n").agg(F.min(F.struct("part", "low")).alias("of"))
+    several = written(several.select("of.part", "of.low"), "several")
+    return written(members.join(several, "part"), "open")
+
+
+def dealt_units(whole: DataFrame, members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows (u1, u2, u3, side, id, component) of the blocks of `whole` (rows id, component, unit).
+
+    Each unit is dealt into blocks that meet each other; of units of more than MAX_BLOCKS blocks the
+    meetings of `members` (rows part, id, component) are dealt in their place.
+    """
+    whole = written(whole.join(sizes, "id"), "clusters")
     blocks = whole.groupBy("unit").agg(_blocks(F.sum("size")).alias("blocks"))
     large = blocks.where(F.col("blocks") > MAX_BLOCKS).select("unit")
     by_meeting = (
         members.select(F.col("part").alias("unit"), "id", "component")
-        .join(whole.select("id", F.col("unit").alias("of")), "id")
+        .join(whole.select("id", F.col("unit").alias("of"), "size").distinct(), "id")
         .join(large.withColumnRenamed("unit", "of"), "of", "left_semi")
-        .join(sets.select("id", "size"), "id")
         .select("id", "component", "unit", "size")
     )
     meeting_blocks = by_meeting.groupBy("unit").agg(_blocks(F.sum("size")).alias("blocks"))
@@ -239,14 +284,83 @@ def remaining_links(met: DataFrame, labels: DataFrame, sets: DataFrame, num: int
         .unionByName(by_meeting.join(meeting_blocks, "unit").withColumn("kind", F.lit(1)))
         .withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
     )
-    units = dealt.select(
+    return dealt.select(
         "unit", "kind", "id", "component", "own", "blocks", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
     ).select(
         F.col("unit").alias("u1"), F.col("kind").alias("u2"),
         (F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")).alias("u3"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "id", "component",
     )
-    return block_links(units.join(sets.select("id", "tokens"), "id").select("u1", "u2", "u3", "side", "id", "component", "tokens"), num, den)
+
+
+def near_links(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that connect, in each unit, what sketches do not rule out as similar.
+
+    Rows are (u1, u2, u3, side, id, component, size, sketch), with sides as in block_links. Two members
+    of different components that may be similar are connected by links of their unit; a unit of m
+    members gives fewer than m. Units go to Python in buckets, as most are small.
+    """
+    units = ["u1", "u2", "u3"]
+
+    def linked(bucket: pd.DataFrame) -> pd.DataFrame:
+        found = [np.zeros((0, 2), np.int64)]
+        bucket = bucket.sort_values(units, ignore_index=True)
+        names = bucket[units].to_numpy()
+        ids, side, group, size = (bucket[c].to_numpy() for c in ("id", "side", "component", "size"))
+        words = [np.frombuffer(s, "<u8") for s in bucket["sketch"]]
+        at = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(bucket)]
+        for a, b in zip(at[:-1], at[1:]):
+            pairs = _connected(words[a:b], size[a:b], side[a:b], group[a:b], num, den)
+            if pairs:
+                found.append(ids[a:b][np.array(pairs)])
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    total = rows.agg(F.coalesce(F.sum(F.col("size") + 100), F.lit(0)).alias("n")).first()["n"]
+    bucket = F.pmod(F.xxhash64(*units), F.lit(max(1, -(-total // BUCKET_TOKENS))))
+    return rows.groupBy(bucket.alias("bucket")).applyInPandas(linked, "a long, b long")
+
+
+def _connected(words: list[np.ndarray], size: np.ndarray, side: np.ndarray, group: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of places that connect the members of a unit which may be similar."""
+    if (group == group[0]).all():
+        return []
+    pairs = []
+    head = np.arange(len(words))
+    width = np.array([len(w) for w in words])
+    for count in np.unique(width).tolist():
+        asking = np.flatnonzero(width == count)
+        inside = np.flatnonzero((width >= count) & (size * num <= size[asking].max() * den))
+        table = np.stack([folded(words[k], count) for k in inside])
+        for q in asking.tolist():
+            near = (group[inside] != group[q]) & (head[inside] != head[q]) & ((side[inside] != side[q]) | (side[q] == 2))
+            if not near.any():
+                continue
+            differ = np.bitwise_count(table[near] ^ folded(words[q], count)).sum(axis=1, dtype=np.int64)
+            kept = inside[near]
+            for k in kept[differ * (den + num) <= (size[kept] + size[q]) * (den - num)].tolist():
+                if head[k] != head[q]:
+                    head[head == head[k]] = head[q]
+                    pairs.append((q, k))
+    return pairs
+
+
+def clusters_of(open_rows: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (id, component, unit): members of open meetings, by the clusters of those that may be similar."""
+    # Sifted together are clusters of components, of which a meeting of near copies has few, and not of members.
+    stars = open_rows.select(F.col("low").alias("a"), F.col("component").alias("b")).distinct()
+    joint = components(stars).select(F.col("node").alias("component"), F.col("component").alias("unit"))
+    named = open_rows.select("id", "component").distinct()
+    sizes = sketches.groupBy("id").agg(F.sum("size").alias("size"))
+    units = written(dealt_units(named.join(joint, "component").select("id", "component", "unit"), open_rows, sizes), "units")
+    near = components(written(near_links(units.join(sketches, "id"), num, den), "near"))
+    return written(named.join(near.select(F.col("node").alias("id"), F.col("component").alias("unit")), "id"), "sifted")
+
+
+def remaining_links(whole: DataFrame, open_rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links among the members of each unit of `whole` (rows id, component, unit) that are in several components."""
+    sizes = sets.groupBy("id").agg(F.sum("size").alias("size"))
+    units = dealt_units(whole, open_rows, sizes).join(sets.select("id", "tokens"), "id")
+    return block_links(units.select("u1", "u2", "u3", "side", "id", "component", "tokens"), num, den)
 
 
 def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -292,13 +406,22 @@ def _grouped(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     )
     met = written(met, "meetings")
     wanted = written(met.select("id").distinct(), "wanted")
-    sets = written(packed_sets(rows.join(sized(wanted), "id", "left_semi"), n).where("size > 0"), "sets")
+    sketches = usable.select("id", "size", "sketch").join(sized(wanted), "id", "left_semi").distinct()
+    sketches = written(sketches, "sketches")
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        ids = written(ids.distinct(), "needed")
+        return written(packed_sets(rows.join(sized(ids), "id", "left_semi"), n).where("size > 0"), "sets")
+
     often = met.where("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"))
     nearest = often.groupBy("id").agg(F.max(F.struct("n", (-F.col("leader")).alias("low"))).alias("best"))
-    pairs = nearest.select((-F.col("best.low")).alias("leader"), "id")
+    pairs = written(near_leaders(nearest.select((-F.col("best.low")).alias("leader"), "id"), sketches, num, den), "pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("leader", "id")).alias("id")))
     first = written(leader_links(pairs, sets, num, den), "first")
     early = components(first.union(copies.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
-    more = written(remaining_links(met, early, sets, num, den), "more")
+    open_rows = open_members(met, early)
+    whole = clusters_of(open_rows, sketches, num, den)
+    more = written(remaining_links(whole, open_rows, sets_of(whole.select("id")), num, den), "more")
     late = components(_between(more, early)).select(F.col("node").alias("component"), F.col("component").alias("lower"))
     labels = early.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(early, "node", "left_anti").withColumn("component", F.col("node")))
     labels = labels.join(sized(late), "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
