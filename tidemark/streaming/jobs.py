@@ -23,7 +23,6 @@ from tidemark.operators.series import TARGET_ROWS, over_series
 
 WINDOW_ROWS = 60
 ALERT_LIMIT = 3.0
-BLOCK_ROWS = 20_000
 STREAM_STATS = ("roll_mean", "roll_std", "roll_max", "zscore", "delta")
 
 
@@ -36,30 +35,42 @@ def stream_columns(metrics: list[str]) -> list[str]:
     return [f"{m}_{s}" for m in metrics for s in STREAM_STATS]
 
 
+def _joined(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, ...]:
+    """Counts, sums, squared gaps, minima and maxima of frames: those of `a`, then `length` rows of `b`."""
+    count, total, gaps, low, high = (x[: len(x) - length] for x in a)
+    count2, total2, gaps2, low2, high2 = (x[len(x) - len(count) :] for x in b)
+    n = count + count2
+    apart = total2 * count - total * count2  # the means' difference times both counts
+    weight = np.divide(1.0, count * count2 * n, out=np.zeros_like(n), where=(count > 0) & (count2 > 0))
+    return n, total + total2, gaps + gaps2 + apart * apart * weight, np.minimum(low, low2), np.maximum(high, high2)
+
+
 def _window_stats(tail: np.ndarray, fresh: np.ndarray, window: int) -> dict[str, np.ndarray]:
-    """Statistics of the last `window` values at each fresh value; NaN marks missing values."""
-    line = np.concatenate([np.full(max(0, window - 1 - len(tail)), np.nan), tail[-(window - 1) :] if window > 1 else [], fresh])
-    out = {s: np.zeros(len(fresh)) for s in STREAM_STATS}
-    for start in range(0, len(fresh), BLOCK_ROWS):
-        stop = min(start + BLOCK_ROWS, len(fresh))
-        frames = np.lib.stride_tricks.sliding_window_view(line[start : stop + window - 1], window)
-        known = ~np.isnan(frames)
-        n = known.sum(axis=1)
-        some = n > 0
-        high = np.where(some, np.where(known, frames, -np.inf).max(axis=1), np.nan)
-        low = np.where(known, frames, np.inf).min(axis=1)
-        mean = np.divide(np.where(known, frames, 0.0).sum(axis=1), n, out=np.full(len(n), np.nan), where=some)
-        gaps = np.where(known, frames - np.where(some, mean, 0.0)[:, None], 0.0)
-        spread = np.sqrt(np.divide((gaps * gaps).sum(axis=1), n, out=np.zeros(len(n)), where=some))
-        std = np.where(some & (high > low), spread, 0.0)
-        value = frames[:, -1]
-        out["roll_mean"][start:stop] = mean
-        out["roll_std"][start:stop] = std
-        out["roll_max"][start:stop] = high
-        out["zscore"][start:stop] = np.where(std > 0, np.divide(value - mean, std, out=np.zeros(len(n)), where=std > 0), 0.0)
-        if window > 1:
-            step = value - frames[:, -2]
-            out["delta"][start:stop] = np.where(np.isnan(step), 0.0, step)
+    """Statistics of the last `window` values at each fresh value, a column per metric; NaN marks missing values.
+
+    A frame is put together from frames of a power of two of rows, each made of two of half its length.
+    """
+    lead = np.full((max(0, window - 1 - len(tail)), fresh.shape[1]), np.nan)
+    line = np.concatenate([lead, tail[len(tail) - min(len(tail), window - 1) :], fresh])
+    known = ~np.isnan(line)
+    power = known.astype(float), np.where(known, line, 0.0), np.zeros_like(line), np.where(known, line, np.inf), np.where(known, line, -np.inf)
+    frame, length, left = None, 1, window
+    while left:
+        if left & 1:
+            frame = power if frame is None else _joined(power, frame, window & (length - 1))
+        left >>= 1
+        if left:
+            power = _joined(power, power, length)
+            length *= 2
+    n, total, gaps, low, high = frame
+    some = n > 0
+    mean = np.divide(total, n, out=np.full_like(n, np.nan), where=some)
+    spread = np.sqrt(np.divide(gaps, n, out=np.zeros_like(n), where=some))
+    std = np.where(some & (high > low), spread, 0.0)
+    out = {"roll_mean": mean, "roll_std": std, "roll_max": np.where(some, high, np.nan)}
+    out["zscore"] = np.where(std > 0, np.divide(fresh - mean, std, out=np.zeros_like(n), where=std > 0), 0.0)
+    step = fresh - line[window - 2 : len(line) - 1] if window > 1 else np.zeros_like(fresh)
+    out["delta"] = np.where(np.isnan(step), 0.0, step)
     return out
 
 
@@ -87,19 +98,18 @@ def keyed_features(
             return
         rows = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
         tails = state.get if state.exists else tuple([] for _ in metrics)
-        kept = []
-        for metric, tail in zip(metrics, tails):
-            old = np.array([np.nan if v is None else v for v in tail], dtype=float)
-            fresh = rows[metric].to_numpy(dtype=float)
-            for stat, values in _window_stats(old, fresh, window).items():
-                rows[f"{metric}_{stat}"] = values
-            both = np.concatenate([old, fresh])
-            last = both[max(0, len(both) - (window - 1)) :]
-            kept.append([None if np.isnan(v) else float(v) for v in last])
+        old = np.array([[np.nan if v is None else v for v in tail] for tail in tails], dtype=float).reshape(len(metrics), -1).T
+        fresh = np.stack([rows[metric].to_numpy(dtype=float) for metric in metrics], axis=1)
+        found = _window_stats(old, fresh, window)
+        both = np.concatenate([old, fresh])
+        last = both[max(0, len(both) - (window - 1)) :].T
+        kept = [[None if np.isnan(v) else float(v) for v in values] for values in last]
         state.update(tuple(kept))
         if idle_ms:
             state.setTimeoutDuration(idle_ms)
-        yield rows[names + stats]
+        # One block of numbers a key: columns put in one by one would be copied one by one.
+        shown = np.stack([found[stat] for stat in STREAM_STATS], axis=2).reshape(len(rows), -1)
+        yield pd.concat([rows[names], pd.DataFrame(shown, columns=stats)], axis=1)
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
     return stream.groupBy(key).applyInPandasWithState(update, output, state_type, "append", timeout)
