@@ -122,6 +122,37 @@ def test_segments_of_a_hot_anchor_are_spread_over_shards(spark, monkeypatch, cop
     assert copies or largest[0] < 5 * 4000
 
 
+def test_sorting_keeps_its_arrays_small():
+    """Lengths in 16 bits and places in 32."""
+    text = np.array(list(b"banana band banana") + [0])
+    order, lcp = suffix_array(text, 50)
+    assert order.tolist() == sorted(range(len(text)), key=lambda k: text[k:].tolist())
+    assert order.dtype == np.int32 and lcp.dtype == np.int16
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_segments_of_equal_hashes_are_told_apart_by_their_bytes(monkeypatch, clash):
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 700)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 7)
+    if clash:
+        monkeypatch.setattr(suffix_dedup, "window_hashes", lambda h, at, *_: np.zeros(len(at), np.uint64))
+    rng = random.Random(9)
+    passage = prose(rng, 60)
+    ids, texts = [5, 4, 3], [passage, prose(rng, 30) + passage + prose(rng, 300), None]
+    parts = list(suffix_dedup.joined(ids, texts, 50))
+    shared = np.unique(np.concatenate([p.hash for p in parts]))
+    own = suffix_dedup.Segments(ids, texts, shared, 3, 50)
+    want: dict[bytes, int] = {}
+    for part, occurs in zip(own.parts, own.occurs):
+        for a, b, at, k in zip(part.first.tolist(), part.last.tolist(), part.owner.tolist(), occurs.tolist()):
+            segment = part.raw[a : b + 50].tobytes()
+            want[segment] = min(want.get(segment, 9), int(part.ids[at]))
+            assert own.raw[own.first[k] :][: own.size[k]].tobytes() == segment
+    got = {own.raw[a : a + n].tobytes(): d for a, n, d in zip(own.first.tolist(), own.size.tolist(), own.least.tolist())}
+    assert got == want and len(own.first) == len(want) and len(want) < sum(len(p.hash) for p in own.parts)
+    assert sorted(own.by_shard) == list(own.by_shard) and sum(b - a for a, b in own.by_shard.values()) == len(want)
+
+
 def test_long_texts_are_cut_without_losing_windows(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PLACE_BITS", np.uint64(9))
     rng = random.Random(4)

@@ -7,7 +7,8 @@ the sorted suffixes puts each one's left neighbour into a priority queue under i
 with the rank of its rest, and takes from the queue what is due next. The queue works in batches
 (all suffixes of the least letter at once) and moves to disk beyond a bound. Common-prefix lengths
 ride along: two neighbours of one letter share one letter more than the least length between the
-ranks of their rests. Lengths are cut at `cap`.
+ranks of their rests. Lengths are cut at `cap`. Letters, places and lengths are kept in the smallest
+types that hold them, as most of the time goes into random reads of these arrays.
 """
 
 from __future__ import annotations
@@ -17,14 +18,20 @@ import tempfile
 import numpy as np
 
 IN_MEMORY = 1 << 24
+SMALL = 1 << 13  # letters and lengths below need 16 bits, also doubled
 
 
-def room(n: int, in_memory: int) -> np.ndarray:
+def room(n: int, in_memory: int, kind: type = np.int64) -> np.ndarray:
     """An array of `n` numbers, in an unlinked scratch file of the task beyond `in_memory`."""
     if n <= in_memory:
-        return np.empty(n, np.int64)
+        return np.empty(n, kind)
     with tempfile.TemporaryFile() as f:
-        return np.memmap(f, np.int64, "w+", shape=(n,))
+        return np.memmap(f, kind, "w+", shape=(n,))
+
+
+def place_type(n: int) -> type:
+    """The type of places in a text of `n` letters."""
+    return np.int32 if n < 1 << 31 else np.int64
 
 
 class LetterQueue:
@@ -37,7 +44,7 @@ class LetterQueue:
         self.in_memory, self.held = in_memory, 0
         self.near: dict[int, list[np.ndarray]] = {}
         self.far: dict[int, list[tuple[int, int]]] = {}
-        self.file = None
+        self.file, self.kind = None, np.dtype(np.int64)
 
     def push(self, letters: np.ndarray, pos: np.ndarray, rank: np.ndarray) -> None:
         if not len(pos):
@@ -45,6 +52,7 @@ class LetterQueue:
         # Few letters: 16 bits sort by radix.
         order = np.argsort(letters.astype(np.uint16) if letters.max() < 1 << 16 else letters, kind="stable")
         letters, pair = letters[order], np.stack([pos[order], rank[order]])
+        self.kind = pair.dtype
         cut = np.flatnonzero(np.diff(letters)) + 1
         for letter, part in zip(letters[np.concatenate([[0], cut])].tolist(), np.split(pair, cut, axis=1)):
             self.near.setdefault(letter, []).append(part)
@@ -67,7 +75,7 @@ class LetterQueue:
         self.held -= sum(p.shape[1] for p in parts)
         for at, n in self.far.pop(letter, []):
             self.file.seek(at)
-            parts.append(np.frombuffer(self.file.read(16 * n), np.int64).reshape(2, n))
+            parts.append(np.frombuffer(self.file.read(2 * self.kind.itemsize * n), self.kind).reshape(2, n))
         if not parts:
             return None
         pos, rank = np.concatenate(parts, axis=1) if len(parts) > 1 else parts[0]
@@ -87,7 +95,7 @@ def rising(text: np.ndarray) -> np.ndarray:
     turn = np.zeros(n, np.int8)
     turn[:-1] = np.sign(text[1:] - text[:-1])
     turn[-1] = -1
-    nearest = np.where(turn != 0, np.arange(n), n)
+    nearest = np.where(turn != 0, np.arange(n, dtype=place_type(n)), n)
     nearest = np.minimum.accumulate(nearest[::-1])[::-1]  # equal letters go as the next unequal pair goes
     return turn[nearest] > 0
 
@@ -104,30 +112,32 @@ def _sweep(text, seeds, seed_lcp, induce, cap, descending, in_memory, total):
 
     Returns positions, common-prefix lengths with the entry before, and whether the entry was induced.
     """
-    pos_out, lcp_out, was_induced = room(total, in_memory), room(total, in_memory), np.zeros(total, bool)
+    place, small = place_type(total), np.int16 if cap < SMALL else np.int64
+    pos_out, lcp_out, was_induced = room(total, in_memory, place), room(total, in_memory, small), np.zeros(total, bool)
     queue, at = LetterQueue(in_memory), 0
     seed_letters = text[seeds]
-    letters = np.unique(text)
+    letters = np.flatnonzero(np.bincount(text)) if text.dtype == np.int16 else np.unique(text)
+    # The letter where a suffix is induced, else -1, which also stands left of the first place.
+    due_under = np.append(np.where(induce, text, text.dtype.type(-1)), text.dtype.type(-1))
     borders = np.searchsorted(-seed_letters if descending else seed_letters, -letters if descending else letters)
     ends = np.searchsorted(-seed_letters if descending else seed_letters, -letters if descending else letters, side="right")
 
     def follow(begin: int, end: int) -> None:
-        own = np.asarray(pos_out[begin:end])
-        rank = np.arange(begin, end)
-        has = own > 0
-        left, rank = own[has] - 1, rank[has]
-        ok = induce[left]
-        queue.push(text[left[ok]], left[ok], rank[ok])
+        left = np.asarray(pos_out[begin:end]) - 1
+        under = due_under[left]
+        ok = np.flatnonzero(under >= 0)
+        queue.push(under[ok], left[ok], (ok + begin).astype(place))
 
     if not descending:  # the end of the text is the smallest suffix of all; before it stands the last letter
-        queue.push(text[-1:], np.array([len(text) - 1]), np.array([-1]))
+        queue.push(text[-1:], np.array([len(text) - 1], place), np.array([-1], place))
     for k in range(len(letters) - 1, -1, -1) if descending else range(len(letters)):
         letter, first, rank_before = int(letters[k]), at, None
         while (due := queue.pop(letter)) is not None:
             pos, rank = due
             m = len(pos)
-            lcp = np.ones(m, np.int64)
-            before = np.concatenate([[-2 if rank_before is None else rank_before], rank[:-1]])
+            lcp = np.ones(m, small)
+            before = np.empty(m, place)
+            before[0], before[1:] = -2 if rank_before is None else rank_before, rank[:-1]
             # The rest of the very last suffix is empty (rank -1) and shares nothing.
             some = np.flatnonzero((before >= 0) & (rank >= 0))
             if len(some):
@@ -165,17 +175,18 @@ def _names(text: np.ndarray, rise: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """
     ends = np.append(seeds[1:], len(text) - 1)
     lengths = ends - seeds + 1
-    kind = text.astype(np.int64) * 2 + rise + 1
+    kind = text * 2 + rise + text.dtype.type(1)
     small = int(kind.max()) < 1 << 10
     width, bits = (6, 10) if small else (1, 63)
+    words = kind.astype(np.uint64)  # `width` letters from each place on
+    for _ in range(width - 1):
+        kind = np.append(kind[1:], kind.dtype.type(0))
+        words <<= np.uint64(bits)
+        words |= kind.astype(np.uint64)
     rank, active, offset = np.zeros(len(seeds), np.int64), np.arange(len(seeds)), 0
     while len(active):
-        word = np.zeros(len(active), np.uint64)
-        for j in range(width):
-            inside = lengths[active] > offset + j
-            letter = np.zeros(len(active), np.uint64)
-            letter[inside] = kind[seeds[active[inside]] + offset + j]
-            word = (word << np.uint64(bits)) | letter if width > 1 else letter
+        beyond = (np.maximum(0, width - (lengths[active] - offset)) * bits).astype(np.uint64)  # bits after the stretch
+        word = words[seeds[active] + offset] >> beyond << beyond
         order = np.lexsort((word, rank[active])) if offset else np.argsort(word)
         r, w = rank[active][order], word[order]
         new_group = np.append(True, r[1:] != r[:-1])
@@ -251,10 +262,11 @@ def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndar
 def suffix_array(text: np.ndarray, cap: int = 1 << 30, in_memory: int = IN_MEMORY) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the suffixes of `text` (non-negative integers) in order, and each one's
     common-prefix length with the one before, at most `cap` (0 for the first)."""
-    text = np.asarray(text, np.int64)
+    text = np.asarray(text)
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    text = text.astype(np.int16 if text.max() < SMALL else np.int64)
     rise = rising(text)
     seeds = np.flatnonzero(rise[1:] & ~rise[:-1]) + 1
     if len(seeds):
@@ -273,6 +285,6 @@ def suffix_array(text: np.ndarray, cap: int = 1 << 30, in_memory: int = IN_MEMOR
     pos, lcp, induced = _sweep(text, seeds, seed_lcp, ~rise, cap, False, in_memory, n)
     # The falling suffixes are in place now and seed the sweep back, which induces the rising ones.
     at = np.flatnonzero(induced)[::-1]
-    shared = np.append(0, lcp[at[:-1]])  # seen from the right, an entry's length is that of the one after it
+    shared = np.append(lcp.dtype.type(0), lcp[at[:-1]])  # seen from the right, an entry's length is that of the one after it
     pos, lcp, _ = _sweep(text, np.asarray(pos[at]), shared, rise, cap, True, in_memory, n)
-    return np.asarray(pos[::-1]), np.append(0, np.asarray(lcp[1:])[::-1])
+    return np.asarray(pos[::-1]), np.append(lcp.dtype.type(0), np.asarray(lcp[1:])[::-1])

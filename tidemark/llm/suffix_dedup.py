@@ -40,6 +40,7 @@ PIECE_BYTES = 2 << 20
 BUCKET_ANCHORS = 400_000
 SHARD_BYTES = 4 << 20
 FLUSH_BYTES = 24 << 20
+SLICE = 1 << 14  # segments that are copied or compared at once
 SPREAD = 64  # of 256 marks: an anchor whose segments have more is in many different ones
 MAX_BUCKETS = 1 << 16
 PLACE_BITS = np.uint64(24)
@@ -47,9 +48,11 @@ PLACE_BITS = np.uint64(24)
 
 def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
     """Hash of the `gram` bytes from each place on; `gram` is a power of two."""
-    h, n = mix(raw.astype(np.uint64) + np.uint64(0x51ED)), 1
+    h, n = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED))[raw], 1
     while n < gram:
-        h = h[:-n] * np.uint64(0x9E3779B97F4A7C15) + h[n:]
+        left = h[:-n] * np.uint64(0x9E3779B97F4A7C15)
+        left += h[n:]
+        h = left
         h ^= h >> np.uint64(29)
         n *= 2
     return mix(h)
@@ -126,10 +129,6 @@ class Joined:
         ends = [window_hashes(self.grams, at, self.length) for at in (self.first, self.last)]
         return (mix(ends[0] * np.uint64(3) + ends[1]) >> np.uint64(56)).astype(np.uint8)
 
-    def segments(self, chosen: np.ndarray) -> list[bytes]:
-        body = self.raw.tobytes()
-        return [body[a : b + self.length] for a, b in zip(self.first[chosen].tolist(), self.last[chosen].tolist())]
-
 
 def joined(ids: list[int], texts: list[str | None], length: int, hot: np.ndarray = NONE_HOT) -> Iterator[Joined]:
     """Documents in groups of about PIECE_BYTES; places must fit PLACE_BITS, so a longer text is
@@ -254,36 +253,78 @@ def shared_keys(docs: DataFrame, size: int, length: int) -> tuple[DataFrame, np.
     return shared.union(windows.select("chunk", "bucket", "keys")), hot
 
 
+def stretches(raw: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of the stretches of `size` bytes from `first` on, one after another."""
+    out = [np.zeros(0, np.uint8)]
+    for at in range(0, len(first), SLICE):
+        n = size[at : at + SLICE]
+        out.append(raw[np.repeat(first[at : at + SLICE] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
+    return np.concatenate(out)
+
+
 class Segments:
     """The distinct segments of a chunk's shared anchors, by shard, in an order that can be made again.
 
-    `occurs` has, per part of the chunk, the segment of each shared anchor (or -1).
+    They are told apart by hashes of their first and last window, which cover them, and compared byte by
+    byte where these are equal. `first` and `size` are stretches of `raw`; `least` is the smallest id;
+    `by_shard` has the range of each shard. `occurs` has, per part of the chunk, the segment of each
+    shared anchor (or -1).
     """
 
     def __init__(self, ids: list[int], texts: list[str | None], shared: np.ndarray, shards: int, length: int, hot: np.ndarray = NONE_HOT):
-        self.parts, self.occurs, found = [], [], {}
-        names: list[tuple[int, bytes]] = []
-        least: list[int] = []
-        for part in joined(ids, texts, length, hot):
+        self.parts, self.occurs = list(joined(ids, texts, length, hot)), []
+        found, base = [tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))], 0
+        chosen_of = []
+        for part in self.parts:
             place = np.searchsorted(shared, part.hash)
             place[place == len(shared)] = 0
             chosen = np.flatnonzero(shared[place] == part.hash) if len(shared) else np.zeros(0, np.int64)
+            first, last = part.first[chosen], part.last[chosen]
+            ends = (window_hashes(part.grams, at, length) for at in (first, last))
+            found.append((first + base, last - first + length, part.ids[part.owner[chosen]], part.hash[chosen] % np.uint64(shards), *ends))
+            chosen_of.append(chosen)
+            base += len(part.raw)
+        first, size, doc, shard, *ends = (np.concatenate(x) for x in zip(*found))
+        self.raw = np.concatenate([np.zeros(0, np.uint8), *(part.raw for part in self.parts)])
+        order, new = self._sorted(shard, size, *ends)
+        if not self._equal(first[order], size[order], new):
+            # Different segments under equal hashes: their bytes tell them apart.
+            whole = np.empty(len(first), object)
+            whole[:] = [self.raw[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist())]
+            order, new = self._sorted(shard, size, np.unique(whole, return_inverse=True)[1], np.zeros(len(first)))
+        heads = np.flatnonzero(new)
+        kept = order[heads]
+        self.first, self.size = first[kept], size[kept]
+        self.least = np.minimum.reduceat(doc[order], heads) if len(heads) else doc
+        at = np.append(np.flatnonzero(np.append(True, shard[kept][1:] != shard[kept][:-1])), len(kept)) if len(kept) else []
+        self.by_shard = {int(shard[kept[a]]): (a, b) for a, b in zip(at[:-1], at[1:])}
+        segment = np.empty(len(order), np.int64)
+        segment[order] = np.cumsum(new) - 1
+        for part, chosen in zip(self.parts, chosen_of):
             occurs = np.full(len(part.hash), -1, np.int64)
-            docs_of = part.ids[part.owner[chosen]].tolist()
-            for k, h, segment, doc in zip(chosen.tolist(), part.hash[chosen].tolist(), part.segments(chosen), docs_of):
-                at = found.setdefault(segment, len(names))
-                if at == len(names):
-                    names.append((h % shards, segment))
-                    least.append(doc)
-                elif doc < least[at]:
-                    least[at] = doc
-                occurs[k] = at
-            self.parts.append(part)
+            occurs[chosen], segment = segment[: len(chosen)], segment[len(chosen) :]
             self.occurs.append(occurs)
-        self.names, self.least = names, least
-        self.by_shard: dict[int, list[int]] = {}
-        for at in sorted(range(len(names)), key=names.__getitem__):
-            self.by_shard.setdefault(names[at][0], []).append(at)
+
+    @staticmethod
+    def _sorted(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order by `keys`, and where it comes to a new one."""
+        order = np.lexsort(keys[::-1])
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for key in keys:
+            key = key[order]
+            new[1:] |= key[1:] != key[:-1]
+        return order, new
+
+    def _equal(self, first: np.ndarray, size: np.ndarray, new: np.ndarray) -> bool:
+        """Whether the stretches have the bytes of the last new one up to them."""
+        again = np.flatnonzero(~new)
+        head = first[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))][again]
+        for at in range(0, len(again), SLICE):
+            own, n = again[at : at + SLICE], size[again[at : at + SLICE]]
+            if not np.array_equal(stretches(self.raw, first[own], n), stretches(self.raw, head[at : at + SLICE], n)):
+                return False
+        return True
 
 
 def sent(docs: DataFrame, shared: DataFrame, shards: int, length: int, hot: np.ndarray = NONE_HOT) -> DataFrame:
@@ -295,12 +336,8 @@ def sent(docs: DataFrame, shared: DataFrame, shards: int, length: int, hot: np.n
         own = Segments(texts["id"].tolist(), texts["text"].tolist(), _keys(keys), shards, length, hot)
         chunk = texts["chunk"].iloc[0]
         rows = [
-            (
-                shard, chunk, b"".join(own.names[k][1] for k in members),
-                pack_numbers(np.array([len(own.names[k][1]) for k in members], np.uint64)),
-                np.array([own.least[k] for k in members], np.int64).tobytes(),
-            )
-            for shard, members in own.by_shard.items()
+            (shard, chunk, stretches(own.raw, own.first[a:b], own.size[a:b]).tobytes(), pack_numbers(own.size[a:b]), own.least[a:b].tobytes())
+            for shard, (a, b) in own.by_shard.items()
         ]
         return pd.DataFrame(rows, columns=["shard", "chunk", "body", "sizes", "least"])
 
@@ -392,15 +429,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         values = {}
         for shard, runs, ids in answers.loc[~told, ["part", "runs", "ids"]].itertuples(index=False):
             values[shard] = np.repeat(unpack_numbers(ids).view(np.int64), unpack_numbers(runs).astype(np.int64))
-        begin, lengths = np.zeros(len(own.names), np.int64), np.array([len(s) for _, s in own.names], np.int64) - length + 1
-        flat, at = [np.zeros(0, np.int64)], 0
-        for shard, members in own.by_shard.items():
-            n = lengths[members]
-            begin[members] = at + np.cumsum(n) - n
+        windows = own.size - length + 1
+        begin, flat = np.cumsum(windows) - windows, [np.zeros(0, np.int64)]
+        for shard, (a, b) in own.by_shard.items():
             flat.append(values[shard])
-            if len(values[shard]) != n.sum():
+            if len(values[shard]) != windows[a:b].sum():
                 raise ValueError("the input changed between two readings")
-            at += int(n.sum())
         flat = np.concatenate(flat)
         marks: dict[int, list[np.ndarray]] = {}
         # Pieces of one text come one after another; `row` counts the texts.
@@ -414,9 +448,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             owner = np.repeat(part.owner[chosen], n)
             gone = flat[np.repeat(begin[occurs[chosen]], n) + steps] < part.ids[owner]
             window, owner = window[gone], owner[gone]
-            for k in np.unique(owner).tolist():
+            # Anchors stand in the order of the texts, so each text's windows are in one stretch.
+            turn = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+            for k, own_windows in zip(owner[turn].tolist(), np.split(window, turn[1:])):
                 row, start = base[k]
-                marks.setdefault(row, []).append(window[owner == k] - part.starts[k] + start)
+                marks.setdefault(row, []).append(own_windows - part.starts[k] + start)
         out = []
         for row, (i, body) in enumerate(zip(texts["id"].tolist(), texts["text"].tolist())):
             body = body.encode("utf-8", "surrogatepass") if body else b""
