@@ -18,7 +18,8 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
     """Jobs run inside send texts to Python `rows` at a time, so that a batch of long texts stays small."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
-    spark.conf.set(setting, str(rows))
+    if not 0 < int(before) < rows:
+        spark.conf.set(setting, str(rows))
     try:
         yield
     finally:
