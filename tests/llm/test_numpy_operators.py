@@ -130,6 +130,31 @@ def test_sorting_keeps_its_arrays_small():
     assert order.dtype == np.int32 and lcp.dtype == np.int16
 
 
+def counted_lookups(monkeypatch, table_size):
+    """A list that gets how many values each np.searchsorted looks up in a table of `table_size`."""
+    plain, counts = np.searchsorted, []
+
+    def counting(table, values, *args, **kwargs):
+        if len(table) == table_size:
+            counts.append(np.size(values))
+        return plain(table, values, *args, **kwargs)
+
+    monkeypatch.setattr(np, "searchsorted", counting)
+    return counts
+
+
+def test_few_anchors_are_looked_up_if_few_are_shared(monkeypatch):
+    rng = random.Random(12)
+    texts = [prose(rng, 4000), prose(rng, 4000)]
+    (part,) = suffix_dedup.joined([1, 2], texts, 50)
+    shared = np.sort(part.hash)[::40]
+    shared = np.unique(shared)
+    counts = counted_lookups(monkeypatch, len(shared))
+    own = suffix_dedup.Segments([1, 2], texts, shared, 3, 50)
+    assert np.array_equal(own.occurs[0] >= 0, np.isin(part.hash, shared))
+    assert 0 < sum(counts) < len(part.hash) / 5
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_segments_of_equal_hashes_are_told_apart_by_their_bytes(monkeypatch, clash):
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 700)
@@ -391,6 +416,7 @@ def test_pieces_are_the_best_and_decode(spark, docs):
     assert encode(docs.limit(0), "piece_bpe_32k.model").count() == 0
 
 
+
 def test_gradients_by_finite_differences():
     net = language_id.BiGru.fresh(["a", "b"])
     for k, v in net.params().items():

@@ -18,6 +18,7 @@ import tempfile
 import numpy as np
 
 IN_MEMORY = 1 << 24
+BLOCK = 1 << 14  # letters that are packed at once, in a core's cache
 SMALL = 1 << 13  # letters and lengths below need 16 bits, also doubled
 
 
@@ -168,21 +169,33 @@ def _sweep(text, seeds, seed_lcp, induce, cap, descending, in_memory, total):
     return pos_out[:at], lcp_out[:at], was_induced[:at]
 
 
-def _names(text: np.ndarray, rise: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def letter_words(text: np.ndarray, rise: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """(words, width, bits): `width` letters of `bits` bits from each place on, and a word beyond the end.
+
+    The lowest bit of a letter is its kind (whether the suffix rises there). A letter of zeros, which no
+    text has, stands beyond the end.
+    """
+    kind = text * 2 + rise + text.dtype.type(2)
+    if int(kind.max()) >= 1 << 10:
+        return np.append(kind, 0).astype(np.uint64), 1, 63
+    n, words = len(text), np.zeros(len(text) + 1, np.uint64)
+    for at in range(0, n, BLOCK):
+        one = np.zeros(min(BLOCK, n - at) + 5, np.uint64)
+        part = kind[at : at + len(one)]
+        one[: len(part)] = part
+        two = one[:-1] << np.uint64(10) | one[1:]
+        three = two[:-1] << np.uint64(10) | one[2:]
+        words[at : at + len(one) - 5] = three[:-3] << np.uint64(30) | three[3:]
+    return words, 6, 10
+
+
+def _names(text: np.ndarray, seeds: np.ndarray, words: np.ndarray, width: int, bits: int) -> np.ndarray:
     """Ranks of the seeds' stretches (both ends included), in text order; equal stretches share one.
 
     Letters carry their kind, as a stretch that ends is greater than one that falls there.
     """
     ends = np.append(seeds[1:], len(text) - 1)
     lengths = ends - seeds + 1
-    kind = text * 2 + rise + text.dtype.type(1)
-    small = int(kind.max()) < 1 << 10
-    width, bits = (6, 10) if small else (1, 63)
-    words = kind.astype(np.uint64)  # `width` letters from each place on
-    for _ in range(width - 1):
-        kind = np.append(kind[1:], kind.dtype.type(0))
-        words <<= np.uint64(bits)
-        words |= kind.astype(np.uint64)
     rank, active, offset = np.zeros(len(seeds), np.int64), np.arange(len(seeds)), 0
     while len(active):
         beyond = (np.maximum(0, width - (lengths[active] - offset)) * bits).astype(np.uint64)  # bits after the stretch
@@ -235,24 +248,19 @@ def _doubling(names: np.ndarray) -> np.ndarray:
     return order
 
 
-def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+def _common(words: np.ndarray, width: int, bits: int, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
     """Common-prefix lengths of pairs of different suffixes, at most `cap`."""
-    # Letters go through in words of `width`; beyond the end stands a letter that no text has.
-    bits = max(1, int(text.max() + 1).bit_length())
-    width = max(1, 62 // bits)
-    padded = np.append(text, np.full(width, text.max() + 1))
-    words = np.zeros(len(text) + 1, np.int64)
-    for j in range(width):
-        words = (words << bits) | padded[j : j + len(words)]
+    last = len(words) - 1
+    letters = np.uint64(sum(((1 << bits) - 2) << (bits * j) for j in range(width)))  # without their kinds
     out, active, k = np.zeros(len(a), np.int64), np.arange(len(a)), 0
     while len(active) and k < cap:
         x, y = a[active] + k, b[active] + k
-        differ = words[np.minimum(x, len(text))] ^ words[np.minimum(y, len(text))]
+        differ = (words[np.minimum(x, last)] ^ words[np.minimum(y, last)]) & letters
         stop = differ != 0
-        ended = active[stop]
+        ended, differ = active[stop], differ[stop]
         out[ended] = k
         for j in range(1, width):
-            out[ended] += differ[stop] < 1 << (bits * (width - j))
+            out[ended] += differ < np.uint64(1 << (bits * (width - j)))
         active = active[~stop]
         k += width
     out[active] = cap
@@ -270,7 +278,8 @@ def suffix_array(text: np.ndarray, cap: int = 1 << 30, in_memory: int = IN_MEMOR
     rise = rising(text)
     seeds = np.flatnonzero(rise[1:] & ~rise[:-1]) + 1
     if len(seeds):
-        names = _names(text, rise, seeds)
+        words, width, bits = letter_words(text, rise)
+        names = _names(text, seeds, words, width, bits)
         if np.bincount(names).max() == 1:
             order = np.empty(len(names), np.int64)
             order[names] = np.arange(len(names))
@@ -279,7 +288,8 @@ def suffix_array(text: np.ndarray, cap: int = 1 << 30, in_memory: int = IN_MEMOR
         else:
             order, _ = suffix_array(np.unique(names, return_inverse=True)[1], 1, in_memory)
         seeds = seeds[order]
-        seed_lcp = np.append(0, _common(text, seeds[:-1], seeds[1:], cap))
+        seed_lcp = np.append(0, _common(words, width, bits, seeds[:-1], seeds[1:], cap))
+        del words
     else:
         seed_lcp = np.zeros(0, np.int64)
     pos, lcp, induced = _sweep(text, seeds, seed_lcp, ~rise, cap, False, in_memory, n)

@@ -36,7 +36,7 @@ from tidemark.llm.shingles import mix
 
 LENGTH, GRAM = 50, 16
 CHUNK_BYTES = 8 << 20
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 17  # the hashes of a piece fit a core's cache
 BUCKET_ANCHORS = 400_000
 SHARD_BYTES = 4 << 20
 FLUSH_BYTES = 24 << 20
@@ -44,6 +44,7 @@ SLICE = 1 << 14  # segments that are copied or compared at once
 SPREAD = 64  # of 256 marks: an anchor whose segments have more is in many different ones
 MAX_BUCKETS = 1 << 16
 PLACE_BITS = np.uint64(24)
+FILTER_BITS = 20
 
 
 def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -122,7 +123,7 @@ class Joined:
             self.last = np.where(self.single, self.first, np.repeat(self.last, n))
             self.hash = np.repeat(self.hash, n)
             self.hash[self.single] = window_hashes(self.grams, self.first[self.single], length)
-        self.owner = np.searchsorted(self.starts, self.first, side="right") - 1
+        self.owner = np.repeat(np.arange(len(sizes)), np.diff(np.searchsorted(self.first, self.starts)))
 
     def marks(self) -> np.ndarray:
         """8 bits of a hash of each segment; its first and last window cover it."""
@@ -275,10 +276,15 @@ class Segments:
         self.parts, self.occurs = list(joined(ids, texts, length, hot)), []
         found, base = [tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))], 0
         chosen_of = []
+        # The low bits of a hash tell of most anchors that they are not shared; the high ones are those of minima.
+        low = np.uint64((1 << FILTER_BITS) - 1)
+        maybe = np.zeros(1 << FILTER_BITS, bool)
+        maybe[(shared & low).view(np.int64)] = True
         for part in self.parts:
-            place = np.searchsorted(shared, part.hash)
+            chosen = np.flatnonzero(maybe[(part.hash & low).view(np.int64)])
+            place = np.searchsorted(shared, part.hash[chosen])
             place[place == len(shared)] = 0
-            chosen = np.flatnonzero(shared[place] == part.hash) if len(shared) else np.zeros(0, np.int64)
+            chosen = chosen[shared[place] == part.hash[chosen]]
             first, last = part.first[chosen], part.last[chosen]
             ends = (window_hashes(part.grams, at, length) for at in (first, last))
             found.append((first + base, last - first + length, part.ids[part.owner[chosen]], part.hash[chosen] % np.uint64(shards), *ends))
@@ -366,17 +372,18 @@ def sorted_shards(rows: DataFrame, length: int, in_memory: int) -> DataFrame:
         owner = np.full(len(known), np.iinfo(np.int64).max)
         np.minimum.at(owner, place, least)
         lengths = np.array([len(s) for s in known], np.int64)
-        text = np.zeros(int((lengths + 1).sum()), np.int64)  # a 0 ends each segment
-        stop = np.cumsum(lengths + 1) - 1
-        inside = np.ones(len(text), bool)
-        inside[stop] = False
-        text[inside] = np.frombuffer(b"".join(known), np.uint8).astype(np.int64) + 1
-        doc = np.repeat(owner, lengths + 1)
+        text = np.frombuffer(b"\0".join([*known, b""]), np.uint8).astype(np.int16) + np.int16(1)
+        text[np.cumsum(lengths + 1) - 1] = 0  # ends each segment
+        found = np.repeat(owner, lengths + 1)
         order, lcp = suffix_array(text, length, in_memory)
-        first = np.flatnonzero(lcp < length)
-        lowest = np.minimum.reduceat(doc[order], first)
-        found = np.empty(len(text), np.int64)
-        found[order] = np.repeat(lowest, np.diff(np.append(first, len(text))))
+        # Most runs are of one suffix, which keeps its own id.
+        again = lcp >= length
+        several = again.copy()
+        several[:-1] |= again[1:]
+        members, first = order[several], np.flatnonzero(~again[several])
+        if len(first):
+            lowest = np.minimum.reduceat(found[members], first)
+            found[members] = np.repeat(lowest, np.diff(np.append(first, len(members))))
         # A run's windows lie inside segments: no other suffix shares `length` letters with one that
         # reaches an end before.
         base = np.append(0, np.cumsum(lengths + 1))[:-1]
