@@ -14,7 +14,7 @@ from tidemark.llm.components import components
 from tidemark.llm.induced_sorting import suffix_array
 from tidemark.llm.packing import edges, pack, pack_numbers, unpack, unpack_numbers
 from tidemark.llm.prefix_trie import build, matches
-from tidemark.llm.sentence_pieces import Pieces, encode, encoded
+from tidemark.llm.sentence_pieces import SPACE_MARK, Pieces, encode, encoded
 from tidemark.llm.token_counts import TokenCounter, count_tokens
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -416,6 +416,25 @@ def test_pieces_are_the_best_and_decode(spark, docs):
     assert encode(docs.limit(0), "piece_bpe_32k.model").count() == 0
 
 
+def test_few_substrings_are_looked_up_among_the_pieces(monkeypatch):
+    own = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    words = sorted({SPACE_MARK + w for w in prose(random.Random(13), 3000).split()})
+    substrings = sum(len(w) - k for w in words for k in range(min(len(w), own.longest)))
+    counts = counted_lookups(monkeypatch, len(own.hashes))
+    found = own.best(words)
+    assert 0 < sum(counts) < 0.75 * substrings
+    assert [own.decode(np.frombuffer(ids, np.int32)) for ids in found] == [w[1:] for w in words]
+
+
+def test_pieces_words_are_runs_of_marks_and_letters():
+    own = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    for text in ("a b", " a", "a  b ", "  ", " ", f"{SPACE_MARK}a{SPACE_MARK}", "a\n b\t"):
+        words = own.words(text)
+        assert "".join(words) == (SPACE_MARK * own.prefixed + text).replace(" ", SPACE_MARK)
+        assert all(w.startswith(SPACE_MARK) and SPACE_MARK not in w.lstrip(SPACE_MARK) for w in words)
+        assert all(w.strip(SPACE_MARK) for w in words[:-1])
+
+
 
 def test_gradients_by_finite_differences():
     net = language_id.BiGru.fresh(["a", "b"])

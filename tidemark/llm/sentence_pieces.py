@@ -2,8 +2,8 @@
 
 The words of a batch (a run of space marks and what follows it) are made distinct and sorted by
 length; words of equal length advance together. All substrings up to the longest piece are hashed
-at once, looked up among the sorted hashes of the pieces and verified letter by letter; then every
-end position takes the best of its pieces with one vectorised maximum, which stores the
+at once, those that a table of the hashes' top bits lets through are looked up among the sorted
+hashes of the pieces and verified letter by letter; then every end position takes the best of its pieces with one vectorised maximum, which stores the
 backpointer. Characters without a piece become byte pieces.
 
 The segmentation is the one with the greatest sum of piece scores. Models of the unigram kind
@@ -13,8 +13,10 @@ bring log-probabilities; models of the merge kind bring ranks only, which are re
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,8 @@ REMEMBERED_WORDS = 300_000
 CELLS_AT_ONCE = 1 << 19
 SLICE_CHARS = 1 << 20
 KNOWN_CHARS = 64
+FILTER_BITS = 20
+MARKED_WORDS = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+")
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 BYTE_SCORE, ABSENT = -1e4, -1e30
 
@@ -52,6 +56,8 @@ class Pieces:
         self.names = names
         self.hidden = {i for i in range(size) if sp.is_control(i) or sp.is_unknown(i)}
         self.bytes_of = {int(i): b for b, i in enumerate(self.byte_ids) if i != self.unknown}
+        # Pieces that decode to their names.
+        self.plain = np.array([i not in self.hidden and i not in self.bytes_of for i in range(size)])
         self.prefixed = sp.encode("x", out_type=str)[0].startswith(SPACE_MARK)
         score = np.array([sp.get_score(i) for i in kept])
         if (score <= -1).mean() > 0.9 and len(np.unique(np.diff(np.sort(score)[1000:2000]))) == 1:  # ranks
@@ -74,8 +80,14 @@ class Pieces:
         self.scores, self.ids = score[order], np.array(kept, np.int32)[order]
         if len(np.unique(self.hashes)) != len(self.hashes):
             raise ValueError("two pieces share a hash; take another PRIME")
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)
+        self.maybe[self._slots(self.hashes)] = True
         self.remembered, self.known = remembered, {}
 
+    @staticmethod
+    def _slots(hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - FILTER_BITS)).view(np.int64)
+
     # -- words ---------------------------------------------------------------------------
 
     def words(self, text: str) -> list[str]:
@@ -85,23 +97,9 @@ class Pieces:
             marked = SPACE_MARK + marked
         if not self.by_word:
             return [marked]
-        out, run = [], ""
-        for part in marked.split(SPACE_MARK)[1:] if marked.startswith(SPACE_MARK) else self._headed(marked, out):
-            if part:
-                out.append(run + SPACE_MARK + part)
-                run = ""
-            else:
-                run += SPACE_MARK
-        if run:
-            out.append(run)
-        return out
-
-    @staticmethod
-    def _headed(marked: str, out: list[str]) -> list[str]:
-        head, *rest = marked.split(SPACE_MARK)
-        if head:
-            out.append(head)
-        return rest
+        if marked.startswith(SPACE_MARK) and SPACE_MARK * 2 not in marked:
+            return [SPACE_MARK + part for part in marked[1:].split(SPACE_MARK)]
+        return MARKED_WORDS.findall(marked)
 
     def best(self, words: list[str]) -> list[bytes]:
         """Ids of the best segmentation of each word, 4 bytes each."""
@@ -114,7 +112,8 @@ class Pieces:
             at_once = max(1, CELLS_AT_ONCE // (n * self.longest))
             for at in range(0, len(places), at_once):
                 part = places[at : at + at_once]
-                letters = np.array([list(map(ord, words[k])) for k in part], np.uint32).reshape(len(part), n)
+                raw = "".join([words[k] for k in part]).encode("utf-32-le", "surrogatepass")
+                letters = np.frombuffer(raw, "<u4").reshape(len(part), n)
                 for k, ids in zip(part, self._viterbi(letters)):
                     found[k] = ids
         return found
@@ -122,23 +121,27 @@ class Pieces:
     def _viterbi(self, letters: np.ndarray) -> list[np.ndarray]:
         rows, n = letters.shape
         longest = min(self.longest, n)
-        # which[r, e, l]: the place among the pieces of the substring of l + 1 letters that ends at e, or -1
+        # which[r, e, l]: the place among the pieces of the substring of l + 1 letters that ends at e, or -1;
+        # gain: its score
         which = np.full((rows, n, longest), -1, np.int32)
-        h = np.zeros((rows, n), np.uint64)
+        gain = np.full((rows, n, longest), ABSENT)
+        h, wide = np.zeros((rows, n), np.uint64), letters.astype(np.uint64) + np.uint64(1)
         for l in range(longest):
             # Hash of the l + 1 letters from each start, grown by one letter per round.
-            h = h[:, : n - l] * PRIME + letters[:, l:].astype(np.uint64) + np.uint64(1)
-            at = np.searchsorted(self.hashes, h)
+            h = h[:, : n - l] * PRIME
+            h += wide[:, l:]
+            r, start = np.nonzero(self.maybe[self._slots(h)])
+            own = h[r, start]
+            at = np.searchsorted(self.hashes, own)
             at[at == len(self.hashes)] = 0
-            r, start = np.nonzero((self.hashes[at] == h) & (self.lengths[at] == l + 1))
-            piece = at[r, start]
+            hit = (self.hashes[at] == own) & (self.lengths[at] == l + 1)
+            r, start, piece = r[hit], start[hit], at[hit]
             same = np.ones(len(r), bool)
             for j in range(l + 1):
                 same &= self.letters[piece, j] == letters[r, start + j]
-            which[r[same], start[same] + l, l] = piece[same]
-        gain = np.where(which >= 0, self.scores[which], ABSENT)
-        lone = which[:, :, 0] < 0
-        gain[:, :, 0][lone] = BYTE_SCORE
+            r, end, piece = r[same], start[same] + l, piece[same]
+            which[r, end, l], gain[r, end, l] = piece, self.scores[piece]
+        gain[:, :, 0][which[:, :, 0] < 0] = BYTE_SCORE
         total = np.full((rows, n + 1), ABSENT)
         total[:, 0] = 0
         back = np.zeros((rows, n + 1), np.int32)
@@ -155,21 +158,24 @@ class Pieces:
     def _traced(self, letters: np.ndarray, which: np.ndarray, back: np.ndarray) -> list[bytes]:
         """Ids along the backpointers, last first, for all rows together; letters without a piece give their bytes."""
         rows, n = letters.shape
-        end, out, count = np.full(rows, n), np.zeros((rows, 4 * n), np.int32), np.zeros(rows, np.int64)
+        # Each row is filled from its end; `at` is where it begins.
+        width = 4 * n
+        end, out, at = np.full(rows, n), np.zeros((rows, width), np.int32), np.full(rows, width)
         while len(live := np.flatnonzero(end)):
             e = end[live]
             step = back[live, e]
             piece = which[live, e - 1, step - 1]
             known = piece >= 0
             k = live[known]
-            out[k, count[k]] = self.ids[piece[known]]
-            count[k] += 1
+            at[k] -= 1
+            out[k, at[k]] = self.ids[piece[known]]
             for r in live[~known].tolist():
                 raw = chr(letters[r, end[r] - 1]).encode("utf-8", "surrogatepass")
-                out[r, count[r] : count[r] + len(raw)] = self.byte_ids[list(raw)][::-1]
-                count[r] += len(raw)
+                out[r, at[r] - len(raw) : at[r]] = self.byte_ids[list(raw)]
+                at[r] -= len(raw)
             end[live] = e - step
-        return [out[r, :c][::-1].tobytes() for r, c in enumerate(count.tolist())]
+        raw, stops = out.tobytes(), range(4 * width, 4 * width * rows + 1, 4 * width)
+        return [raw[stop - 4 * c : stop] for stop, c in zip(stops, (width - at).tolist())]
 
     # -- texts ---------------------------------------------------------------------------
 
@@ -182,34 +188,33 @@ class Pieces:
 
     def _encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         split = [None if t is None else self.words(t) if t else [] for t in texts]
-        new = list({w for ws in split if ws for w in ws}.difference(self.known))
-        found = dict(zip(new, self.best(new)))
         known = self.known
-        encoded = [
-            None if ws is None else np.frombuffer(b"".join([known[w] if w in known else found[w] for w in ws]), np.int32) for ws in split
-        ]
-        if len(self.known) + len(found) > self.remembered:
-            self.known = {}
-        if len(found) <= self.remembered:
-            self.known.update((w, ids) for w, ids in found.items() if len(w) <= KNOWN_CHARS)
+        new = list(set(chain.from_iterable(filter(None, split))).difference(known))
+        known.update(zip(new, self.best(new)))
+        encoded = [None if ws is None else np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in split]
+        if len(known) > self.remembered:
+            self.known = known = {w: known[w] for w in new} if len(new) <= self.remembered else {}
+        for w in new:
+            if len(w) > KNOWN_CHARS:
+                known.pop(w, None)
         return encoded
 
     def decode(self, ids: np.ndarray | list[int] | None) -> str | None:
         """The text of `ids`: pieces joined, byte pieces read as UTF-8, marks turned into spaces."""
         if ids is None:
             return None
-        parts, run = [], bytearray()
-        for i in map(int, ids):
-            if i in self.bytes_of:
-                run.append(self.bytes_of[i])
-                continue
-            if run:
+        ids = np.asarray(ids, np.int64)
+        odd, names = np.flatnonzero(~self.plain[ids]).tolist(), [self.names[i] for i in ids.tolist()]
+        parts, run, at = [], bytearray(), 0
+        for k in [*odd, len(names)]:
+            byte = self.bytes_of.get(int(ids[k])) if k < len(names) else None
+            if run and (k > at or byte is None):
                 parts.append(run.decode("utf-8", "replace"))
                 run = bytearray()
-            if i not in self.hidden:
-                parts.append(self.names[i])
-        if run:
-            parts.append(run.decode("utf-8", "replace"))
+            parts.extend(names[at:k])
+            if byte is not None:
+                run.append(byte)
+            at = k + 1
         marked = "".join(parts)
         if self.prefixed and marked.startswith(SPACE_MARK):
             marked = marked[1:]
