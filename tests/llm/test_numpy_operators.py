@@ -122,6 +122,28 @@ def test_segments_of_a_hot_anchor_are_spread_over_shards(spark, monkeypatch, cop
     assert copies or largest[0] < 5 * 4000
 
 
+def test_rows_of_anchors_do_not_grow_with_chunks_times_buckets(spark):
+    """A task sends a row a bucket for all chunks that it met, and the chunks get the same anchors as alone."""
+    rng = random.Random(5)
+    passage = prose(rng, 30)
+    data = [(i, " ".join([prose(rng, 10), passage, prose(rng, 10)]), i % 40) for i in range(120)]
+    docs = spark.createDataFrame(data, "id long, text string, chunk long").coalesce(1)
+    found = suffix_dedup.asked(docs, 8, 50)
+    assert found.count() == 8
+    of_chunk = {}
+    for r in suffix_dedup.shared_anchors(found).collect():
+        of_chunk.setdefault(r.chunk, []).append(suffix_dedup.unpack(bytes(r["keys"])))
+    met = {}
+    for i, text, chunk in data:
+        for h in next(suffix_dedup.joined([i], [text], 50)).hash.tolist():
+            met.setdefault(h, set()).add((i, chunk))
+    want = {}
+    for h, docs_of in met.items():
+        for _, chunk in docs_of if len(docs_of) > 1 else ():
+            want.setdefault(chunk, set()).add(h)
+    assert {c: set(np.concatenate(k).tolist()) for c, k in of_chunk.items()} == want and len(want) == 40
+
+
 def test_sorting_keeps_its_arrays_small():
     """Lengths in 16 bits and places in 32."""
     text = np.array(list(b"banana band banana") + [0])
@@ -228,6 +250,28 @@ def test_lm_counts_equal_brute_force(spark, monkeypatch, chunk):
     assert lm_scoring.score_texts(df.limit(0), fold_of).count() == 0
 
 
+def test_rows_of_words_do_not_grow_with_chunks_times_buckets(spark, monkeypatch):
+    """A task sends a row a bucket for all chunks that it met; each chunk gets the counts of its own keys, in order."""
+    monkeypatch.setattr(lm_scoring, "READ_ROWS", 7)
+    rng = random.Random(5)
+    data = [(i, prose(rng, 30, "abc"), i % 3, 2 * (i % 20) + (i % 3 == 1)) for i in range(120)]
+    docs = spark.createDataFrame(data, "id long, text string, fold long, chunk long").coalesce(1)
+    found = lm_scoring.asked(docs, 8)
+    assert found.count() == 8
+    got = {}
+    for r in lm_scoring.answered(found).where("chunk >= 0").orderBy("chunk", "bucket").collect():
+        got.setdefault(r.chunk, []).extend(lm_scoring.unpack_numbers(bytes(r.full)).tolist())
+    keys_of = {}
+    for _, text, fold, chunk in data:
+        tokens, _ = lm_scoring.token_hashes([text])
+        keys_of.setdefault((chunk, fold), []).append(np.concatenate([lm_scoring.word_keys(tokens), lm_scoring.pair_keys(tokens)]))
+    learned = np.concatenate([k for (_, fold), own in keys_of.items() if fold != lm_scoring.UNSEEN for k in own])
+    count = dict(zip(*(x.tolist() for x in np.unique(learned, return_counts=True))))
+    for chunk in {c for c, _ in keys_of}:
+        keys = np.unique(np.concatenate([k for (c, _), own in keys_of.items() if c == chunk for k in own]))
+        assert got[chunk] == [count.get(k, 0) for k in keys.tolist()]
+
+
 def test_lm_probabilities_sum_to_one_and_beat_the_base(spark):
     rng = random.Random(8)
     chain = {a: rng.sample("abcdefghijklmnop", 3) for a in "abcdefghijklmnop"}

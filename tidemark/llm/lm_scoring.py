@@ -26,13 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import written
-from tidemark.llm.packing import edges, pack, pack_numbers, unpack, unpack_numbers
+from tidemark.llm.packing import by_chunk, edges, pack, pack_numbers, unpack, unpack_numbers
 from tidemark.llm.shingles import chunks, hash_words, mix, split_words
 
 CHUNK_BYTES = 8 << 20
 BUCKET_TOKENS = 1 << 20
 MAX_BUCKETS = 1 << 16
 FLUSH_TOKENS = 2_000_000
+READ_ROWS = 2000  # texts that are cut into words together
 YIELD_BYTES = 4 << 20
 CONTEXT_BUCKETS = 48
 STEPS_PER_OCTAVE, OCTAVES = 4, 40
@@ -81,61 +82,61 @@ def pair_keys(tokens: np.ndarray) -> np.ndarray:
 
 
 def asked(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, chunks, sizes, body): what a task met, by bucket; see `_cells`.
+    """Rows (bucket, chunks, keys, seen, left): what a task met, by bucket: ascending keys, each beside its chunk.
 
     `docs` has rows (id, text, fold, chunk). `seen` are the counts in training texts, `left` those
-    in left-out ones; texts to be scored only ask.
+    in left-out ones; texts to be scored only ask. One row holds all chunks of a flush, so neither rows
+    nor packed arrays grow with chunks times buckets.
     """
 
     def flush(held: list[tuple]) -> Iterator[pd.DataFrame]:
-        cells: dict[int, list[tuple]] = {}
-        by_chunk: dict[int, list] = {}
+        of_chunk: dict[int, list] = {}
         for chunk, fold, keys in held:
-            by_chunk.setdefault(chunk, []).append((fold, keys))
-        for chunk, parts in by_chunk.items():
+            of_chunk.setdefault(chunk, []).append((fold, keys))
+        found = []
+        for chunk, parts in of_chunk.items():
             keys, place = np.unique(np.concatenate([k for _, k in parts]), return_inverse=True)
             folds = np.repeat([f for f, _ in parts], [len(k) for _, k in parts])
             seen = np.bincount(place[folds == TRAIN], minlength=len(keys))
             left = np.bincount(place[folds == LEFT_OUT], minlength=len(keys))
-            at = edges(keys, buckets, 63)
-            for b in np.flatnonzero(np.diff(at)):
-                s = slice(at[b], at[b + 1])
-                cells.setdefault(int(b), []).append((chunk, pack(keys[s]), pack_numbers(seen[s]), pack_numbers(left[s])))
+            found.append((np.full(len(keys), chunk, np.int32), keys, seen.astype(np.int32), left.astype(np.int32)))
+        if not found:
+            return
+        chunks, keys, seen, left = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(keys)
+        chunks, keys, seen, left = chunks[order], keys[order], seen[order], left[order]
+        at = edges(keys, buckets, 63)
         out, waiting = [], 0
-        for b, own in cells.items():
-            body = b"".join(x for cell in own for x in cell[1:])
-            sizes = np.array([len(x) for cell in own for x in cell[1:]], np.int64)
-            out.append((b, np.array([cell[0] for cell in own], np.int64).tobytes(), sizes.tobytes(), body))
-            waiting += len(body)
+        for b in np.flatnonzero(np.diff(at)):
+            s = slice(at[b], at[b + 1])
+            out.append((int(b), pack_numbers(chunks[s]), pack(keys[s]), pack_numbers(seen[s]), pack_numbers(left[s])))
+            waiting += sum(map(len, out[-1][1:]))
             if waiting >= YIELD_BYTES:
-                yield pd.DataFrame(out, columns=["bucket", "chunks", "sizes", "body"])
+                yield pd.DataFrame(out, columns=["bucket", "chunks", "keys", "seen", "left"])
                 out, waiting = [], 0
         if out:
-            yield pd.DataFrame(out, columns=["bucket", "chunks", "sizes", "body"])
+            yield pd.DataFrame(out, columns=["bucket", "chunks", "keys", "seen", "left"])
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, tokens = [], 0
         for batch in batches:
-            for (chunk, fold), rows in batch.groupby(["chunk", "fold"], sort=False):
-                hashes, _ = token_hashes(rows["text"].tolist())
-                held.append((int(chunk), int(fold), np.concatenate([word_keys(hashes), pair_keys(hashes)])))
+            batch = batch.sort_values(["chunk", "fold"])
+            for at in range(0, len(batch), READ_ROWS):
+                rows = batch.iloc[at : at + READ_ROWS]
+                hashes, lengths = token_hashes(rows["text"].tolist())
+                words, pairs, ends = word_keys(hashes), pair_keys(hashes), np.append(0, np.cumsum(lengths))
+                chunk, fold = rows["chunk"].to_numpy(), rows["fold"].to_numpy()
+                turn = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (fold[1:] != fold[:-1])))
+                for a, b in zip(turn.tolist(), [*turn[1:].tolist(), len(rows)]):
+                    own = slice(ends[a], ends[b])
+                    held.append((int(chunk[a]), int(fold[a]), np.concatenate([words[own], pairs[own]])))
                 tokens += len(hashes)
                 if tokens >= FLUSH_TOKENS:
                     yield from flush(held)
                     held, tokens = [], 0
         yield from flush(held)
 
-    return docs.mapInPandas(met, "bucket long, chunks binary, sizes binary, body binary")
-
-
-def _cells(row) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """(chunk, keys, seen, left) of each chunk in a row: one row holds a bucket's part of all chunks of a
-    flush, so the rows grow with the input and not with chunks times buckets."""
-    ends = np.cumsum(np.frombuffer(row.sizes, np.int64)).reshape(-1, 3)
-    at = 0
-    for chunk, (a, b, c) in zip(np.frombuffer(row.chunks, np.int64).tolist(), ends.tolist()):
-        yield chunk, row.body[at:a], row.body[a:b], row.body[b:c]
-        at = c
+    return docs.mapInPandas(met, "bucket long, chunks binary, keys binary, seen binary, left binary")
 
 
 def answered(asked_rows: DataFrame) -> DataFrame:
@@ -147,21 +148,13 @@ def answered(asked_rows: DataFrame) -> DataFrame:
 
     def added(rows: pd.DataFrame) -> pd.DataFrame:
         bucket = rows["bucket"].iloc[0]
-        cells = [cell for row in rows.itertuples(index=False) for cell in _cells(row)]
-        lists = [unpack(k) for _, k, _, _ in cells]
-        keys, place = np.unique(np.concatenate(lists), return_inverse=True)
-        seen = np.bincount(place, np.concatenate([unpack_numbers(c) for _, _, c, _ in cells]), len(keys)).astype(np.int64)
-        left = np.bincount(place, np.concatenate([unpack_numbers(c) for *_, c in cells]), len(keys)).astype(np.int64)
+        keys, place = np.unique(np.concatenate([unpack(k) for k in rows["keys"]]), return_inverse=True)
+        seen, left = (np.bincount(place, np.concatenate([unpack_numbers(c) for c in rows[side]]), len(keys)).astype(np.int64) for side in ("seen", "left"))
         word = keys % np.uint64(2) == 0
         full = seen + left
         out = [(-1, bucket, None, None, int(full[word].sum()), int((full[word] > 0).sum()), int(seen[word].sum()), int((seen[word] > 0).sum()))]
-        ends = np.cumsum([len(k) for k in lists])
-        begins = ends - [len(k) for k in lists]
-        by_chunk: dict[int, list[np.ndarray]] = {}
-        for (chunk, *_), a, b in zip(cells, begins, ends):
-            by_chunk.setdefault(chunk, []).append(place[a:b])
-        for chunk, places in by_chunk.items():
-            own = places[0] if len(places) == 1 else np.unique(np.concatenate(places))
+        chunks = np.concatenate([unpack_numbers(c) for c in rows["chunks"]]).astype(np.int64)
+        for chunk, own in by_chunk(chunks, place, len(keys)):
             part = pack_numbers(seen[own]) if chunk % 2 else None
             out.append((chunk, bucket, pack_numbers(full[own]), part, 0, 0, 0, 0))
         return pd.DataFrame(out, columns=["chunk", "bucket", "full", "part", "tokens", "words", "part_tokens", "part_words"])

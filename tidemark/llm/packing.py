@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 
@@ -34,3 +36,12 @@ def edges(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Where each of `buckets` equal ranges of the key space begins among ascending keys, and the end."""
     firsts = np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << bits) // max(2, buckets))
     return np.concatenate([[0], np.searchsorted(keys, firsts), [len(keys)]])
+
+
+def by_chunk(chunks: np.ndarray, places: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each chunk with its distinct places (below `n`), both ascending."""
+    if not len(chunks):
+        return
+    chunk, place = np.divmod(np.unique(chunks * n + places), n)
+    turn = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+    yield from zip(chunk[turn].tolist(), np.split(place, turn[1:]))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import written
 from tidemark.llm.induced_sorting import IN_MEMORY, suffix_array
-from tidemark.llm.packing import edges, pack, pack_numbers, unpack, unpack_numbers
+from tidemark.llm.packing import by_chunk, edges, pack, pack_numbers, unpack, unpack_numbers
 from tidemark.llm.shingles import mix
 
 LENGTH, GRAM = 50, 16
@@ -112,7 +112,8 @@ class Joined:
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
         self.raw, self.ids, self.length = np.frombuffer(b"".join(texts), np.uint8), np.array(ids, np.int64), length
         self.grams = gram_hashes(self.raw)
-        self.hash, self.first, self.last = anchors(self.grams, self.starts, length)
+        least, self.first, self.last = anchors(self.grams, self.starts, length)
+        self.hash = mix(least)  # minima are small numbers and would come to few buckets
         self.single = np.zeros(len(self.hash), bool)
         if len(hot) and len(self.hash):
             cut = hot[np.minimum(np.searchsorted(hot, self.hash), len(hot) - 1)] == self.hash
@@ -152,48 +153,52 @@ def joined(ids: list[int], texts: list[str | None], length: int, hot: np.ndarray
 
 
 def asked(docs: DataFrame, buckets: int, length: int, hot: np.ndarray = NONE_HOT) -> DataFrame:
-    """Rows (bucket, chunk, keys, times, marks): the anchor hashes of a chunk; twice how often each one
-    occurs again, plus 1 if that is in two of its documents; and the mark of one of its segments.
+    """Rows (bucket, chunks, keys, times, marks): the anchor hashes that a task met, ascending, each beside its chunk;
+    twice how often it occurs again in the chunk, plus 1 if that is in two of its documents; and the mark of one of
+    its segments. One row holds all chunks of a flush, so rows do not grow with chunks times buckets.
 
     With `hot`, only the single windows of these anchors.
     """
 
-    def flush(held: dict[int, list[tuple]]) -> Iterator[pd.DataFrame]:
-        for chunk, parts in held.items():
-            keys, docs_of, marks = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((docs_of, keys))
-            keys, docs_of = keys[order], docs_of[order]
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-            last = np.append(first[1:], len(keys)) - 1 if len(keys) else first
-            times = (2 * (last - first) + (docs_of[first] != docs_of[last])).astype(np.uint64)
-            keys, marks = keys[first], marks[order[first]]
-            at = edges(keys, buckets, 64)
-            rows = [
-                (int(b), chunk, pack(keys[at[b] : at[b + 1]]), pack_numbers(times[at[b] : at[b + 1]]), marks[at[b] : at[b + 1]].tobytes())
-                for b in np.flatnonzero(np.diff(at))
-            ]
-            if rows:
-                yield pd.DataFrame(rows, columns=["bucket", "chunk", "keys", "times", "marks"])
+    def flush(held: list[tuple]) -> Iterator[pd.DataFrame]:
+        if not held:
+            return
+        keys, docs_of, chunks, marks = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(keys)
+        again = keys[order[1:]] == keys[order[:-1]]
+        tied = np.flatnonzero(np.append(again, False) | np.append(False, again)) if len(keys) else order
+        own = order[tied]
+        order[tied] = own[np.lexsort((own, docs_of[own], chunks[own], keys[own]))]
+        keys, docs_of, chunks = keys[order], docs_of[order], chunks[order]
+        first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1]))) if len(keys) else order
+        last = np.append(first[1:], len(keys)) - 1 if len(keys) else first
+        times = (2 * (last - first) + (docs_of[first] != docs_of[last])).astype(np.uint64)
+        keys, chunks, marks = keys[first], chunks[first], marks[order[first]]
+        at = edges(keys, buckets, 64)
+        rows = [
+            (int(b), pack_numbers(chunks[s]), pack(keys[s]), pack_numbers(times[s]), marks[s].tobytes())
+            for b in np.flatnonzero(np.diff(at))
+            for s in [slice(at[b], at[b + 1])]
+        ]
+        if rows:
+            yield pd.DataFrame(rows, columns=["bucket", "chunks", "keys", "times", "marks"])
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list[tuple]] = {}
+        held: list[tuple] = []
         size = 0
         for batch in batches:
-            for chunk, rows in batch.groupby("chunk", sort=False):
-                for part in joined(rows["id"].tolist(), rows["text"].tolist(), length, hot):
-                    if len(hot):
-                        own = part.single
-                        entry = part.hash[own], part.ids[part.owner[own]], np.zeros(int(own.sum()), np.uint8)
-                    else:
-                        entry = part.hash, part.ids[part.owner], part.marks()
-                    held.setdefault(int(chunk), []).append(entry)
-                    size += len(part.raw)
+            ids, chunks = batch["id"].to_numpy(np.int64), batch["chunk"].to_numpy(np.int32)
+            for part in joined(list(range(len(batch))), batch["text"].tolist(), length, hot):
+                own = np.flatnonzero(part.single) if len(hot) else slice(None)
+                doc = part.ids[part.owner[own]]
+                held.append((part.hash[own], ids[doc], chunks[doc], np.zeros(len(doc), np.uint8) if len(hot) else part.marks()))
+                size += len(part.raw)
                 if size >= FLUSH_BYTES:
                     yield from flush(held)
-                    held, size = {}, 0
+                    held, size = [], 0
         yield from flush(held)
 
-    return docs.mapInPandas(met, "bucket long, chunk long, keys binary, times binary, marks binary")
+    return docs.mapInPandas(met, "bucket long, chunks binary, keys binary, times binary, marks binary")
 
 
 def shared_anchors(asked_rows: DataFrame, most: int | None = None) -> DataFrame:
@@ -204,21 +209,20 @@ def shared_anchors(asked_rows: DataFrame, most: int | None = None) -> DataFrame:
     """
 
     def told(rows: pd.DataFrame) -> pd.DataFrame:
-        bucket, chunk = rows["bucket"].iloc[0], rows["chunk"].to_numpy()
-        lists = [unpack(k) for k in rows["keys"]]
-        keys, place = np.unique(np.concatenate(lists), return_inverse=True)
-        # An anchor is shared if two rows have it or one row says so. Two rows of one chunk can be one
-        # document; such an anchor is sent to its shard for nothing, which decides by ids.
+        bucket = rows["bucket"].iloc[0]
+        keys, place = np.unique(np.concatenate([unpack(k) for k in rows["keys"]]), return_inverse=True)
+        chunks = np.concatenate([unpack_numbers(c) for c in rows["chunks"]]).astype(np.int64)
+        # An anchor is shared if two rows have it, or two chunks of one, or one says so. Two entries of one chunk can be
+        # one document; such an anchor is sent to its shard for nothing, which decides by ids.
         times = np.concatenate([unpack_numbers(t) for t in rows["times"]]).astype(np.int64)
-        count = np.bincount(place, 1 + times % 2, len(keys))
-        shared, ends = count > 1, np.cumsum([len(k) for k in lists])
+        shared = np.bincount(place, 1 + times % 2, len(keys)) > 1
         out = []
         if most is not None:
             times = times // 2 + 1
             total = np.bincount(place, times, len(keys))
             hot = shared & (total > most)
             if hot.any():
-                # Copies of one segment come to one mark; many within one row count as different.
+                # Copies of one segment come to one mark; many within one entry count as different.
                 own = hot[place]
                 marks = np.frombuffer(b"".join(rows["marks"]), np.uint8)[own]
                 spread = np.bincount(np.unique(place[own] * 256 + marks) // 256, minlength=len(keys))
@@ -227,10 +231,8 @@ def shared_anchors(asked_rows: DataFrame, most: int | None = None) -> DataFrame:
             if hot.any():
                 shared &= ~hot
                 out.append((-1, bucket, pack(keys[hot]), int(total[hot].sum())))
-        parts: dict[int, list[np.ndarray]] = {}
-        for c, k, a, b in zip(chunk.tolist(), lists, ends - [len(k) for k in lists], ends):
-            parts.setdefault(c, []).append(k[shared[place[a:b]]])
-        out += [(c, bucket, pack(np.unique(np.concatenate(p))), 0) for c, p in parts.items() if any(map(len, p))]
+        own = shared[place]
+        out += [(chunk, bucket, pack(keys[places]), 0) for chunk, places in by_chunk(chunks[own], place[own], len(keys))]
         return pd.DataFrame(out, columns=["chunk", "bucket", "keys", "n"])
 
     return asked_rows.groupBy("bucket").applyInPandas(told, "chunk long, bucket long, keys binary, n long")
@@ -276,7 +278,7 @@ class Segments:
         self.parts, self.occurs = list(joined(ids, texts, length, hot)), []
         found, base = [tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))], 0
         chosen_of = []
-        # The low bits of a hash tell of most anchors that they are not shared; the high ones are those of minima.
+        # The low bits of a hash tell of most anchors that they are not shared.
         low = np.uint64((1 << FILTER_BITS) - 1)
         maybe = np.zeros(1 << FILTER_BITS, bool)
         maybe[(shared & low).view(np.int64)] = True
