@@ -6,11 +6,15 @@ import os
 import subprocess
 import sys
 import textwrap
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import sizing
+from tidemark.llm.components import written
+from tidemark.sources.files import stored
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -72,3 +76,21 @@ def test_core_queries_do_without_optional_libraries(tmp_path, hidden):
     out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "QUERIES" in out.stdout and "True" in out.stdout, out.stderr[-2000:]
     assert hidden == "tokenizers" or ("ROWS" in out.stdout and "ROWS 0" not in out.stdout), out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("keep", [written, stored])
+def test_written_tables_leave_no_shuffle_files(spark, keep):
+    """Those of a step that is over do not wait for the driver's garbage collection."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def held():
+        return env.shuffleManager().shuffleBlockResolver().getStoredShuffles().size()
+
+    before = held()
+    for _ in range(3):
+        assert set(keep(spark.range(1000).groupBy((F.col("id") % 7).alias("g")).count(), "groups").columns) == {"g", "count"}
+    deadline = time.time() + 20
+    while held() > before and time.time() < deadline:
+        time.sleep(0.1)
+    assert held() <= before
+    assert spark.conf.get(sizing.DROP_SHUFFLES) == "false"

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sizing import shared_dir
+from tidemark.sizing import shared_dir, shuffles_dropped
 
 BROADCAST_ROWS = 500_000
 
@@ -29,7 +29,8 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: its lineage ends there."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
