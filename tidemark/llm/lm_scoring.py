@@ -93,6 +93,7 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
         of_chunk: dict[int, list] = {}
         for chunk, fold, keys in held:
             of_chunk.setdefault(chunk, []).append((fold, keys))
+        held.clear()
         found = []
         for chunk, parts in of_chunk.items():
             keys, place = np.unique(np.concatenate([k for _, k in parts]), return_inverse=True)
@@ -102,14 +103,17 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
             found.append((np.full(len(keys), chunk, np.int32), keys, seen.astype(np.int32), left.astype(np.int32)))
         if not found:
             return
+        of_chunk.clear()
         chunks, keys, seen, left = (np.concatenate(x) for x in zip(*found))
+        found.clear()
         order = np.argsort(keys)
-        chunks, keys, seen, left = chunks[order], keys[order], seen[order], left[order]
+        keys = keys[order]
         at = edges(keys, buckets, 63)
         out, waiting = [], 0
         for b in np.flatnonzero(np.diff(at)):
             s = slice(at[b], at[b + 1])
-            out.append((int(b), pack_numbers(chunks[s]), pack(keys[s]), pack_numbers(seen[s]), pack_numbers(left[s])))
+            own = order[s]
+            out.append((int(b), pack_numbers(chunks[own]), pack(keys[s]), pack_numbers(seen[own]), pack_numbers(left[own])))
             waiting += sum(map(len, out[-1][1:]))
             if waiting >= YIELD_BYTES:
                 yield pd.DataFrame(out, columns=["bucket", "chunks", "keys", "seen", "left"])
@@ -133,7 +137,7 @@ def asked(docs: DataFrame, buckets: int) -> DataFrame:
                 tokens += len(hashes)
                 if tokens >= FLUSH_TOKENS:
                     yield from flush(held)
-                    held, tokens = [], 0
+                    tokens = 0
         yield from flush(held)
 
     return docs.mapInPandas(met, "bucket long, chunks binary, keys binary, seen binary, left binary")
